@@ -1,6 +1,6 @@
 """All named queries. Importing this package fills the registry."""
 
-from . import tag_queries  # noqa: F401
+from . import tag_queries, text_queries  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
