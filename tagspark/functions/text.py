@@ -185,15 +185,12 @@ def shifted_concat(items: Column, tail: Column, shift: int, separator: str = "")
 def char_ngrams(c: Column, n: int = 3) -> Column:
     """Overlapping character n-grams of the lower-cased text.
 
-    The text is split once into characters and shifted against itself; taking
-    ``substring(text, i, n)`` per position would be quadratic.
+    One regex pass with an empty match per position; ``substring(text, i, n)``
+    per position would be quadratic. No match starts inside a surrogate pair.
     """
-    chars = F.split(F.lower(c), "")
-    grams = chars
-    for shift in range(1, n):
-        grams = shifted_concat(grams, chars, shift)
-    empty = F.array().cast("array<string>")
-    return F.when(F.length(c) >= n, grams).otherwise(empty)
+    pattern = rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{n - 1}}}))"
+    grams = F.regexp_extract_all(F.lower(c), F.lit(pattern), F.lit(1))
+    return F.coalesce(grams, F.array().cast("array<string>"))
 
 
 def word_tokens(c: Column, min_length: int = 1) -> Column:

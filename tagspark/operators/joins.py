@@ -12,9 +12,9 @@ HOT_SHARE = 64
 
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    total = df.agg(F.count("*")).scalar()
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col(key).isNotNull() & (F.col("_rows") * share > total)).select(key)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    return counts.where(F.col("_rows") * share > total).select(key)
 
 
 def balanced_join(left: DataFrame, right: DataFrame, key: str, row_id: str, how: str = "left") -> DataFrame:

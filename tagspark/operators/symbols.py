@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import latex
+from ..session import cut_lineage
 from .joins import balanced_join
 from .tags import explode_tags, row_total
 
@@ -19,6 +20,8 @@ def symbol_presence(df: DataFrame, column: str, doc_id: str, exact: bool = False
     found = df.select(doc_id, F.explode(latex.commands(F.col(column))).alias("symbol"))
     if exact:
         return found
+    # From here on only this short table is read, several times.
+    found = cut_lineage(found)
     known = found.select("symbol").distinct()
     prefixes = known.select(
         "symbol",

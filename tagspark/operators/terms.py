@@ -71,12 +71,9 @@ def top_vector_words_by_tag(df: DataFrame, column: str, top_n: int = 10, words:
 
 def char_ngram_counts(df: DataFrame, column: str, sizes: list[int]) -> DataFrame:
     """``(n, gram, count)`` over all sizes in one scan."""
-    c = F.col(column)
-    rows = F.flatten(F.array(*[
-        F.transform(text.char_ngrams(c, n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("gram"))) for n in sizes
-    ]))
-    return df.where(c.isNotNull()).select(F.explode(rows).alias("r")).select("r.*").groupBy("n", "gram").agg(
-        F.count("*").alias("count"))
+    grams = F.concat(*[text.char_ngrams(F.col(column), n) for n in sizes])
+    counts = df.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("count"))
+    return counts.select(F.length("gram").alias("n"), "gram", "count")
 
 
 def top_char_ngrams(df: DataFrame, column: str, sizes: tuple[int, int] = (3, 5), top_n: int = 30) -> DataFrame:

@@ -14,7 +14,7 @@ HASHED_SQL = f"WITH hashed AS (SELECT doc_id, lang, text, md5({duplicate_form_sq
 
 
 def hashed(spark, folder):
-    d = read_table(spark, folder, "documents")
+    d = documents(spark, folder)
     return dups.with_hash(d, "text", hash_column="hash").withColumn("tags", F.array("lang"))
 
 
@@ -45,11 +45,13 @@ def agg22(spark, folder):
 
 
 @query("agg22_remove_marked_duplicates", """
-WITH marked AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN -1 ELSE length(text) END AS g FROM documents)
+WITH marked AS (SELECT doc_id, CASE WHEN count(*) OVER (PARTITION BY length(text)) = 1 THEN -1 ELSE length(text) END AS g FROM documents)
 SELECT doc_id FROM marked WHERE g = -1 UNION ALL SELECT min(doc_id) FROM marked WHERE g <> -1 GROUP BY g""")
 def agg22_marked(spark, folder):
-    d = read_table(spark, folder, "documents")
-    marked = d.withColumn("duplicate_group", F.when(F.col("doc_id") % 3 == 0, -1).otherwise(F.length("text")))
+    d = documents(spark, folder).select("doc_id", F.length("text").alias("n"))
+    sizes = d.groupBy("n").agg(F.count("*").alias("rows"))
+    marked = joins.balanced_join(d, sizes, "n", "doc_id").withColumn(
+        "duplicate_group", F.when(F.col("rows") == 1, -1).otherwise(F.col("n")))
     return dups.remove_duplicate_rows(marked, row_id="doc_id").select("doc_id")
 
 
@@ -103,7 +105,7 @@ def jn6(spark, folder):
     return tag_ops.pair_grid(problems(spark, folder), "tags", None)
 
 
-TRANSLATED_SQL = """WITH t AS (SELECT md5(text) AS text_key, min(lang) AS lang, min(upper(text)) AS translated FROM documents
+TRANSLATED_SQL = """WITH t AS (SELECT md5(text) AS text_key, min(lang) AS lang, min('[EN] ' || text) AS translated FROM documents
   WHERE lang IN ('fr', 'de', 'en') GROUP BY 1),
 j AS (SELECT d.doc_id, d.text, d.lang AS doc_lang, t.translated, length(trim(regexp_replace(d.text, '[\\t-\\r\\x1c-\\x1f\\x{85}\\p{Z}]+', ' ', 'g'))) >= 10 AS ok
   FROM documents d LEFT JOIN t ON md5(d.text) = t.text_key),
@@ -113,9 +115,9 @@ s AS (SELECT *, CASE WHEN NOT ok THEN 'unknown' ELSE doc_lang END AS lang,
 
 
 def translated(spark, folder):
-    d = read_table(spark, folder, "documents").select("doc_id", "text", F.col("lang").alias("doc_lang"))
+    d = documents(spark, folder).select("doc_id", "text", F.col("lang").alias("doc_lang"))
     known = d.where(F.col("doc_lang").isin("fr", "de", "en")).groupBy(F.md5("text").alias("text_key")).agg(
-        F.min("doc_lang").alias("lang"), F.min(F.upper("text")).alias("translated"))
+        F.min("doc_lang").alias("lang"), F.min(F.concat(F.lit("[EN] "), "text")).alias("translated"))
     return joins.apply_translations(d, "text", known, "doc_id", detected_lang="doc_lang")
 
 
@@ -158,21 +160,18 @@ def top10(spark, folder):
     return sym.select_symbols(sym.symbol_presence(problems(spark, folder), "description", "p_id"))
 
 
-IS_TEST_SQL = "md5('42|' || CAST(p_id AS VARCHAR)) <= '33'"
+IS_TEST_SQL = "p_id IN (SELECT p_id FROM problems ORDER BY md5('42|' || CAST(p_id AS VARCHAR)) LIMIT (SELECT CAST(floor(count(*) * 0.2) AS BIGINT) FROM problems))"
 FEATURE_SYMBOLS = ["\\le", "\\leq", "\\gcd", "\\frac", "\\sum", "\\binom"]
 
 
 @query("ltx6_apply_symbol_list", CTE + "SELECT p_id, " + ", ".join(
     f"CAST(contains(description, '{s}') AS INTEGER) AS {latex.feature_name(s)}" for s in FEATURE_SYMBOLS) + f" FROM problems WHERE {IS_TEST_SQL}")
 def ltx6(spark, folder):
-    from ...functions.hashing import order_key
-
-    p = problems(spark, folder)
-    test = order_key(F.col("p_id")) <= "33"
-    fitted = sym.selected_list(sym.select_symbols(sym.symbol_presence(p.where(~test), "description", "p_id")))
-    # \binom is in no text: a symbol without occurrences gives a column of zeros.
+    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id"))
+    fitted = sym.selected_list(sym.select_symbols(sym.symbol_presence(train, "description", "p_id")))
+    # \\binom is in no text: a symbol without occurrences gives a column of zeros.
     names = [s for s in FEATURE_SYMBOLS if s in fitted or s == "\\binom"]
-    return p.where(test).select("p_id", *sym.symbol_features("description", names))
+    return test.select("p_id", *sym.symbol_features("description", names))
 
 
 ENRICH_SQL = COMMANDS_SQL + """, nsym AS (SELECT symbol, count(*) AS n_docs FROM presence GROUP BY 1 HAVING count(*) >= 5),
@@ -266,7 +265,7 @@ def ngram_cte(source, key, column, sizes):
 c AS (SELECT n, gram, count(*) AS count FROM grams GROUP BY 1, 2)
 SELECT n, rank, gram, count FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY count DESC, gram) AS rank FROM c) WHERE rank <= 30""")
 def top5(spark, folder):
-    return terms.top_char_ngrams(read_table(spark, folder, "documents"), "text")
+    return terms.top_char_ngrams(documents(spark, folder), "text")
 
 
 @query("top6_discriminant_ngrams", CTE + f", {ngram_cte('problems', 'p_id', 'description', [3])}" + """,
@@ -325,7 +324,7 @@ WITH s AS (SELECT unnest([{sql_list(ENGLISH_STOP_WORDS)}]) AS word UNION SELECT
 w AS (SELECT unnest(regexp_extract_all(lower(text), '[{WORD}]+')) AS word FROM documents)
 SELECT word, count(*) AS count FROM w WHERE word NOT IN (SELECT word FROM s) GROUP BY 1""")
 def set2(spark, folder):
-    d = read_table(spark, folder, "documents")
+    d = documents(spark, folder)
     words = d.select(F.explode(text.word_tokens(F.lower("text"), 1)).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
     return terms.without_stop_words(words, terms.stop_words())
 
@@ -342,36 +341,33 @@ def set1(spark, folder):
         groups.select(F.col("first_id").alias("doc_id"), F.lit("representative").alias("kind")))
 
 
-@query("set3_features_missing_in_test", CTE + COMMANDS_SQL + f"""
-SELECT symbol FROM commands WHERE NOT ({IS_TEST_SQL}) EXCEPT SELECT symbol FROM commands WHERE {IS_TEST_SQL} AND p_id % 4 <> 1""")
+@query("set3_features_missing_in_test", CTE + f"""
+, w AS (SELECT p_id, unnest(regexp_extract_all(lower(description), '[{WORD}]+')) AS word FROM problems)
+SELECT word FROM w WHERE NOT ({IS_TEST_SQL}) EXCEPT SELECT word FROM w WHERE {IS_TEST_SQL}""")
 def set3(spark, folder):
-    from ...functions.hashing import order_key
-
-    found = sym.symbol_presence(problems(spark, folder), "description", "p_id", exact=True)
-    test = order_key(F.col("p_id")) <= "33"
-    return found.where(~test).select("symbol").subtract(found.where(test & (F.col("p_id") % 4 != 1)).select("symbol"))
+    rows = splits.grouped_split(problems(spark, folder).select("p_id", "description"), "p_id")
+    words = rows.select("is_test", F.explode(text.word_tokens(F.lower("description"), 1)).alias("word")).distinct()
+    return words.where("NOT is_test").select("word").subtract(words.where("is_test").select("word"))
 
 
 @query("val4_train_test_columns")
 def val4(spark, folder):
-    from ...functions.hashing import order_key
     from ...operators.validation import compare_columns
 
-    p = problems(spark, folder)
-    test = order_key(F.col("p_id")) <= "33"
+    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id"))
 
     def features(rows):
         names = sym.selected_list(sym.select_symbols(sym.symbol_presence(rows, "description", "p_id")))
         return rows.select("p_id", *sym.symbol_features("description", names))
 
-    return compare_columns(features(p.where(~test)), features(p.where(test)))
+    return compare_columns(features(train), features(test))
 
 
 # Language --------------------------------------------------------------------------
 
 LANGS = ["de", "en", "es", "fr"]
 LANG_SQL = f"WITH {ngram_cte('documents', 'doc_id', 'text', [3])}" + f""",
-c AS (SELECT lang AS language, gram, count(*) AS n FROM grams JOIN documents USING (doc_id) WHERE doc_id % 2 = 0 GROUP BY 1, 2),
+c AS (SELECT lang AS language, gram, count(*) AS n FROM grams JOIN documents USING (doc_id) GROUP BY 1, 2),
 tot AS (SELECT language, sum(n) AS total, count(*) AS types FROM c GROUP BY 1),
 common AS (SELECT DISTINCT gram FROM (SELECT *, row_number() OVER (PARTITION BY language ORDER BY n DESC, gram) AS k FROM c) WHERE k <= 400),
 prof AS (SELECT m.gram, t.language, ln((coalesce(c.n, 0) + 1) / (t.total + t.types)) AS logp FROM common m CROSS JOIN tot t
@@ -384,8 +380,8 @@ found AS (SELECT d.doc_id, coalesce(b.language, 'unknown') AS language FROM docu
 
 
 def identified(spark, folder):
-    d = read_table(spark, folder, "documents")
-    profile = terms.language_profile(d.where("doc_id % 2 = 0"), "text", "lang", LANGS)
+    d = documents(spark, folder)
+    profile = terms.language_profile(d, "text", "lang", LANGS)
     return terms.identify_language(d, "text", "doc_id", profile)
 
 
@@ -454,8 +450,8 @@ def spl2_report(spark, folder):
     return rounded(splits.split_report(splits.stratified_split(rows, labels, "p_id"), labels), "train_pct", "test_pct", "diff")
 
 
-@query("spl3_stratified_sample", combo_sql() + ", some AS (SELECT * FROM combos WHERE combo <> '00000000')"
-       + quota_sql("least(200, total)", "some") + "SELECT p_id FROM split WHERE is_test")
+@query("spl3_stratified_sample", combo_sql() + ", labelled AS (SELECT * FROM combos WHERE combo <> '00000000')"
+       + quota_sql("least(200, total)", "labelled") + "SELECT p_id FROM split WHERE is_test")
 def spl3(spark, folder):
     rows, labels = with_targets(spark, folder)
     return splits.stratified_sample(rows, labels, "p_id", 200).select("p_id")
@@ -473,4 +469,4 @@ def spl4(spark, folder):
 
 @query("smp1_seeded_sample", "SELECT doc_id, lang FROM documents ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)) LIMIT 100")
 def smp1(spark, folder):
-    return splits.seeded_sample(read_table(spark, folder, "documents"), "doc_id", 100).select("doc_id", "lang")
+    return splits.seeded_sample(documents(spark, folder), "doc_id", 100).select("doc_id", "lang")

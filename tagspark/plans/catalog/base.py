@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ...constants import PRIORITY_TAGS
 from ...sources.problems import PROBLEMS_SQL, problems
-from ...sources.readers import read_table
+from ...sources.readers import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(read_table(spark, folder, "documents"), "doc_id")
+
+
 def sql_list(values: list[str]) -> str:
     """``'a', 'b'`` for IN lists and array literals."""
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
@@ -65,6 +69,6 @@ def longs(df: DataFrame, *columns: str) -> DataFrame:
 
 
 __all__ = [
-    "CTE", "ORACLES", "PRIORITY_SQL", "QUERIES", "WORD", "WS", "F", "PRIORITY_TAGS",
+    "CTE", "ORACLES", "PRIORITY_SQL", "QUERIES", "WORD", "WS", "F", "PRIORITY_TAGS", "documents",
     "longs", "problems", "query", "read_table", "rnd", "rounded", "sql_list",
 ]

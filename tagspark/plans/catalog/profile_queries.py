@@ -60,7 +60,7 @@ def agg14(spark, folder):
 SELECT lang, count(*) AS count, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents), 2) AS percentage
 FROM documents GROUP BY 1""")
 def agg15(spark, folder):
-    return ops.category_distribution(read_table(spark, folder, "documents"), "lang", digits=2)
+    return ops.category_distribution(documents(spark, folder), "lang", digits=2)
 
 
 @query("agg15_exec_outcome_distribution", CTE + """
@@ -294,13 +294,13 @@ LENGTH_STATS = ["mean", "std", "short_pct", "p25", "p50", "p75", "p95"]
 
 @query("agg29_length_percentiles", length_sql("length(text)", "documents"))
 def agg29(spark, folder):
-    d = read_table(spark, folder, "documents").select(F.length("text").cast("bigint").alias("v"))
+    d = documents(spark, folder).select(F.length("text").cast("bigint").alias("v"))
     return rounded(ops.length_summary(d, "v"), *LENGTH_STATS)
 
 
 @query("agg29_word_percentiles", length_sql(f"len(regexp_extract_all(text, '[^{WS}]+'))", "documents"))
 def agg29_words(spark, folder):
-    d = read_table(spark, folder, "documents").select(text.word_count(F.col("text")).cast("bigint").alias("v"))
+    d = documents(spark, folder).select(text.word_count(F.col("text")).cast("bigint").alias("v"))
     return rounded(ops.length_summary(d, "v"), *LENGTH_STATS)
 
 
@@ -347,7 +347,7 @@ def agg32(spark, folder):
     return rounded(out, "desc_coverage", "code_coverage", "either_coverage")
 
 
-SAMPLE_SQL = """, sampled AS (SELECT * FROM problems ORDER BY md5('42|' || CAST(p_id AS VARCHAR)) LIMIT 300)
+SAMPLE_SQL = """, sampled AS (SELECT * FROM problems ORDER BY md5('42|' || CAST(p_id AS VARCHAR)) LIMIT 1000)
 """
 IMPORT_SQL = {f"import_{m}": rf"regexp_matches(source_code, '\b(import\s+{m}|from\s+{m}\s+import)\b')" for m in IMPORT_MODULES}
 
@@ -370,13 +370,13 @@ def _top_flags(rates, extra=None):
 
 @query("agg33_imports_by_tag", flag_rates_sql(IMPORT_SQL))
 def agg33(spark, folder):
-    sample = splits.seeded_sample(problems(spark, folder), "p_id", 300)
+    sample = splits.seeded_sample(problems(spark, folder), "p_id", 1000)
     return _top_flags(ops.flag_rates_by_tag(sample, code.import_flags(F.col("source_code"))))
 
 
 @query("agg33_patterns_by_tag", flag_rates_sql(PATTERN_SQL, "WHERE rate > 0.1"))
 def agg33_patterns(spark, folder):
-    sample = splits.seeded_sample(problems(spark, folder), "p_id", 300)
+    sample = splits.seeded_sample(problems(spark, folder), "p_id", 1000)
     return _top_flags(ops.flag_rates_by_tag(sample, code.pattern_flags(F.col("source_code"))), "rate > 0.1")
 
 
@@ -385,7 +385,7 @@ WITH r AS (SELECT coalesce(length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'
 SELECT count(*) AS total, count(*) FILTER (r < 0.95) AS non_ascii, round(count(*) FILTER (r < 0.95) * 100.0::DOUBLE / count(*), 6) AS non_ascii_pct,
        round(avg(r) FILTER (r < 0.95), 6) AS mean_ratio_non_ascii FROM r""")
 def agg36(spark, folder):
-    return rounded(ops.ascii_summary(read_table(spark, folder, "documents"), "text"), "non_ascii_pct", "mean_ratio_non_ascii")
+    return rounded(ops.ascii_summary(documents(spark, folder), "text"), "non_ascii_pct", "mean_ratio_non_ascii")
 
 
 @query("snk2_report_rows", CTE + """
@@ -398,6 +398,6 @@ def snk2_rows(spark, folder):
     from ...sources.writers import nested_report, report_rows
 
     tags = tag_ops.tag_statistics(problems(spark, folder))
-    langs = ops.category_distribution(read_table(spark, folder, "documents"), "lang")
+    langs = ops.category_distribution(documents(spark, folder), "lang")
     return rounded(nested_report(report_rows("tags", tags, "tag", ["count", "frequency"]),
                                  report_rows("languages", langs, "lang", ["count"])), "value")

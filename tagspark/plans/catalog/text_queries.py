@@ -111,13 +111,13 @@ def prj11(spark, folder):
 WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[^{WS}]+') AS words FROM documents)
 SELECT doc_id, CASE WHEN len(words) > 400 THEN array_to_string(words[1:400], ' ') ELSE text END AS truncated FROM w""")
 def prj12(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", text.truncate_words(F.col("text")).alias("truncated"))
+    return documents(spark, folder).select("doc_id", text.truncate_words(F.col("text")).alias("truncated"))
 
 
 @query("prj13_truncate_chars", """
 SELECT doc_id, CASE WHEN length(text) > 300 THEN substr(text, 1, 300) || '...' ELSE text END AS shown FROM documents""")
 def prj13(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", text.truncate_chars(F.col("text"), 300).alias("shown"))
+    return documents(spark, folder).select("doc_id", text.truncate_chars(F.col("text"), 300).alias("shown"))
 
 
 @query("prj14_slug", "SELECT p_partkey, lower(replace(replace(p_type, ' ', '_'), '-', '_')) AS slug FROM part")
@@ -238,7 +238,7 @@ def txt7(spark, folder):
 
 @query("txt8_number_tokens", f"SELECT doc_id, {numbers_sql('text')} AS tokens FROM documents")
 def txt8(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", text.tokenize_numbers(F.col("text")).alias("tokens"))
+    return documents(spark, folder).select("doc_id", text.tokenize_numbers(F.col("text")).alias("tokens"))
 
 
 @query("txt9_char_ngrams", """
@@ -258,7 +258,7 @@ SELECT doc_id, len(regexp_extract_all(lower(text), '[{WORD}]+')) AS n_tokens,
 def txt10(spark, folder):
     c = F.col("text")
     tokens = text.word_tokens(F.lower(c))
-    return longs(read_table(spark, folder, "documents").select(
+    return longs(documents(spark, folder).select(
         "doc_id", F.size(tokens).alias("n_tokens"), F.size(text.word_tokens(c, 2)).alias("n_terms"),
         F.md5(F.array_join(tokens, " ")).alias("token_hash")), "n_tokens", "n_terms")
 
@@ -296,7 +296,7 @@ SELECT doc_id, len(regexp_extract_all(text, '[.!?]+([{WS}]|$)')) AS sentences,
 FROM documents""")
 def txt14(spark, folder):
     c = F.col("text")
-    return longs(read_table(spark, folder, "documents").select(
+    return longs(documents(spark, folder).select(
         "doc_id", text.sentence_count(c).alias("sentences"), rnd(text.mean_word_length(c)).alias("mean_word_length")),
         "sentences")
 

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .readers import read_table
+from .readers import read_table, spread
 
 
 def problems(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     labels = read_table(spark, folder, "labels")
     return derive(docs, labels)
 

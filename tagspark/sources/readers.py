@@ -65,6 +65,19 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a table stored in a few pieces.
+
+    A scan with at least a quarter as many splits as there are cores is left
+    alone, so large tables are never shuffled for this. ``df`` must be a scan:
+    asking a scan for its splits reads no data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 4 <= cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def feature_names(spark: SparkSession, path: str, prefix: str = "has_") -> list[str]:
     """Names of the stored features, from the table's schema alone."""
     return [n for n in spark.read.parquet(path).schema.names if n.startswith(prefix)]

@@ -34,6 +34,9 @@ def rows_of(columns, rows):
     return sorted(tuple(normal(r[i]) for i in order) for r in rows)
 
 
+TIMES = {"spark": 0.0}
+
+
 def oracle(folder):
     import duckdb
 
@@ -46,7 +49,9 @@ def oracle(folder):
 def compare(con, spark, folder, fn, sql):
     """None when equal, else a message."""
     df = fn(spark, folder)
+    start = time.time()
     got = rows_of(df.columns, df.collect())
+    TIMES["spark"] = time.time() - start
     if sql is None:
         return None, len(got)
     cur = con.execute(sql)
@@ -81,7 +86,7 @@ if __name__ == "__main__":
         mark = "ok  " if message is None else "FAIL"
         kind = "sql" if name in ORACLES else "rows"
         bad += message is not None
-        print(f"{mark} {name:40s} {kind:4s} {n:7d} rows {time.time() - start:6.2f}s", flush=True)
+        print(f"{mark} {name:40s} {kind:4s} {n:7d} rows {time.time() - start:6.2f}s spark {TIMES['spark']:6.2f}s", flush=True)
         if message:
             print("   " + message, flush=True)
     print("failed:", bad)
