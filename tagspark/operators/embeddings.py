@@ -164,12 +164,13 @@ def word2vec_embeddings(df: DataFrame, column: str, row_id: str, size: int = 64,
 
 def projected_embeddings(cells: DataFrame, doc_id: str, size: int = 64, seed: int = 42) -> DataFrame:
     """Unit-length random projections of TF-IDF cells. A term's signs are the
-    bits of its hash, so no projection matrix is stored or sent."""
-    digits = (size + 127) // 128
-    bits = F.concat(*[F.md5(F.concat(F.lit(f"{seed}|{i}|"), F.col("term"))) for i in range(digits)])
-    hexes = F.split(bits, "")
-    signs = F.flatten(F.transform(hexes, lambda h: F.transform(
-        F.split(F.lpad(F.conv(h, 16, 2), 4, "0"), ""), lambda b: F.when(b == "1", F.lit(1.0)).otherwise(F.lit(-1.0)))))
-    rows = cells.select(doc_id, array_to_vector(F.slice(signs, 1, size)).alias("v"), "weight")
+    bits of its hash, so no projection matrix is stored, joined or sent."""
+    words = (size + 63) // 64
+    hashed = cells.select(doc_id, "weight", *[F.xxhash64(F.lit(seed), F.lit(i), "term").alias(f"_h{i}") for i in range(words)])
+    signs = [
+        F.when(F.shiftright(F.col(f"_h{i // 64}"), i % 64).bitwiseAND(F.lit(1)) == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+        for i in range(size)
+    ]
+    rows = hashed.select(doc_id, array_to_vector(F.array(*signs)).alias("v"), "weight")
     sums = rows.groupBy(doc_id).agg(Summarizer.sum(F.col("v"), F.col("weight")).alias("s"))
     return sums.select(doc_id, unit(vector_to_array("s")).alias("embedding"))

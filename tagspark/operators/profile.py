@@ -199,17 +199,25 @@ def fill_missing(df: DataFrame, fills: DataFrame | dict[str, float], columns: li
 
 # Correlations ---------------------------------------------------------------
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both are present; NULL when either
+    is constant (the built-in ``corr`` divides by zero there)."""
+    x, y = not_nan(a.cast("double")), not_nan(b.cast("double"))
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair, one pass.
     A constant column gives NULL."""
     columns = [c for c in columns if c in df.columns]
-    rows = [(f"{a}|{b}", {"r": F.corr(F.col(a).cast("double"), F.col(b).cast("double"))})
+    rows = [(f"{a}|{b}", {"r": correlation(F.col(a), F.col(b))})
             for a, b in combinations(columns, 2)]
     if not rows:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
     out = long_rows(rows, "pair", df)
     parts = F.split("pair", r"\|")
-    return out.select(parts[0].alias("column_a"), parts[1].alias("column_b"), not_nan(F.col("r")).alias("r"))
+    return out.select(parts[0].alias("column_a"), parts[1].alias("column_b"), "r")
 
 
 def strong_pairs(pairs: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -219,10 +227,10 @@ def strong_pairs(pairs: DataFrame, threshold: float = 0.3) -> DataFrame:
 def feature_label_correlation(df: DataFrame, features: list[str], labels: list[str],
                               constant_as_zero: bool = False) -> DataFrame:
     """``(feature, label, r)`` of all features with all labels, one pass."""
-    rows = [(f"{f}|{y}", {"r": F.corr(F.col(f).cast("double"), F.col(y).cast("double"))})
+    rows = [(f"{f}|{y}", {"r": correlation(F.col(f), F.col(y))})
             for f in features for y in labels]
     parts = F.split("pair", r"\|")
-    r = not_nan(F.col("r"))
+    r = F.col("r")
     if constant_as_zero:
         r = F.coalesce(r, F.lit(0.0))
     return long_rows(rows, "pair", df).select(parts[0].alias("feature"), parts[1].alias("label"), r.alias("r"))
