@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,3 +49,8 @@ def cut_lineage(df):
     """Write ``df`` to the shared checkpoint folder and read it from there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name next to the checkpoints, seen by all executors."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
