@@ -16,11 +16,12 @@ from .profile import long_rows
 THRESHOLDS = [0.1 + 0.05 * i for i in range(16)]
 
 
-def long_predictions(df: DataFrame, row_id: str, truth: dict[str, str], score: dict[str, str]) -> DataFrame:
+def long_predictions(df: DataFrame, row_id: str, truth: dict[str, str], score: dict[str, str],
+                     keep: list[str] = ()) -> DataFrame:
     """Wide label and score columns to ``(row_id, label, y, p)``."""
     entries = F.array(*[
         F.struct(F.lit(k).alias("label"), F.col(truth[k]).cast("int").alias("y"), F.col(score[k]).cast("double").alias("p")) for k in truth])
-    return df.select(row_id, F.explode(entries).alias("e")).select(row_id, "e.*")
+    return df.select(row_id, *keep, F.explode(entries).alias("e")).select(row_id, *keep, "e.*")
 
 
 def predict(df: DataFrame, threshold: float | Column = 0.5, strict: bool = False) -> DataFrame:

@@ -101,6 +101,17 @@ def _estimator(kind: str, params: dict, total_weight: float, features: str, labe
     raise ValueError(f"unknown model kind {kind}")
 
 
+#: Below this many rows per task an optimiser step is mostly scheduling.
+ROWS_PER_TASK = 5000
+
+
+def pack(data: DataFrame, rows: int) -> DataFrame:
+    """Merge partitions of a table that is small for its partition count.
+    Large tables keep theirs."""
+    wanted = max(1, -(-rows // ROWS_PER_TASK))
+    return data.coalesce(wanted) if wanted < data.rdd.getNumPartitions() else data
+
+
 def fit_labels(df: DataFrame, labels: list[str], kind: str = "logistic", features: str = "features", balanced: bool = True,
                parallelism: int = 4, materialise: bool = True, **params) -> LabelModels:
     """One classifier per 0/1 label column. A label with a single class gets a
@@ -109,6 +120,8 @@ def fit_labels(df: DataFrame, labels: list[str], kind: str = "logistic", feature
     if materialise:
         data = cut_lineage(data)
     sizes = class_sizes(data, labels)
+    if materialise:
+        data = pack(data, sizes[labels[0]][0])
 
     def fit(label: str):
         n, pos = sizes[label]
@@ -123,10 +136,11 @@ def fit_labels(df: DataFrame, labels: list[str], kind: str = "logistic", feature
     return LabelModels(kind, list(labels), dict(zip(labels, fitted)), features)
 
 
-def predictions(models: LabelModels, df: DataFrame, row_id: str, thresholds: dict[str, float] | None = None) -> DataFrame:
+def predictions(models: LabelModels, df: DataFrame, row_id: str, thresholds: dict[str, float] | None = None,
+                keep: list[str] = ()) -> DataFrame:
     """Long ``(row_id, label, y, p, pred)``; without thresholds 0.5 is used."""
     scored = models.transform(df)
-    long = metrics.long_predictions(scored, row_id, {c: c for c in models.labels}, {c: f"proba_{c}" for c in models.labels})
+    long = metrics.long_predictions(scored, row_id, {c: c for c in models.labels}, {c: f"proba_{c}" for c in models.labels}, keep)
     if thresholds:
         cut = F.lit(0.5)
         for label, t in thresholds.items():
@@ -153,16 +167,21 @@ def grid_search(df: DataFrame, labels: list[str], row_id: str, fold: str = "fold
     """
     grid = GRID if grid is None else grid
     data = cut_lineage(df.select(row_id, features, fold, *labels))
+    data = pack(data, data.count())
     folds = sorted(r[0] for r in data.select(fold).distinct().limit(100).collect())
 
     def run(job: tuple[int, int]) -> tuple:
         index, held_out = job
         point = dict(grid[index])
         balanced = point.pop("balanced", True)
-        train, test = data.where(F.col(fold) != held_out), data.where(F.col(fold) == held_out)
+        train = data.where(F.col(fold) != held_out)
         fitted = fit_labels(train, labels, kind, features, balanced, parallelism=1, materialise=False, **{**params, **point})
-        scores = [metrics.overall(metrics.confusion(predictions(fitted, side, row_id))).first() for side in (train, test)]
-        return (index, point.get("C"), point.get("l1_ratio"), balanced, int(held_out), scores[0]["macro_f1"], scores[1]["macro_f1"])
+        scored = predictions(fitted, data, row_id, keep=[fold])
+        sides = scored.withColumn("label", F.concat(F.when(F.col(fold) == held_out, "test:").otherwise("train:"), "label"))
+        side = F.split_part("label", F.lit(":"), F.lit(1))
+        f1 = metrics.per_label(metrics.confusion(sides)).groupBy(side.alias("side")).agg(F.avg("f1").alias("f1"))
+        scores = {r["side"]: r["f1"] for r in f1.collect()}
+        return (index, point.get("C"), point.get("l1_ratio"), balanced, int(held_out), scores.get("train"), scores.get("test"))
 
     jobs = [(i, f) for i in range(len(grid)) for f in folds]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:

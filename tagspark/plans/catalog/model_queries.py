@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from ...functions import text
-from ...operators import metrics as met, models, splits, tags as tag_ops
+from ...operators import metrics as met, models, splits, tags as tag_ops, tfidf
 from ...session import cut_lineage, shared_path
 from ...sources import readers, writers
 from .. import prepare, scoring, training
@@ -107,7 +107,7 @@ def _trained(spark, folder, kind="logistic", **params):
 @query("vec4_assembled_features")
 def vec4(spark, folder):
     train, test = _split(spark, folder)
-    state = prepare.fit(train, OPTIONS, shared_path(spark, "state"))
+    state = prepare.fit(prepare.stored_base(train, OPTIONS), OPTIONS, shared_path(spark, "state"))
     vectors = prepare.features(test, state)
     v = vector_to_array("features")
     return vectors.select("p_id", F.size(v).alias("size"), F.size(F.filter(v, lambda x: x != 0)).alias("non_zero"))
@@ -127,13 +127,15 @@ def small_features(spark, folder):
     dense = documents(spark, folder).select(
         "doc_id", text.char_length(c).cast("double").alias("chars"), text.word_count(c).cast("double").alias("words"),
         text.numeric_ratio(c).alias("numeric_ratio"), text.ascii_ratio(c).alias("ascii_ratio"))
-    rows = labels.join(dense, "doc_id").join(e, "doc_id")
-    return models.assemble(rows, ["e", "chars", "words", "numeric_ratio", "ascii_ratio"]).select("doc_id", "features", "quality", "toxic")
+    numbers = ["chars", "words", "numeric_ratio", "ascii_ratio"]
+    rows = cut_lineage(labels.join(dense, "doc_id").join(e, "doc_id"))
+    rows = tfidf.apply_scaler(rows, tfidf.fit_scaler(rows, numbers), numbers)
+    return models.assemble(rows, ["e", *numbers]).select("doc_id", "features", "quality", "toxic")
 
 
 def _tree_scores(spark, folder, kind, **params):
     rows = cut_lineage(small_features(spark, folder))
-    fitted = models.fit_labels(rows, ["quality", "toxic"], kind, materialise=False, **params)
+    fitted = models.fit_labels(rows, ["quality", "toxic"], kind, **params)
     return met.per_label(met.confusion(models.predictions(fitted, rows, "doc_id")))
 
 
@@ -150,13 +152,13 @@ def mod3(spark, folder):
 @query("mod5_grid_search")
 def mod5(spark, folder):
     rows = splits.stratified_folds(small_features(spark, folder), ["quality", "toxic"], "doc_id")
-    results = models.grid_search(rows, ["quality", "toxic"], "doc_id", max_iter=50)
+    grid = [{"C": c, "l1_ratio": l1, "balanced": True} for c in (0.5, 2.0) for l1 in (0.0, 0.5)]
+    results = models.grid_search(rows, ["quality", "toxic"], "doc_id", grid=grid)
     return models.search_summary(results)
 
 
 def _coefficients(spark, folder):
-    rows = cut_lineage(small_features(spark, folder))
-    fitted = models.fit_labels(rows, ["quality", "toxic"], materialise=False)
+    fitted = models.fit_labels(small_features(spark, folder), ["quality", "toxic"])
     size = fitted.models["quality"].numFeatures
     fitted.names = [f"e{i}" for i in range(size - 4)] + ["chars", "words", "numeric_ratio", "ascii_ratio"]
     fitted.blocks = {"embedding": (0, size - 4), "dense": (size - 4, size)}
@@ -181,7 +183,7 @@ def top12_mean(spark, folder):
 @query("sco1_batch_scoring_features")
 def sco1(spark, folder):
     train, test = _split(spark, folder)
-    state = prepare.fit(train, OPTIONS, shared_path(spark, "state"))
+    state = prepare.fit(prepare.stored_base(train, OPTIONS), OPTIONS, shared_path(spark, "state"))
     columns = ["time_limit_seconds", *prepare.LATEX_NUMBERS, *prepare.LENGTHS]
     return prepare.features(test, state).select("p_id", "clean_description", "unified_document_without_latex", *columns)
 

@@ -16,6 +16,7 @@ from ..constants import PRIORITY_TAGS
 from ..functions import latex, numeric, text
 from ..operators import models, profile, symbols, tags, tfidf, validation
 from ..operators.joins import apply_translations
+from ..session import cut_lineage
 
 LATEX_NUMBERS = ["nb_latex_blocks", "nb_latex_symbols", "latex_density", "latex_symbols_density"]
 BASE_NUMBERS = ["difficulty", "time_limit_seconds"]
@@ -142,15 +143,22 @@ class FittedState:
                    spark.read.parquet(f"{path}/vocabulary"), meta["size"])
 
 
-def fit(train: DataFrame, o: Options, state_path: str) -> FittedState:
-    """Learn symbols, fill values, scaling and vocabulary; write the
-    vocabulary to ``state_path`` so later jobs read it instead of refitting.
+def stored_base(df: DataFrame, o: Options, keep: list[str] = ()) -> DataFrame:
+    """The derived columns fitting reads, written once to the checkpoint
+    folder: several passes follow, and each would repeat the text work."""
+    columns = [o.key, "_text", *LATEX_NUMBERS, *BASE_NUMBERS, *LENGTHS, "unified_document_without_latex", *keep]
+    return cut_lineage(base_columns(df, o).select(*columns))
+
+
+def fit(base: DataFrame, o: Options, state_path: str) -> FittedState:
+    """Learn symbols, fill values, scaling and vocabulary from the base
+    columns of the training rows; write the vocabulary to ``state_path`` so
+    later jobs read it instead of refitting.
 
     Only bounded results reach the driver: at most ``top_symbols`` names and
     one number pair per dense column.
     """
-    spark = train.sparkSession
-    base = base_columns(train, o)
+    spark = base.sparkSession
     presence = symbols.symbol_presence(base, "_text", o.key)
     chosen = symbols.selected_list(symbols.select_symbols(presence, o.top_symbols, o.min_symbol_docs), o.top_symbols)
     fills = {r["column"]: r["value"] for r in profile.fill_statistics(base, BASE_NUMBERS).collect()}
@@ -175,8 +183,11 @@ def dense_columns(base: DataFrame, chosen: list[str], fills: dict[str, float]) -
 def features(df: DataFrame, state: FittedState, embedding: str | None = None) -> DataFrame:
     """Rows with a ``features`` vector: TF-IDF, then the embedding if there is
     one, then the scaled dense columns."""
+    return features_of_base(base_columns(df, state.options), state, embedding)
+
+
+def features_of_base(base: DataFrame, state: FittedState, embedding: str | None = None) -> DataFrame:
     o = state.options
-    base = base_columns(df, o)
     dense = tfidf.apply_scaler(dense_columns(base, state.symbols, state.fills), state.scaler, state.dense)
     vectors = tfidf.vectors(base, "unified_document_without_latex", o.key, state.vocabulary, max(1, state.vocabulary_size),
                             ngrams=o.ngrams, max_features=o.max_features)

@@ -42,9 +42,11 @@ def train(rows: DataFrame, o: prepare.Options, state_path: str, kind: str = "log
           tune: bool = True, **params) -> TrainedPipeline:
     """``rows`` are training rows with targets."""
     labels = prepare.target_names(o.labels)
-    state = prepare.fit(rows, o, state_path)
-    data = prepare.features(rows, state, embedding).select(o.key, "features", *labels)
-    data = models.cut_lineage(data)
+    keep = labels + ([embedding] if embedding else [])
+    base = prepare.stored_base(rows, o, keep)
+    state = prepare.fit(base, o, state_path)
+    data = models.cut_lineage(prepare.features_of_base(base, state, embedding).select(o.key, "features", *labels))
+    data = models.pack(data, data.count())
     fitted = models.fit_labels(data, labels, kind, materialise=False, **params)
     fitted.blocks = prepare.feature_blocks(state)
     thresholds = {}
