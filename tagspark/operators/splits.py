@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import bucket, order_key
+from ..session import cut_lineage
 from .profile import long_rows
 
 MAX_STRATIFY_LABELS = 12
@@ -52,14 +53,17 @@ def seeded_sample(df: DataFrame, row_id: str, n: int, seed: int = 42) -> DataFra
     return df.where(order_key(F.col(row_id), seed) <= F.coalesce(cut, F.lit("g")))
 
 
-def grouped_split(df: DataFrame, group: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+def grouped_split(df: DataFrame, group: str, test_size: float = 0.2, seed: int = 42, fix: bool = False) -> DataFrame:
     """Add ``is_test``; all rows of a group fall on one side.
 
-    Exactly ``int(n_groups * test_size)`` groups are test groups.
+    Exactly ``int(n_groups * test_size)`` groups are test groups. ``fix`` finds
+    the cutoff now (one text on the driver) instead of in every later job.
     """
     groups = df.select(group).distinct().select(order_key(F.coalesce(F.col(group).cast("string"), F.lit("\x00")), seed).alias("h"))
     k = groups.agg(F.floor(F.count("*") * test_size)).scalar()
     cut = nth_hash(groups, k)
+    if fix:
+        cut = F.lit(df.sparkSession.range(0, 1, 1, 1).select(cut.alias("cut")).first()["cut"]).cast("string")
     h = order_key(F.coalesce(F.col(group).cast("string"), F.lit("\x00")), seed)
     return df.withColumn("is_test", h <= F.coalesce(cut, F.lit("")))
 
@@ -98,13 +102,19 @@ def stratified_quotas(keys: DataFrame, take: Column) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, labels: list[str], row_id: str, test_size: float = 0.2, seed: int = 42,
-                     n_test: int | None = None) -> DataFrame:
-    """Add ``is_test`` so that every label combination keeps its share."""
+                     n_test: int | None = None, fix: bool = False) -> DataFrame:
+    """Add ``is_test`` so that every label combination keeps its share.
+
+    ``fix`` stores the cutoff table (at most 2^labels rows) now; otherwise each
+    later job finds the cutoffs again.
+    """
     keys = _keys(df, labels, row_id, seed)
     take = F.lit(n_test) if n_test is not None else F.round(F.col("total") * test_size)
     take = F.least(take.cast("bigint"), F.col("total"))
     quotas = stratified_quotas(keys, take).select("stratum", "k")
     cuts = hash_cutoffs(keys, quotas).select(F.col("stratum").alias("_stratum"), "cutoff")
+    if fix:
+        cuts = cut_lineage(cuts.coalesce(1))
     rows = df.withColumn("_combo", label_combination(labels))
     joined = rows.join(F.broadcast(cuts), F.col("_combo") == F.col("_stratum"), "left")
     flag = F.coalesce(order_key(F.col(row_id), seed) <= F.col("cutoff"), F.lit(False))

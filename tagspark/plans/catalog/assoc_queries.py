@@ -167,7 +167,7 @@ FEATURE_SYMBOLS = ["\\le", "\\leq", "\\gcd", "\\frac", "\\sum", "\\binom"]
 @query("ltx6_apply_symbol_list", CTE + "SELECT p_id, " + ", ".join(
     f"CAST(contains(description, '{s}') AS INTEGER) AS {latex.feature_name(s)}" for s in FEATURE_SYMBOLS) + f" FROM problems WHERE {IS_TEST_SQL}")
 def ltx6(spark, folder):
-    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id"))
+    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id", fix=True))
     fitted = sym.selected_list(sym.select_symbols(sym.symbol_presence(train, "description", "p_id")))
     # \\binom is in no text: a symbol without occurrences gives a column of zeros.
     names = [s for s in FEATURE_SYMBOLS if s in fitted or s == "\\binom"]
@@ -354,7 +354,7 @@ def set3(spark, folder):
 def val4(spark, folder):
     from ...operators.validation import compare_columns
 
-    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id"))
+    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id", fix=True))
 
     def features(rows):
         names = sym.selected_list(sym.select_symbols(sym.symbol_presence(rows, "description", "p_id")))

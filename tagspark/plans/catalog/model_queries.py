@@ -96,7 +96,7 @@ TARGETS = prepare.target_names(OPTIONS.labels)
 
 def _split(spark, folder):
     rows = prepare.with_targets(problems(spark, folder), OPTIONS)
-    return splits.train_test(splits.stratified_split(rows, TARGETS, OPTIONS.key))
+    return splits.train_test(splits.stratified_split(rows, TARGETS, OPTIONS.key, fix=True))
 
 
 def _trained(spark, folder, kind="logistic", **params):

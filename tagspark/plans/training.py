@@ -35,7 +35,7 @@ def prepare_split(df: DataFrame, o: prepare.Options, test_size: float = 0.2, see
     hashed = duplicates.with_hash(df, o.description, hash_column="_hash")
     unique = duplicates.keep_first(hashed, "_hash", o.key).drop("_hash")
     rows = prepare.with_targets(unique, o)
-    return splits.stratified_split(rows, prepare.target_names(o.labels), o.key, test_size, seed)
+    return splits.stratified_split(rows, prepare.target_names(o.labels), o.key, test_size, seed, fix=True)
 
 
 def train(rows: DataFrame, o: prepare.Options, state_path: str, kind: str = "logistic", embedding: str | None = None,
