@@ -182,15 +182,23 @@ def shifted_concat(items: Column, tail: Column, shift: int, separator: str = "")
     return F.slice(glued, F.lit(1), F.greatest(n - shift, F.lit(0)))
 
 
-def char_ngrams(c: Column, n: int = 3) -> Column:
-    """Overlapping character n-grams of the lower-cased text.
+def _windows(c: Column, least: int, most: int) -> Column:
+    """One window per text position, from a single regex pass with an empty
+    match per position (``substring(text, i, n)`` per position would be
+    quadratic). No window starts inside a surrogate pair."""
+    pattern = rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{least - 1},{most - 1}}}))"
+    found = F.regexp_extract_all(F.lower(c), F.lit(pattern), F.lit(1))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
-    One regex pass with an empty match per position; ``substring(text, i, n)``
-    per position would be quadratic. No match starts inside a surrogate pair.
-    """
-    pattern = rf"(?s)(?=([^\x{{DC00}}-\x{{DFFF}}].{{{n - 1}}}))"
-    grams = F.regexp_extract_all(F.lower(c), F.lit(pattern), F.lit(1))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+
+def char_windows(c: Column, size: int) -> Column:
+    """Up to ``size`` characters from each position, shorter at the end."""
+    return _windows(c, 1, size)
+
+
+def char_ngrams(c: Column, n: int = 3) -> Column:
+    """Overlapping character n-grams of the lower-cased text."""
+    return _windows(c, n, n)
 
 
 def word_tokens(c: Column, min_length: int = 1) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..constants import CONTEXT_STOP_WORDS, ENGLISH_STOP_WORDS, NUMBER_TOKENS, PRIORITY_TAGS
 from ..functions import latex, text
-from .tags import explode_tags
+from .tags import keep_tags
 
 
 def stop_words(*extra: list[str]) -> list[str]:
@@ -44,8 +44,15 @@ def top_per(df: DataFrame, group: str, order: list, n: int, rank: str = "rank")
 
 def counts_by_tag(df: DataFrame, items: Column, name: str, tags: str = "tags",
                   allowed: list[str] = PRIORITY_TAGS) -> DataFrame:
-    long = explode_tags(df, items.alias("_items"), tags=tags, allowed=allowed)
-    return long.select("tag", F.explode("_items").alias(name)).groupBy("tag", name).agg(F.count("*").alias("count"))
+    """``(tag, name, count)``, and under an empty tag the counts of all rows.
+
+    Items are counted per combination of the row's tags, one row each, and
+    the few combinations are unfolded into tags afterwards.
+    """
+    combo = F.array_distinct(F.concat(F.array(F.lit("")), keep_tags(tags, allowed)))
+    rows = df.select(combo.alias("_tags"), items.alias("_items"))
+    counts = rows.select("_tags", F.explode("_items").alias(name)).groupBy("_tags", name).agg(F.count("*").alias("_n"))
+    return counts.select(name, "_n", F.explode("_tags").alias("tag")).groupBy("tag", name).agg(F.sum("_n").alias("count"))
 
 
 def top_words_by_tag(df: DataFrame, column: str, top_n: int = 15, pool: int = 500, remove_latex: bool = True,
@@ -55,7 +62,7 @@ def top_words_by_tag(df: DataFrame, column: str, top_n: int = 15, pool: int = 50
     c = F.col(column)
     source = latex.plain_text(c) if remove_latex else F.lower(c)
     items = F.coalesce(text.words(source), F.array().cast("array<string>"))
-    counts = counts_by_tag(df, items, "word", tags, allowed)
+    counts = counts_by_tag(df, items, "word", tags, allowed).where("tag <> ''")
     common = top_per(counts, "tag", [F.desc("count"), "word"], pool).drop("rank")
     kept = without_stop_words(common.where(F.length("word") > 2), words or stop_words())
     return top_per(kept, "tag", [F.desc("count"), "word"], top_n).select("tag", "rank", "word", "count")
@@ -65,15 +72,21 @@ def top_vector_words_by_tag(df: DataFrame, column: str, top_n: int = 10, words:
                             tags: str = "tags", allowed: list[str] = PRIORITY_TAGS) -> DataFrame:
     """Most frequent vectoriser tokens (two or more characters) per tag."""
     items = text.word_tokens(text.letters_only(F.col(column)), 2)
-    counts = without_stop_words(counts_by_tag(df, items, "word", tags, allowed), list(words))
+    counts = without_stop_words(counts_by_tag(df, items, "word", tags, allowed).where("tag <> ''"), list(words))
     return top_per(counts, "tag", [F.desc("count"), "word"], top_n).select("tag", "rank", "word", "count")
 
 
 def char_ngram_counts(df: DataFrame, column: str, sizes: list[int]) -> DataFrame:
-    """``(n, gram, count)`` over all sizes in one scan."""
-    grams = F.concat(*[text.char_ngrams(F.col(column), n) for n in sizes])
-    counts = df.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("count"))
-    return counts.select(F.length("gram").alias("n"), "gram", "count")
+    """``(n, gram, count)`` over all sizes.
+
+    Each text position yields one window of the largest size (shorter at the
+    end). Windows are counted first; the smaller n-grams are their prefixes.
+    """
+    windows = text.char_windows(F.col(column), max(sizes))
+    counts = df.select(F.explode(windows).alias("w")).groupBy("w").agg(F.count("*").alias("_n"))
+    per_size = counts.select("w", "_n", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("n")).where(F.length("w") >= F.col("n"))
+    gram = F.substring(F.col("w"), F.lit(1), F.col("n"))
+    return per_size.groupBy("n", gram.alias("gram")).agg(F.sum("_n").alias("count"))
 
 
 def top_char_ngrams(df: DataFrame, column: str, sizes: tuple[int, int] = (3, 5), top_n: int = 30) -> DataFrame:
@@ -85,10 +98,9 @@ def discriminant_ngrams(df: DataFrame, column: str, n: int = 3, top_n: int = 20,
                         tags: str = "tags", allowed: list[str] = PRIORITY_TAGS) -> DataFrame:
     """Log-ratio of a tag's n-gram frequency to the overall frequency, among
     the ``pool`` most common n-grams of the tag."""
-    rows = df.where(F.col(column).isNotNull())
-    grams = text.char_ngrams(F.col(column), n)
-    overall = rows.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n_all"))
-    by_tag = counts_by_tag(rows, grams, "gram", tags, allowed)
+    counts = counts_by_tag(df, text.char_ngrams(F.col(column), n), "gram", tags, allowed)
+    overall = counts.where("tag = ''").select("gram", F.col("count").alias("n_all"))
+    by_tag = counts.where("tag <> ''")
     tag_totals = by_tag.groupBy("tag").agg(F.sum("count").alias("tag_total"))
     pooled = top_per(by_tag, "tag", [F.desc("count"), "gram"], pool).drop("rank")
     # At most len(allowed) * pool rows: safe to broadcast against all n-grams.
@@ -104,11 +116,12 @@ def discriminant_ngrams(df: DataFrame, column: str, n: int = 3, top_n: int = 20,
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
     """Occurrences and documents per token, in one pass without a shuffle by
-    document: each row emits its tokens and, separately, its distinct ones."""
-    every = F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(1).alias("o"), F.lit(0).alias("d")))
-    once = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("token"), F.lit(0).alias("o"), F.lit(1).alias("d")))
-    return df.select(F.explode(F.concat(every, once)).alias("r")).select("r.*").groupBy("token").agg(
-        F.sum("o").alias("count"), F.sum("d").alias("n_docs"))
+    document: each row unfolds its tokens followed by its distinct tokens, and
+    the position tells which is which."""
+    rows = df.select(tokens.alias("_t"))
+    unfolded = rows.select(F.size("_t").alias("_n"), F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_i", "token"))
+    first = (F.col("_i") < F.col("_n")).cast("long")
+    return unfolded.groupBy("token").agg(F.sum(first).alias("count"), F.sum(1 - first).alias("n_docs"))
 
 
 def top_tokens(df: DataFrame, clean: str, top_n: int = 30) -> DataFrame:
@@ -123,8 +136,8 @@ def number_token_counts(df: DataFrame, clean: str) -> DataFrame:
 
 def bigram_counts(df: DataFrame, clean: str, min_df: int = 2) -> DataFrame:
     """Bigrams of vectoriser tokens in at least ``min_df`` documents."""
-    grams = text.word_ngrams(text.word_tokens(F.col(clean), 2), 2)
-    return token_counts(df, grams).where(F.col("n_docs") >= min_df).withColumnRenamed("token", "bigram")
+    tokens = df.select(text.word_tokens(F.col(clean), 2).alias("_k"))
+    return token_counts(tokens, text.word_ngrams(F.col("_k"), 2)).where(F.col("n_docs") >= min_df).withColumnRenamed("token", "bigram")
 
 
 # Language identification ----------------------------------------------------

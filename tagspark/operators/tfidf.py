@@ -10,11 +10,17 @@ from .tags import row_total
 from .terms import token_counts
 
 
-def terms_of(column: Column, ngrams: tuple[int, int] = (1, 2), lowercase: bool = False) -> Column:
+def tokenised(df: DataFrame, column: str, *keep: str, lowercase: bool = False) -> DataFrame:
+    """``keep`` and the token list ``_k``. Tokens are a column of their own
+    because n-grams refer to them several times."""
+    c = F.col(column)
+    return df.select(*keep, text.word_tokens(F.lower(c) if lowercase else c, 2).alias("_k"))
+
+
+def terms_of(tokens: str = "_k", ngrams: tuple[int, int] = (1, 2)) -> Column:
     """Vectoriser terms: tokens of two or more word characters and their
     n-grams."""
-    tokens = text.word_tokens(F.lower(column) if lowercase else column, 2)
-    parts = [text.word_ngrams(tokens, n) for n in range(ngrams[0], ngrams[1] + 1)]
+    parts = [text.word_ngrams(F.col(tokens), n) for n in range(ngrams[0], ngrams[1] + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
@@ -25,7 +31,7 @@ def fit_vocabulary(df: DataFrame, column: str, ngrams: tuple[int, int] = (1, 2),
     Document-frequency limits come first, then the ``max_features`` most
     frequent terms (by term on ties). Smoothed idf: ``ln((1+N)/(1+df)) + 1``.
     """
-    counts = token_counts(df, terms_of(F.col(column), ngrams, lowercase)).withColumnRenamed("token", "term")
+    counts = token_counts(tokenised(df, column, lowercase=lowercase), terms_of("_k", ngrams)).withColumnRenamed("token", "term")
     sized = counts.withColumn("total", row_total(df))
     kept = sized.where((F.col("n_docs") >= min_df) & (F.col("n_docs") <= max_df * F.col("total")))
     idf = F.ln((F.lit(1.0) + F.col("total")) / (F.lit(1.0) + F.col("n_docs"))) + 1
@@ -51,7 +57,8 @@ def weights(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, ngra
     """
     keep = keep or ["term"]
     placed = df.select(doc_id, column).repartition(F.col(doc_id))
-    unfolded = placed.select(doc_id, F.explode_outer(terms_of(F.col(column), ngrams, lowercase)).alias("term"))
+    tokens = tokenised(placed, column, doc_id, lowercase=lowercase)
+    unfolded = tokens.select(doc_id, F.explode_outer(terms_of("_k", ngrams)).alias("term"))
     if max_features is not None and max_features <= 200_000:
         vocabulary = F.broadcast(vocabulary)
         known = unfolded.join(vocabulary, "term", "left").withColumn("term", F.when(F.col("idf").isNotNull(), F.col("term")))

@@ -48,7 +48,7 @@ def jn5(spark, folder):
     from ...operators.joins import with_doc_counts
 
     d = documents(spark, folder)
-    terms = d.select("doc_id", F.explode(tfidf.terms_of(F.col("text"))).alias("term"))
+    terms = tfidf.tokenised(d, "text", "doc_id").select("doc_id", F.explode(tfidf.terms_of()).alias("term"))
     looked_up = with_doc_counts(terms, vocab_of(spark, folder).select("term", "idf"), "term", 5000)
     return looked_up.groupBy("doc_id").agg(rnd(F.sum("idf"), 4).alias("score"))
 
