@@ -105,7 +105,8 @@ def letters_only(c: Column) -> Column:
 
 def tokenize_numbers(c: Column) -> Column:
     """Numbers become tokens by kind; digits glued to letters (``n1``) stay."""
-    start, end = f"(?<![{WORD}])", f"(?![{WORD}])"
+    # The look-ahead comes first: most positions hold no digit and stop there.
+    start, end = rf"(?=\p{{Nd}})(?<![{WORD}])", f"(?![{WORD}])"
     digits = r"\p{Nd}+"
     steps = [
         (f"(?i){start}{digits}e[+-]?{digits}{end}", " NUM_EXP "),

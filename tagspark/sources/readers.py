@@ -66,14 +66,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a table stored in a few pieces.
+    """Use all cores for a table stored in fewer pieces than there are cores.
 
-    A scan with at least a quarter as many splits as there are cores is left
-    alone, so large tables are never shuffled for this. ``df`` must be a scan:
-    asking a scan for its splits reads no data.
+    A table with more splits is left alone, so large tables are never shuffled
+    for this. ``df`` must be a scan: asking a scan for its splits reads no data.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 <= cores:
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, key)
     return df
 
