@@ -50,9 +50,9 @@ def counts_by_tag(df: DataFrame, items: Column, name: str, tags: str = "tags",
     the few combinations are unfolded into tags afterwards.
     """
     combo = F.array_distinct(F.concat(F.array(F.lit("")), keep_tags(tags, allowed)))
-    rows = df.select(combo.alias("_tags"), items.alias("_items"))
+    rows = df.select(F.array_join(combo, "\x01").alias("_tags"), items.alias("_items"))
     counts = rows.select("_tags", F.explode("_items").alias(name)).groupBy("_tags", name).agg(F.count("*").alias("_n"))
-    return counts.select(name, "_n", F.explode("_tags").alias("tag")).groupBy("tag", name).agg(F.sum("_n").alias("count"))
+    return counts.select(name, "_n", F.explode(F.split("_tags", "\x01")).alias("tag")).groupBy("tag", name).agg(F.sum("_n").alias("count"))
 
 
 def top_words_by_tag(df: DataFrame, column: str, top_n: int = 15, pool: int = 500, remove_latex: bool = True,
