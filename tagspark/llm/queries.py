@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash_covering
+from . import pii_crf, simhash_covering
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -15,4 +15,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash_covering.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op10_pii")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: pattern spans and what the CRF adds."""
+    return pii_crf.find_personal_data(table(spark, folder, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
