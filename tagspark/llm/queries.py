@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pii_crf, simhash_covering
+from . import language_cnn, pii_crf, simhash_covering
 from .registry import ORACLES, QUERIES, query, table
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document by the byte network."""
+    return language_cnn.identify(table(spark, folder, "documents"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
