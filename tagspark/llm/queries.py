@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_cnn, pii_crf, simhash_covering
+from . import language_cnn, mixing, pii_crf, simhash_covering
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -14,6 +14,38 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return language_cnn.identify(table(spark, folder, "documents"))
 
 
+MIX_SQL = r"""WITH RECURSIVE sizes AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
+named AS (SELECT *, 1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS weight FROM totals),
+stated AS (SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER w, 0) AS left_over,
+    sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS heavy
+  FROM named WINDOW w AS (ORDER BY source_size / weight::DOUBLE, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+filled AS (SELECT *, left_over * weight > 3 * source_size * heavy AS over_cap FROM stated),
+level AS (SELECT max(left_over::DOUBLE / heavy::DOUBLE) AS level FROM filled WHERE NOT over_cap),
+targets AS (SELECT source, source_size, CASE WHEN over_cap THEN (3 * source_size)::DOUBLE ELSE level * weight END AS target FROM filled, level),
+rates AS (SELECT *, CASE WHEN source_size > 0 THEN floor(round(target / source_size, 9)) ELSE 0 END AS whole FROM targets),
+ranked AS (SELECT doc_id, s.source, h, size, source_size, target, whole, target - whole * source_size AS extra,
+    sum(size) OVER (PARTITION BY s.source ORDER BY h, size ROWS UNBOUNDED PRECEDING) <= target - whole * source_size AS more
+  FROM sizes s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
+gaps AS (SELECT source, any_value(extra) - sum(CASE WHEN more THEN size ELSE 0 END) AS gap FROM ranked GROUP BY source),
+fits AS (SELECT * FROM (SELECT r.source, doc_id, size, gap, row_number() OVER (PARTITION BY r.source ORDER BY h, size) AS n
+  FROM ranked r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source WHERE NOT more AND size > 0 AND size <= gap) WHERE n <= 256),
+fill AS (SELECT source, doc_id, n, CASE WHEN size <= gap THEN gap - size ELSE gap END AS gap, size <= gap AS took FROM fits WHERE n = 1
+  UNION ALL SELECT f.source, f.doc_id, f.n, CASE WHEN f.size <= p.gap THEN p.gap - f.size ELSE p.gap END, f.size <= p.gap
+  FROM fill p JOIN fits f ON f.source IS NOT DISTINCT FROM p.source AND f.n = p.n + 1)
+SELECT r.doc_id, size, source_size, target,
+  (least(whole + CASE WHEN more OR coalesce(f.took, FALSE) THEN 1 ELSE 0 END, 3) * size)::BIGINT AS taken
+FROM ranked r LEFT JOIN fill f ON r.doc_id = f.doc_id"""
+
+
+@query("op2_mix_sources", MIX_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
