@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_cnn, mixing, pii_crf, simhash_covering
+from . import language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -46,6 +46,12 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_sentencepiece")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives the text back."""
+    return sentencepiece_unigram.round_trip(table(spark, folder, "documents"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
