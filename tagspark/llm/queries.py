@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering
+from . import language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -59,6 +59,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash_covering.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op7_fingerprints")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited form."""
+    return syncmers.fingerprint_edits(table(spark, folder, "documents"))
+
+
 @query("op10_pii")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document: pattern spans and what the CRF adds."""
