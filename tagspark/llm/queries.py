@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering, syncmers
+from . import language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -52,6 +52,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_unigram.round_trip(table(spark, folder, "documents"))
 
 
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document loses to repeated passages, and a digest of the rest."""
+    kept = substring_cover.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
