@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
+from . import html_blocks, language_cnn, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -72,6 +72,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, folder, "documents"))
 
 
+@query("op8_html_extraction")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.extract_pages(table(spark, folder, "pages"))
+
+
 @query("op10_pii")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document: pattern spans and what the CRF adds."""
