@@ -1,0 +1,137 @@
+"""Cross-entropy difference of two matched n-gram models.
+
+The target model learns from the documents marked as target, the background
+model from all others. Both have one vocabulary of ``SYMBOLS`` symbols: letters
+without case, space, digits, marks and eight classes of other UTF-8 bytes. So all
+n-grams of order 4 fit into one table of ``SYMBOLS ** 4`` counts: it is exact, does
+not fill up as the corpus grows, and bounds what is collected and broadcast. The
+background counts are scaled to the target's number of symbols, so smoothing
+weighs the same in both models. A document's score is the mean over its symbols
+of how much better the target model expects them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+
+SYMBOLS = 40
+ORDER = 4
+CELLS = SYMBOLS**ORDER
+#: Weight of the next lower order in an order, and of the uniform model in the lowest.
+PRIOR = 4.0
+#: Bytes worked on at once; longer texts go in pieces.
+BLOCK = 1 << 20
+
+
+def _symbols() -> np.ndarray:
+    """Symbol of every byte: 0 white space and controls, 1-26 letters, 27 digits, 28-31 marks, 32-39 other bytes."""
+    table = np.full(256, 30, dtype=np.int32)
+    table[:33] = 0
+    table[127] = 0
+    for i in range(26):
+        table[ord("a") + i] = table[ord("A") + i] = 1 + i
+    table[ord("0"):ord("9") + 1] = 27
+    table[ord(".")], table[ord(",")] = 28, 29
+    table[ord("-")] = table[ord("'")] = 31
+    table[128:] = 32 + np.arange(128) % 8
+    return table
+
+
+TABLE = _symbols()
+
+
+def grams(text: bytes | None) -> Iterator[np.ndarray]:
+    """Cells of all n-grams of a text, one per byte; the text begins behind spaces."""
+    data = b" " * (ORDER - 1) + (text or b"")
+    for start in range(0, len(data) - ORDER + 1, BLOCK):
+        s = TABLE[np.frombuffer(data, dtype=np.uint8, count=min(BLOCK + ORDER - 1, len(data) - start), offset=start)]
+        n = len(s) - ORDER + 1
+        cell = s[:n].copy()
+        for k in range(1, ORDER):
+            cell *= SYMBOLS
+            cell += s[k:k + n]
+        yield cell
+
+
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows ``text, target`` to the non-empty cells of a task."""
+    counts = np.zeros((2, CELLS), dtype=np.int64)
+    for pdf in batches:
+        for text, target in zip(pdf["text"], pdf["target"]):
+            for cell in grams(text):
+                if len(cell) * 8 > CELLS:
+                    counts[int(target)] += np.bincount(cell, minlength=CELLS)
+                else:
+                    found, times = np.unique(cell, return_counts=True)
+                    counts[int(target), found] += times
+    used = np.flatnonzero(counts.any(axis=0))
+    for i in range(0, max(len(used), 1), 1 << 18):
+        part = used[i:i + (1 << 18)]
+        yield pd.DataFrame({"cell": part.astype(np.int32), "background": counts[0, part], "target": counts[1, part]})
+
+
+def log_probabilities(counts: np.ndarray) -> np.ndarray:
+    """Of the last symbol of every n-gram, smoothed by the next lower order down to the uniform model."""
+    order = np.full(SYMBOLS, 1 / SYMBOLS)
+    for n in range(1, ORDER + 1):
+        c = counts.reshape(-1, SYMBOLS**n).sum(axis=0).reshape(-1, SYMBOLS)
+        lower = order.reshape(-1, SYMBOLS) if n > 1 else order
+        lower = np.tile(lower, (len(c) // len(lower), 1)) if n > 1 else lower
+        order = (c + PRIOR * lower) / (c.sum(axis=1, keepdims=True) + PRIOR)
+    return np.log(order).reshape(-1).astype(np.float32)
+
+
+def fit(docs: DataFrame, text: str = "text", target: str = "target") -> np.ndarray:
+    """Log probabilities of all cells: row 0 background, row 1 target. Counts all rows.
+
+    At most ``CELLS`` sums reach the driver. A side without text gives the uniform model.
+    """
+    rows = docs.select(F.col(text).cast("binary").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
+    found = rows.mapInPandas(_count, "cell int, background long, target long")
+    sums = found.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toPandas()
+    counts = np.zeros((2, CELLS))
+    counts[0, sums["cell"]] = sums["background"]
+    counts[1, sums["cell"]] = sums["target"]
+    total = counts.sum(axis=1)
+    if total.all():
+        counts[0] *= total[1] / total[0]
+    return np.stack([log_probabilities(c) for c in counts])
+
+
+def score(docs: DataFrame, models: np.ndarray, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_symbols, h_target, h_background, score``: nats per symbol, the difference last.
+
+    Higher scores are more like the target. NULL and empty texts have 0
+    everywhere; repeated rows give repeated results; other columns are not read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        background, target = shared.value
+        for pdf in batches:
+            n = np.zeros(len(pdf), dtype=np.int64)
+            h = np.zeros((2, len(pdf)))
+            for i, data in enumerate(pdf["text"]):
+                for cell in grams(data):
+                    n[i] += len(cell)
+                    h[0, i] -= background[cell].sum(dtype=np.float64)
+                    h[1, i] -= target[cell].sum(dtype=np.float64)
+            h /= np.maximum(n, 1)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_symbols": n, "h_target": h[1], "h_background": h[0], "score": h[0] - h[1]})
+
+    return rows.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_symbols long, h_target double, h_background double, score double")
+
+
+def score_against(docs: DataFrame, targets: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``score`` of every document, the target model learned from those whose id is in ``targets``.
+
+    Ids may repeat in ``targets``; documents with a NULL id belong to the background.
+    """
+    marks = targets.select(F.col(id_column).alias("__id")).distinct().withColumn("target", F.lit(True))
+    marked = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).join(marks, F.col("doc_id") == F.col("__id"), "left")
+    return score(docs, fit(marked.select("text", "target")), id_column, text)
