@@ -109,7 +109,8 @@ def score(docs: DataFrame, models: np.ndarray, id_column: str = "doc_id", text:
     everywhere; repeated rows give repeated results; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    # As text an id survives pandas even where others are NULL.
+    rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         background, target = shared.value
@@ -124,7 +125,8 @@ def score(docs: DataFrame, models: np.ndarray, id_column: str = "doc_id", text:
             h /= np.maximum(n, 1)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_symbols": n, "h_target": h[1], "h_background": h[0], "score": h[0] - h[1]})
 
-    return rows.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_symbols long, h_target double, h_background double, score double")
+    found = rows.mapInPandas(run, "doc_id string, n_symbols long, h_target double, h_background double, score double")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_column].dataType))
 
 
 def score_against(docs: DataFrame, targets: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -199,10 +199,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     if length < PERIOD:
         raise ValueError(f"length must be at least {PERIOD}")
     row = F.shiftrightunsigned(F.xxhash64(text, F.col(id_column).isNull()), 64 - ROW_BITS)
-    keyed = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("dk"),
+    # As text an id survives pandas even where others are NULL.
+    keyed = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("dk"),
                         row.alias("rh"), F.col(text).cast("binary").alias("text"))
-    kind = dict(keyed.dtypes)["doc_id"]
-    dealt = keyed.mapInPandas(_pack, f"doc_id {kind}, dk long, rh long, packed binary").repartition("dk", "rh")
+    dealt = keyed.mapInPandas(_pack, "doc_id string, dk long, rh long, packed binary").repartition("dk", "rh")
     keys = ["dk", "rh"]
     dup = F.shiftrightunsigned("at", POS_BITS).bitwiseAND(1)
     of_row = [F.shiftrightunsigned("at", POS_BITS + 1).alias("rh"), F.col("at").bitwiseAND(DUP_BIT - 1).alias("pos")]
@@ -219,5 +219,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     unique = unique.groupBy(*keys).agg(F.collect_list("pos").alias("uniques"))
 
     rows = dealt.join(repeated, keys, "left").join(unique, keys, "left")
-    return rows.select("doc_id", "packed", "anchors", "uniques").mapInPandas(
-        _remove(length), f"doc_id {kind}, n_words long, n_removed long, kept string")
+    found = rows.select("doc_id", "packed", "anchors", "uniques").mapInPandas(
+        _remove(length), "doc_id string, n_words long, n_removed long, kept string")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_column].dataType))
