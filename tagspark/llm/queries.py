@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html_blocks, language_cnn, lm_difference, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
+from . import embedding_pq, html_blocks, language_cnn, lm_difference, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -52,6 +52,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_unigram.round_trip(table(spark, folder, "documents"))
 
 
+@query("op4_embedding_near_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_pq.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op5_substring_dedup")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """What every document loses to repeated passages, and a digest of the rest."""

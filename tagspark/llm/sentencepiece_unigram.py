@@ -26,8 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Chunks whose pieces a task remembers at most; then it starts anew.
-MEMO = 400_000
+#: Chunks whose pieces a task remembers before it starts anew.
+MEMO = 200_000
+#: Bytes of a chunk that is solved together with others of its length.
+SHORT = 40
+#: Characters or ids worked on at once.
+PART = 1 << 21
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: Where no piece has an ASCII sign behind a Latin letter, a word also ends there.
 LETTER, SIGN = r"[A-Za-zÀ-ÖØ-öø-ÿ]", r"[!-/:-@\[-`{-~]"
@@ -121,6 +125,9 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.base, self.check = np.array(vocabulary.base), np.array(vocabulary.check)
+        self.scores = np.full(len(vocabulary.pieces), -np.inf)
+        self.scores[list(vocabulary.scores)] = list(vocabulary.scores.values())
 
     def best(self, data: bytes) -> tuple[int, ...]:
         """Ids of the segmentation with the highest sum of scores; of equal ones the longer last piece."""
@@ -162,25 +169,98 @@ class Encoder:
             at = start
         return tuple(reversed(out))
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        ids = self.memo.get(chunk)
-        if ids is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            ids = self.memo[chunk] = self.best(chunk.encode())
-        return ids
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text behind the marker that stands for its start."""
-        if not text:
-            return np.empty(0, dtype=np.int32)
-        return np.array(list(chain.from_iterable(map(self.chunk, self.v.chunks.findall(" " + text)))), dtype=np.int32)
+    def solve(self, chunks: list[str]) -> None:
+        """Remember the ids of new chunks. Short ones of one length are solved side by side."""
+        lengths: dict[int, list[tuple[str, bytes]]] = {}
+        for c in chunks:
+            data = c.encode()
+            if len(data) <= SHORT:
+                lengths.setdefault(len(data), []).append((c, data))
+            else:
+                self.memo[c] = self.best(data)
+        for n, group in lengths.items():
+            for c, ids in zip([c for c, _ in group], self._side_by_side([d for _, d in group], n)):
+                self.memo[c] = ids
+
+    def _side_by_side(self, data: list[bytes], n: int) -> list[tuple[int, ...]]:
+        """``best`` for many chunks of n bytes; those with an unknown character go one by one."""
+        base, check, scores = self.base, self.check, self.scores
+        text = np.frombuffer(b"".join(data), dtype=np.uint8).reshape(-1, n).astype(np.int64)
+        m = len(text)
+        best = np.full((m, n + 1), -np.inf)
+        best[:, 0] = 0
+        came = np.zeros((m, n + 1), dtype=np.int64)
+        piece = np.full((m, n + 1), -1, dtype=np.int64)
+        for start in range(n):
+            rows = np.flatnonzero(best[:, start] > -np.inf)
+            state = np.zeros(len(rows), dtype=np.int64)
+            here = best[rows, start]
+            for at in range(start, n):
+                to = base[state] + text[rows, at] + 1
+                alive = check[to] == state
+                rows, state, here = rows[alive], to[alive], here[alive]
+                if not len(rows):
+                    break
+                end = base[state]
+                ends = np.flatnonzero((check[end] == state) & (base[end] < 0))
+                ids = -1 - base[end[ends]]
+                score = here[ends] + scores[ids]
+                r = rows[ends]
+                better = score > best[r, at + 1]
+                r = r[better]
+                best[r, at + 1] = score[better]
+                came[r, at + 1] = start
+                piece[r, at + 1] = ids[better]
+        # A character without a piece of its own may need bytes: those chunks are solved alone.
+        alone = np.zeros(m, dtype=bool)
+        for at in range(n):
+            lead = text[:, at]
+            width = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
+            whole = np.flatnonzero(((lead < 0x80) | (lead >= 0xC0)))
+            state = np.zeros(len(whole), dtype=np.int64)
+            for k in range(4):
+                more = width[whole] > k
+                to = np.where(more, base[state] + text[whole, np.minimum(at + k, n - 1)] + 1, state)
+                alone[whole[more & (check[to] != state)]] = True
+                state = np.where(more & (check[to] == state), to, state)
+            end = base[state]
+            alone[whole[~((check[end] == state) & (base[end] < 0))]] = True
+        steps, at, each = [], np.full(m, n), np.arange(m)
+        at[alone] = 0
+        while at.any():
+            steps.append(np.where(at > 0, piece[each, at], -1))
+            at = np.where(at > 0, came[each, at], 0)
+        table = np.stack(steps[::-1], axis=1).tolist() if steps else [[]] * m
+        return [self.best(d) if x else tuple(i for i in row if i >= 0) for d, x, row in zip(data, alone.tolist(), table)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts, each behind the marker that stands for its start."""
+        chunks = [self.v.chunks.findall(" " + t) if t else [] for t in texts]
+        new = set().union(*chunks)
+        if len(self.memo) + len(new) > MEMO:
+            self.memo.clear()
+        self.solve([c for c in new if c not in self.memo])
+        get = self.memo.__getitem__
+        return [np.array(list(chain.from_iterable(map(get, c))), dtype=np.int32) for c in chunks]
 
     def decode(self, ids) -> str:
         data = b"".join(map(self.v.pieces.__getitem__, ids))
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
+def _parts(values: pd.Series, size) -> Iterator[slice]:
+    """Slices of rows of about ``PART`` characters or ids, or of one row that has more."""
+    start = total = 0
+    for i, v in enumerate(values):
+        n = 0 if v is None else size(v)
+        if i > start and total + n > PART:
+            yield slice(start, i)
+            start, total = i, 0
+        total += n
+    if start < len(values):
+        yield slice(start, len(values))
+
+
 def share(spark: SparkSession, path: str = MODEL) -> Broadcast:
     """The vocabulary for all tasks: its size is the file's, whatever the corpus."""
     return spark.sparkContext.broadcast(load(path))
@@ -193,7 +273,11 @@ def encode(text: Column, vocabulary: Broadcast) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(vocabulary.value)
         for batch in batches:
-            yield pd.Series([None if t is None else encoder.encode(t) for t in batch], dtype=object)
+            out = []
+            for part in _parts(batch, len):
+                texts = batch.iloc[part].tolist()
+                out += [None if t is None else x for t, x in zip(texts, encoder.encode(texts))]
+            yield pd.Series(out, dtype=object)
 
     return run(text)
 
@@ -220,14 +304,27 @@ def tokenize(docs: DataFrame, text: str = "text", path: str = MODEL) -> DataFram
 
 
 def round_trip(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str = MODEL) -> DataFrame:
-    """``doc_id, n_pieces, n_byte_pieces, piece_ids, exact``: encoded whole texts, decoded and compared.
+    """``doc_id, n_pieces, n_byte_pieces, piece_ids, exact``: whole texts encoded, then decoded and compared.
 
-    Repeated rows give repeated results; other columns are not read.
+    A NULL text has NULL ids, no pieces and is exact. Repeated rows give repeated
+    results; other columns are not read.
     """
-    vocabulary = share(docs.sparkSession, path)
-    coded = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), encode(F.col(text), vocabulary).alias("piece_ids"))
-    byte_ids = vocabulary.value.byte_ids
-    fallback = F.size(F.filter("piece_ids", lambda i: i.between(min(byte_ids), max(byte_ids))))
-    return coded.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
-                        F.coalesce(fallback, F.lit(0)).cast("long").alias("n_byte_pieces"), "piece_ids",
-                        decode(F.col("piece_ids"), vocabulary).eqNullSafe(F.col("text")).alias("exact"))
+    shared = share(docs.sparkSession, path)
+    # As text an id survives pandas even where others are NULL.
+    rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(shared.value)
+        least, most = min(encoder.v.byte_ids), max(encoder.v.byte_ids)
+        for pdf in batches:
+            for part in _parts(pdf["text"], len):
+                texts = pdf["text"].iloc[part].tolist()
+                ids = encoder.encode(texts)
+                yield pd.DataFrame({
+                    "doc_id": pdf["doc_id"].iloc[part].to_numpy(), "n_pieces": [len(x) for x in ids],
+                    "n_byte_pieces": [int(((x >= least) & (x <= most)).sum()) for x in ids],
+                    "piece_ids": [None if t is None else x for t, x in zip(texts, ids)],
+                    "exact": [t is None or encoder.decode(x.tolist()) == t for t, x in zip(texts, ids)]})
+
+    found = rows.mapInPandas(run, "doc_id string, n_pieces long, n_byte_pieces long, piece_ids array<int>, exact boolean")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_column].dataType))
