@@ -133,7 +133,11 @@ def has_symbol(c: Column, symbol: str, exact: bool = False) -> Column:
 
 
 def feature_name(symbol: str, prefix: str = "has_") -> str:
-    return prefix + symbol.replace("\\", "").replace("{", "").replace("}", "")
+    """Column name of a symbol. Column names are compared without case, so a name
+    with capitals ends with their places: ``has_Sigma_c0`` and ``has_sigma``."""
+    name = symbol.replace("\\", "").replace("{", "").replace("}", "")
+    capitals = [str(i) for i, c in enumerate(name) if c.isupper()]
+    return prefix + name + ("_c" + "_".join(capitals) if capitals else "")
 
 
 def single_dollar(c: Column, max_length: int | None = None) -> Column:

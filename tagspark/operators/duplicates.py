@@ -6,7 +6,7 @@ same one), so groups are only ever counted; members stay one row each.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import duplicate_form, truncate_chars
 from .joins import balanced_join
@@ -56,13 +56,13 @@ def duplicate_summary(df: DataFrame, hash_column: str, min_group_size: int = 2)
 
 
 def keep_first(df: DataFrame, hash_column: str, row_id: str) -> DataFrame:
-    """The row with the smallest id of every hash; singles are kept.
+    """One row of every hash: that with the smallest id; singles are kept.
 
-    Only ids are aggregated (a fixed-width buffer); the rows then join on
-    their unique id, so no hash groups meet in one task.
+    NULL ids come last, rows with equal ids in the order of their content. Every
+    task keeps one row of a hash before anything is shuffled.
     """
-    kept = df.groupBy(hash_column).agg(F.min(row_id).alias(row_id)).select(row_id)
-    return df.join(kept, row_id, "left_semi")
+    order = Window.partitionBy(hash_column).orderBy(F.col(row_id).asc_nulls_last(), F.xxhash64(*df.columns))
+    return df.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
 
 
 def remove_duplicate_rows(df: DataFrame, group_column: str = "duplicate_group", row_id: str = "p_id") -> DataFrame:

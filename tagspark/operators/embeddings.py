@@ -18,11 +18,13 @@ from ..functions.vectors import dot, unit
 from .profile import long_rows
 from .tags import has_tag, keep_tags, literal_array
 
-MAX_BROADCAST_LABELS = 2000
+#: One row per label and side: proven small up to so many labels.
+PROVEN_LABELS = 2000
 
 
 def _small(df: DataFrame, labels: list[str]) -> DataFrame:
-    return F.broadcast(df) if len(labels) <= MAX_BROADCAST_LABELS else df
+    """A table of at most two rows per given label."""
+    return F.broadcast(df) if len(labels) <= PROVEN_LABELS else df
 
 
 def label_rows(spark, labels: list[str]) -> DataFrame:
@@ -149,28 +151,34 @@ def compare_columns(df: DataFrame, vectors: dict[str, str], row_id: str, tags: s
 # Embedding sources ------------------------------------------------------------
 
 def word2vec_embeddings(df: DataFrame, column: str, row_id: str, size: int = 64, min_count: int = 5, seed: int = 42,
-                        max_words: int = 400) -> DataFrame:
-    """Unit-length document vectors from a trained Word2Vec model."""
+                        partitions: int = 4) -> DataFrame:
+    """Unit-length document vectors from a Word2Vec model trained on whole texts.
+
+    ``partitions`` is the number of parts trained on side by side; the vectors depend on it.
+    """
     from pyspark.ml.feature import Word2Vec
 
     from ..functions import text
 
-    clean = text.truncate_words(text.clean_for_embeddings(F.col(column)), max_words)
-    tokens = df.select(row_id, text.words(clean).alias("tokens"))
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism // 2)
-    model = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol="tokens", outputCol="v", maxIter=1, numPartitions=parts).fit(tokens)
+    tokens = df.select(row_id, text.words(text.clean_for_embeddings(F.col(column))).alias("tokens"))
+    model = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol="tokens", outputCol="v", maxIter=1, numPartitions=partitions).fit(tokens)
     return model.transform(tokens).select(row_id, unit(vector_to_array("v")).alias("embedding"))
 
 
 def projected_embeddings(cells: DataFrame, doc_id: str, size: int = 64, seed: int = 42) -> DataFrame:
     """Unit-length random projections of TF-IDF cells. A term's signs are the
-    bits of its hash, so no projection matrix is stored, joined or sent."""
-    words = (size + 63) // 64
-    hashed = cells.select(doc_id, "weight", *[F.xxhash64(F.lit(seed), F.lit(i), "term").alias(f"_h{i}") for i in range(words)])
+    bits of its md5, 32 to a digest, so no projection matrix is stored, joined or sent. A
+    document whose only cell has no weight gets the zero vector."""
+    digests = (size + 31) // 32
+    bits = [F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|{i}|"), F.coalesce("term", F.lit("")))), 1, 8), 16, 10).cast("bigint").alias(f"_h{i}")
+            for i in range(digests)]
+    hashed = cells.select(doc_id, "weight", *bits)
     signs = [
-        F.when(F.shiftright(F.col(f"_h{i // 64}"), i % 64).bitwiseAND(F.lit(1)) == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+        F.when(F.shiftright(F.col(f"_h{i // 32}"), i % 32).bitwiseAND(F.lit(1)) == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
         for i in range(size)
     ]
-    rows = hashed.select(doc_id, array_to_vector(F.array(*signs)).alias("v"), "weight")
+    known = F.col("weight").isNotNull()
+    signed = [F.when(known, s).otherwise(F.lit(0.0)) for s in signs]
+    rows = hashed.select(doc_id, array_to_vector(F.array(*signed)).alias("v"), F.when(known, F.col("weight")).otherwise(F.lit(1.0)).alias("weight"))
     sums = rows.groupBy(doc_id).agg(Summarizer.sum(F.col("v"), F.col("weight")).alias("s"))
     return sums.select(doc_id, unit(vector_to_array("s")).alias("embedding"))

@@ -95,8 +95,18 @@ def status_counts(df: DataFrame, status: str) -> DataFrame:
         "*", F.try_divide(F.col("count") * F.lit(100.0), total).alias("percentage"))
 
 
-def with_doc_counts(terms: DataFrame, vocabulary: DataFrame, on: str, max_rows: int | None) -> DataFrame:
-    """Look terms up in a vocabulary; broadcast only when its size is limited."""
-    if max_rows is not None and max_rows <= 200_000:
-        return terms.join(F.broadcast(vocabulary), on)
-    return terms.join(vocabulary, on)
+#: Rows of a table that may be sent to every executor.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table marked for broadcast if it has no more than ``rows`` rows; it is counted up to there.
+
+    Store a table that is costly to make before: counting makes it once more.
+    """
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
+def with_doc_counts(terms: DataFrame, vocabulary: DataFrame, on: str) -> DataFrame:
+    """Look terms up in a vocabulary."""
+    return terms.join(broadcast_if_small(vocabulary), on)

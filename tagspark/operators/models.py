@@ -101,27 +101,25 @@ def _estimator(kind: str, params: dict, total_weight: float, features: str, labe
     raise ValueError(f"unknown model kind {kind}")
 
 
-#: Below this many rows per task an optimiser step is mostly scheduling.
-ROWS_PER_TASK = 5000
-
-
-def pack(data: DataFrame, rows: int) -> DataFrame:
-    """Merge partitions of a table that is small for its partition count.
-    Large tables keep theirs."""
-    wanted = max(1, -(-rows // ROWS_PER_TASK))
-    return data.coalesce(wanted) if wanted < data.rdd.getNumPartitions() else data
+def released(model):
+    """The model without its training summary, which holds the session and with it
+    whatever the session observes; that does not go to executors."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
 
 
 def fit_labels(df: DataFrame, labels: list[str], kind: str = "logistic", features: str = "features", balanced: bool = True,
-               parallelism: int = 4, materialise: bool = True, **params) -> LabelModels:
+               parallelism: int = 4, materialise: bool = True, partitions: int | None = None, **params) -> LabelModels:
     """One classifier per 0/1 label column. A label with a single class gets a
-    model too, its probability being constant."""
+    model too, its probability being constant. ``partitions`` merges the table's
+    partitions; without it they stay as they are."""
     data = df.select(features, *labels)
     if materialise:
         data = cut_lineage(data)
+    if partitions is not None:
+        data = data.coalesce(partitions)
     sizes = class_sizes(data, labels)
-    if materialise:
-        data = pack(data, sizes[labels[0]][0])
 
     def fit(label: str):
         n, pos = sizes[label]
@@ -129,7 +127,7 @@ def fit_labels(df: DataFrame, labels: list[str], kind: str = "logistic", feature
         both = balanced and 0 < pos < n
         total = float(n) if both or not balanced else n / 2.0
         rows = data.select(features, F.col(label).cast("double").alias("_label"), weight.alias("_w"))
-        return _estimator(kind, params, total, features, "_label").fit(rows)
+        return released(_estimator(kind, params, total, features, "_label").fit(rows))
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(labels)))) as pool:
         fitted = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), labels))
@@ -158,28 +156,41 @@ GRID = [
 
 
 def grid_search(df: DataFrame, labels: list[str], row_id: str, fold: str = "fold", grid: list[dict] | None = None,
-                kind: str = "logistic", features: str = "features", parallelism: int = 4, **params) -> DataFrame:
+                kind: str = "logistic", features: str = "features", parallelism: int = 4, partitions: int | None = None,
+                most_folds: int = 100, prepare=None, **params) -> DataFrame:
     """Macro-F1 per parameter point and fold, train and held-out.
 
+    ``prepare(train)`` may return a function that turns rows into feature rows; it
+    is called once per fold with the training side only. A fold column with more
+    than ``most_folds`` values is an error.
+
     The multi-label score of a point needs all its labels, so points and folds
     are independent units; they are submitted from a small thread pool while
     every fit runs distributed.
     """
     grid = GRID if grid is None else grid
-    data = cut_lineage(df.select(row_id, features, fold, *labels))
-    data = pack(data, data.count())
-    folds = sorted(r[0] for r in data.select(fold).distinct().limit(100).collect())
+    data = cut_lineage(df if prepare else df.select(row_id, features, fold, *labels))
+    if partitions is not None:
+        data = data.coalesce(partitions)
+    folds = sorted(r[0] for r in data.select(fold).distinct().limit(most_folds + 1).collect())
+    if len(folds) > most_folds:
+        raise ValueError(f"{fold} has more than {most_folds} values")
+    sides = {}
+    for held_out in folds:
+        apply = prepare(data.where(F.col(fold) != held_out)) if prepare else None
+        sides[held_out] = cut_lineage(apply(data).select(row_id, features, fold, *labels)) if apply else data
 
     def run(job: tuple[int, int]) -> tuple:
         index, held_out = job
         point = dict(grid[index])
         balanced = point.pop("balanced", True)
+        data = sides[held_out]
         train = data.where(F.col(fold) != held_out)
         fitted = fit_labels(train, labels, kind, features, balanced, parallelism=1, materialise=False, **{**params, **point})
         scored = predictions(fitted, data, row_id, keep=[fold])
-        sides = scored.withColumn("label", F.concat(F.when(F.col(fold) == held_out, "test:").otherwise("train:"), "label"))
+        marked = scored.withColumn("label", F.concat(F.when(F.col(fold) == held_out, "test:").otherwise("train:"), "label"))
         side = F.split_part("label", F.lit(":"), F.lit(1))
-        f1 = metrics.per_label(metrics.confusion(sides)).groupBy(side.alias("side")).agg(F.avg("f1").alias("f1"))
+        f1 = metrics.per_label(metrics.confusion(marked)).groupBy(side.alias("side")).agg(F.avg("f1").alias("f1"))
         scores = {r["side"]: r["f1"] for r in f1.collect()}
         return (index, point.get("C"), point.get("l1_ratio"), balanced, int(held_out), scores.get("train"), scores.get("test"))
 

@@ -166,7 +166,7 @@ def fill_statistics(df: DataFrame, columns: list[str], strategy: str = "median")
     ``mode`` takes the smallest of the most frequent values.
     """
     if strategy not in ("median", "mean", "mode"):
-        raise ValueError(f"Unknown strategy: {strategy}")
+        raise ValueError(f"{strategy} is no fill strategy")
     columns = [c for c in columns if c in df.columns]
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), not_nan(F.col(c).cast("double")).alias("v")) for c in columns

@@ -13,7 +13,8 @@ from ..functions.hashing import bucket, order_key
 from ..session import cut_lineage
 from .profile import long_rows
 
-MAX_STRATIFY_LABELS = 12
+#: With so many labels there are no more combinations than may be broadcast.
+PROVEN_LABELS = 12
 
 
 def hash_cutoffs(keys: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def hash_cutoffs(keys: DataFrame, wanted: DataFrame) -> DataFrame:
         .where((F.col("k") <= F.col("cum")) & (F.col("k") > F.col("cum") - F.col("n")))
         .select("stratum", "k", "b", (F.col("k") - (F.col("cum") - F.col("n"))).alias("inside"))
     )
-    near = keys.withColumn("b", bucket(F.col("h"))).join(F.broadcast(edges), ["stratum", "b"])
+    near = keys.withColumn("b", bucket(F.col("h"))).join(edges, ["stratum", "b"])
     rank = F.row_number().over(Window.partitionBy("stratum", "b", "k").orderBy("h"))
     return near.withColumn("r", rank).where("r = inside").select("stratum", "k", F.col("h").alias("cutoff"))
 
@@ -74,11 +75,15 @@ def train_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def label_combination(labels: list[str]) -> Column:
     """Label flags as one text, e.g. ``0100``."""
-    if len(labels) > MAX_STRATIFY_LABELS:
-        raise ValueError(f"stratification takes at most {MAX_STRATIFY_LABELS} labels")
     return F.concat(*[F.col(c).cast("string") for c in labels])
 
 
+def _per_combination(table: DataFrame, labels: list[str]) -> DataFrame:
+    """A table with one row per label combination, sent to every executor where
+    the number of labels proves that it is small; otherwise the join shuffles."""
+    return F.broadcast(table) if len(labels) <= PROVEN_LABELS else table
+
+
 def _keys(df: DataFrame, labels: list[str], row_id: str, seed: int) -> DataFrame:
     return df.select(label_combination(labels).alias("stratum"), order_key(F.col(row_id), seed).alias("h"))
 
@@ -87,7 +92,7 @@ def stratified_quotas(keys: DataFrame, take: Column) -> DataFrame:
     """Rows to take per combination: the whole part of its share, then one
     more for the largest remainders until ``take`` (of the total) is met.
 
-    At most 2^labels rows, so one window over all of them is small.
+    One row per combination that occurs, so the window over all of them is small.
     """
     sizes = keys.groupBy("stratum").agg(F.count("*").alias("n"))
     everything = Window.partitionBy(F.lit(0))
@@ -105,7 +110,7 @@ def stratified_split(df: DataFrame, labels: list[str], row_id: str, test_size: f
                      n_test: int | None = None, fix: bool = False) -> DataFrame:
     """Add ``is_test`` so that every label combination keeps its share.
 
-    ``fix`` stores the cutoff table (at most 2^labels rows) now; otherwise each
+    ``fix`` stores the cutoff table (a row per combination that occurs) now; otherwise each
     later job finds the cutoffs again.
     """
     keys = _keys(df, labels, row_id, seed)
@@ -116,7 +121,7 @@ def stratified_split(df: DataFrame, labels: list[str], row_id: str, test_size: f
     if fix:
         cuts = cut_lineage(cuts.coalesce(1))
     rows = df.withColumn("_combo", label_combination(labels))
-    joined = rows.join(F.broadcast(cuts), F.col("_combo") == F.col("_stratum"), "left")
+    joined = rows.join(_per_combination(cuts, labels), F.col("_combo") == F.col("_stratum"), "left")
     flag = F.coalesce(order_key(F.col(row_id), seed) <= F.col("cutoff"), F.lit(False))
     return joined.withColumn("is_test", flag).drop("_combo", "_stratum", "cutoff")
 
@@ -144,7 +149,7 @@ def stratified_folds(df: DataFrame, labels: list[str], row_id: str, folds: int =
     )
     h = order_key(F.col(row_id), seed)
     rows = df.withColumn("_combo", label_combination(labels)).withColumn("_h", h)
-    joined = rows.join(F.broadcast(table), F.col("_combo") == F.col("_stratum"))
+    joined = rows.join(_per_combination(table, labels), F.col("_combo") == F.col("_stratum"))
     part = F.size(F.filter("cuts", lambda c: c < F.col("_h")))
     return joined.withColumn("fold", F.pmod(part + F.col("offset"), F.lit(folds)).cast("int")).drop(
         "_combo", "_h", "_stratum", "offset", "cuts")

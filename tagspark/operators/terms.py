@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..constants import CONTEXT_STOP_WORDS, ENGLISH_STOP_WORDS, NUMBER_TOKENS, PRIORITY_TAGS
 from ..functions import latex, text
+from ..session import cut_lineage
+from .joins import broadcast_if_small
 from .tags import keep_tags
 
 
@@ -142,19 +144,21 @@ def bigram_counts(df: DataFrame, clean: str, min_df: int = 2) -> DataFrame:
 
 # Language identification ----------------------------------------------------
 
-def language_profile(df: DataFrame, column: str, lang: str, languages: list[str], n: int = 3, top_n: int = 400) -> DataFrame:
-    """``(gram, scores)``: smoothed log-probabilities of the n-grams that are
-    common in some language, for every language. At most
-    ``len(languages) * top_n`` rows."""
+def language_profile(df: DataFrame, column: str, lang: str, languages: list[str], n: int = 3) -> DataFrame:
+    """``(gram, scores)``: smoothed log-probability of every n-gram in every
+    language. The row with the NULL n-gram holds those of unseen ones. Stored,
+    because applying it needs its size."""
     rows = df.where(F.col(lang).isin(languages) & F.col(column).isNotNull())
     counts = rows.select(F.col(lang).alias("language"), F.explode(text.char_ngrams(F.col(column), n)).alias("gram")).groupBy(
         "language", "gram").agg(F.count("*").alias("count"))
     totals = counts.groupBy("language").agg(F.sum("count").alias("total"), F.count("*").alias("types"))
-    common = top_per(counts, "language", [F.desc("count"), "gram"], top_n).select("gram").distinct()
-    grid = common.select("gram", F.explode(F.array(*[F.lit(x) for x in languages])).alias("language"))
-    logp = F.ln((F.coalesce("count", F.lit(0)) + 1) / (F.col("total") + F.col("types")))
-    cells = grid.join(counts, ["language", "gram"], "left").join(F.broadcast(totals), "language")
-    return cells.groupBy("gram").agg(F.collect_list(F.struct("language", logp.alias("logp"))).alias("scores"))
+    # One row per language; the counts of a gram in those it occurs in meet in one small map.
+    known = F.array(*[F.struct(F.lit(r["language"]).alias("language"), F.lit(r["total"] + r["types"]).alias("size")) for r in totals.collect()])
+    of_gram = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("language", "count"))).alias("seen"))
+    unseen = df.sparkSession.range(0, 1, 1, 1).select(F.lit(None).cast("string").alias("gram"), F.create_map().cast("map<string,bigint>").alias("seen"))
+    logp = F.transform(known, lambda k: F.struct(
+        k["language"].alias("language"), F.ln((F.coalesce(F.element_at(F.col("seen"), k["language"]), F.lit(0)) + 1) / k["size"]).alias("logp")))
+    return cut_lineage(of_gram.unionByName(unseen).select("gram", logp.alias("scores")))
 
 
 def identify_language(df: DataFrame, column: str, row_id: str, profile: DataFrame, n: int = 3) -> DataFrame:
@@ -166,7 +170,9 @@ def identify_language(df: DataFrame, column: str, row_id: str, profile: DataFram
     long_enough = F.length(text.squeeze(F.col(column))) >= 10
     rows = df.select(row_id, F.when(long_enough, F.col(column)).alias("_t"))
     grams = rows.select(row_id, F.explode_outer(text.char_ngrams(F.col("_t"), n)).alias("gram"))
-    hits = grams.join(F.broadcast(profile), "gram", "left").select(row_id, F.explode_outer("scores").alias("s"))
+    default = profile.where("gram IS NULL").select("scores").scalar()
+    found = grams.join(broadcast_if_small(profile.where("gram IS NOT NULL")), "gram", "left")
+    hits = found.select(row_id, F.explode_outer(F.when(F.col("gram").isNotNull(), F.coalesce("scores", default))).alias("s"))
     scores = hits.groupBy(row_id, F.col("s.language").alias("language")).agg(F.sum("s.logp").alias("score"))
     best = scores.groupBy(row_id).agg(F.max_by("language", F.when(F.col("language").isNotNull(), F.round("score", 6))).alias("language"))
     return best.select(row_id, F.coalesce("language", F.lit("unknown")).alias("language"))

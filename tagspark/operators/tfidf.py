@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text
 from ..functions.vectors import sparse_vector
+from .joins import BROADCAST_ROWS
 from .tags import row_total
 from .terms import token_counts
 
@@ -46,30 +48,55 @@ def with_index(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.withColumn("index", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term")) - 1).cast("int"))
 
 
+def _counted(df: DataFrame, column: str, terms: list[str], ngrams: tuple[int, int], lowercase: bool) -> DataFrame:
+    """``df`` with ``_i`` and ``_n``: the indices of the terms in each row's text and their counts."""
+    c = F.col(column)
+    rows = df.withColumn("_k", text.word_tokens(F.lower(c) if lowercase else c, 2))
+    rows = rows.withColumn("_terms", F.coalesce(terms_of("_k", ngrams), F.array().cast("array<string>"))).drop("_k")
+    counted = CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_tf").transform(rows)
+    counts = F.unwrap_udt("_tf")
+    return counted.select(*df.columns, counts["indices"].alias("_i"), counts["values"].alias("_n"))
+
+
+def _weighted(counted: DataFrame, idf: list[float], sublinear: bool) -> DataFrame:
+    """``_n`` becomes ``_w``, the L2-normalised weights."""
+    table = F.split(F.lit(",".join(map(repr, idf))), ",").cast("array<double>")
+    raw = F.zip_with("_i", "_n", lambda i, n: (F.ln(n) + 1 if sublinear else n) * F.get(table, i))
+    rows = counted.withColumn("_w", raw)
+    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda s, x: s + x * x))
+    rows = rows.withColumn("_norm", norm)
+    return rows.withColumn("_w", F.transform("_w", lambda x: F.try_divide(x, F.col("_norm")))).drop("_n", "_norm")
+
+
 def weights(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, ngrams: tuple[int, int] = (1, 2),
-            sublinear: bool = True, lowercase: bool = False, max_features: int | None = 5000,
-            keep: list[str] | None = None) -> DataFrame:
-    """Long ``(doc_id, <keep>, weight)`` rows, L2-normalised per document.
+            sublinear: bool = True, lowercase: bool = False) -> DataFrame:
+    """Long ``(doc_id, term, weight)`` rows, L2-normalised per document; one with NULLs
+    for a document without a known term.
 
-    Rows are placed by document once, before the terms are unfolded. Term
-    counting and the norm then need no further exchange. A vocabulary of
-    limited size is broadcast, so unknown terms go before they are counted.
+    A vocabulary of at most ``BROADCAST_ROWS`` terms is counted inside each row, so
+    nothing is shuffled and equal or missing ids do not matter. A larger one is joined
+    with the counts of each document, never with texts; then ids must be unique.
     """
-    keep = keep or ["term"]
-    placed = df.select(doc_id, column).repartition(F.col(doc_id))
-    tokens = tokenised(placed, column, doc_id, lowercase=lowercase)
+    known = vocabulary.select("term", "idf").limit(BROADCAST_ROWS + 1).collect()
+    if 0 < len(known) <= BROADCAST_ROWS:
+        known.sort(key=lambda r: r["term"])
+        rows = _weighted(_counted(df.select(doc_id, column), column, [r["term"] for r in known], ngrams, lowercase),
+                         [r["idf"] for r in known], sublinear)
+        # Tokens are words and single spaces, so a line break parts the terms.
+        names = F.split(F.lit("\n".join(r["term"] for r in known)), "\n")
+        cells = rows.select(doc_id, F.explode_outer(F.arrays_zip(F.col("_i").alias("i"), F.col("_w").alias("w"))).alias("c"))
+        return cells.select(doc_id, F.get(names, F.col("c.i")).alias("term"), F.col("c.w").alias("weight"))
+    tokens = tokenised(df, column, doc_id, lowercase=lowercase)
     unfolded = tokens.select(doc_id, F.explode_outer(terms_of("_k", ngrams)).alias("term"))
-    if max_features is not None and max_features <= 200_000:
-        vocabulary = F.broadcast(vocabulary)
-        known = unfolded.join(vocabulary, "term", "left").withColumn("term", F.when(F.col("idf").isNotNull(), F.col("term")))
-        counts = known.groupBy(doc_id, *keep, "idf").agg(F.count("*").alias("tf"))
-    else:
-        raw = unfolded.groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
-        counts = raw.join(vocabulary, "term", "left").groupBy(doc_id, *keep, "idf").agg(F.sum("tf").alias("tf"))
+    raw = unfolded.groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
+    counts = raw.join(vocabulary.select("term", "idf"), "term", "left")
     tf = (F.ln(F.col("tf").cast("double")) + 1) if sublinear else F.col("tf").cast("double")
-    raw = counts.select(doc_id, *[F.when(F.col("idf").isNotNull(), F.col(k)).alias(k) for k in keep], (tf * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
-    return raw.select(doc_id, *keep, F.try_divide(F.col("w"), norm).alias("weight"))
+    found = F.col("idf").isNotNull()
+    counts = counts.select(doc_id, F.when(found, F.col("term")).alias("term"), (tf * F.col("idf")).alias("w"))
+    # Of a document's unknown terms one row stays, and only where no term is known.
+    counts = counts.groupBy(doc_id, "term").agg(F.max("w").alias("w"))
+    counts = counts.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id))))
+    return counts.where("term IS NOT NULL OR norm IS NULL").select(doc_id, "term", F.try_divide("w", "norm").alias("weight"))
 
 
 def transform(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, **options) -> DataFrame:
@@ -77,13 +104,20 @@ def transform(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, **
     return weights(df, column, doc_id, vocabulary, **options).where("weight IS NOT NULL")
 
 
-def vectors(df: DataFrame, column: str, doc_id: str, indexed: DataFrame, size: int, output: str = "tfidf", **options) -> DataFrame:
-    """One sparse vector per document; documents without a known term get an
-    empty one."""
-    cells = weights(df, column, doc_id, indexed.select("term", "idf", "index"), keep=["index"], **options)
-    entry = F.when(F.col("weight").isNotNull(), F.struct("index", "weight"))
-    packed = cells.groupBy(doc_id).agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    return packed.select(doc_id, sparse_vector(F.lit(size), F.col("e.index"), F.col("e.weight")).alias(output))
+def vectors(df: DataFrame, column: str, indexed: DataFrame, size: int, output: str = "tfidf", ngrams: tuple[int, int] = (1, 2),
+            sublinear: bool = True, lowercase: bool = False) -> DataFrame:
+    """``df`` with one sparse vector per row, empty without a known term.
+
+    The vector is made inside the row: no key, join or exchange. ``indexed`` is sent to
+    every task, so it may have at most ``BROADCAST_ROWS`` terms.
+    """
+    known = sorted(indexed.select("index", "term", "idf").limit(BROADCAST_ROWS + 1).collect())
+    if len(known) > BROADCAST_ROWS:
+        raise ValueError(f"vectors take at most {BROADCAST_ROWS} terms; use weights()")
+    if not known:
+        return df.withColumn(output, sparse_vector(F.lit(size), F.array().cast("array<int>"), F.array().cast("array<double>")))
+    rows = _weighted(_counted(df, column, [r["term"] for r in known], ngrams, lowercase), [r["idf"] for r in known], sublinear)
+    return rows.withColumn(output, sparse_vector(F.lit(size), F.col("_i"), F.col("_w"))).drop("_i", "_w")
 
 
 def matrix_statistics(df: DataFrame, cells: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -16,14 +16,14 @@ def validate(df: DataFrame, required: list[str] = (), numeric: list[str] = (), t
     """
     spark = df.sparkSession
     static = [("stat", None, "n_features", len(df.columns))]
-    static += [("error", c, "Required column missing", None) for c in required if c not in df.columns]
+    static += [("error", c, "no such column", None) for c in required if c not in df.columns]
     for c in numeric:
         if c in df.columns and not isinstance(df.schema[c].dataType, T.NumericType):
             kind = df.schema[c].dataType.simpleString()
-            static.append(("error", c, f"Column should be numeric but is {kind}", None))
+            static.append(("error", c, f"holds {kind}, not numbers", None))
     checked = [c for c in dict.fromkeys([*numeric, *text]) if c in df.columns]
     rows = [("", {"severity": F.lit("stat"), "message": F.lit("n_samples"), "n": F.count("*")})]
-    rows += [(c, {"severity": F.lit("warning"), "message": F.lit("Column has missing values"),
+    rows += [(c, {"severity": F.lit("warning"), "message": F.lit("some values are missing"),
                   "n": F.count_if(is_missing(df, c))}) for c in checked]
     counted = long_rows(rows, "column", df).where("severity = 'stat' OR n > 0").select(
         "severity", F.nullif("column", F.lit("")).alias("column"), "message", "n")
@@ -34,9 +34,9 @@ def require_text(df: DataFrame, column: str) -> None:
     """Raise unless the column exists and holds text somewhere. Stops at the
     first non-empty row."""
     if column not in df.columns:
-        raise ValueError(f"Missing required field '{column}' in input data.")
+        raise ValueError(f"the input has no column '{column}'")
     if df.where(F.col(column).isNotNull() & (F.col(column) != "")).select(F.lit(1)).isEmpty():
-        raise ValueError(f"Field '{column}' is empty for all samples.")
+        raise ValueError(f"'{column}' holds no text in any row")
 
 
 def step_audit(step: str, before: DataFrame, after: DataFrame) -> DataFrame:

@@ -369,7 +369,7 @@ LANGS = ["de", "en", "es", "fr"]
 LANG_SQL = f"WITH {ngram_cte('documents', 'doc_id', 'text', [3])}" + f""",
 c AS (SELECT lang AS language, gram, count(*) AS n FROM grams JOIN documents USING (doc_id) GROUP BY 1, 2),
 tot AS (SELECT language, sum(n) AS total, count(*) AS types FROM c GROUP BY 1),
-common AS (SELECT DISTINCT gram FROM (SELECT *, row_number() OVER (PARTITION BY language ORDER BY n DESC, gram) AS k FROM c) WHERE k <= 400),
+common AS (SELECT DISTINCT gram FROM c),
 prof AS (SELECT m.gram, t.language, ln((coalesce(c.n, 0) + 1) / (t.total + t.types)) AS logp FROM common m CROSS JOIN tot t
          LEFT JOIN c ON c.gram = m.gram AND c.language = t.language),
 ok AS (SELECT doc_id, length(trim(regexp_replace(text, '[{WS}]+', ' ', 'g'))) >= 10 AS ok FROM documents),

@@ -20,12 +20,12 @@ def missing_sql(columns, source="problems"):
 
 @query("val1_validate", CTE + """
 SELECT 'stat' AS severity, NULL AS "column", 'n_features' AS message, 10::BIGINT AS n
-UNION ALL SELECT 'error', 'unified_document', 'Required column missing', NULL
-UNION ALL SELECT 'error', 'time_limit', 'Column should be numeric but is string', NULL
+UNION ALL SELECT 'error', 'unified_document', 'no such column', NULL
+UNION ALL SELECT 'error', 'time_limit', 'holds string, not numbers', NULL
 UNION ALL SELECT 'stat', NULL, 'n_samples', count(*) FROM problems
-UNION ALL SELECT 'warning', 'difficulty', 'Column has missing values', count(*) FILTER (difficulty IS NULL) FROM problems
-UNION ALL SELECT 'warning', 'time_limit', 'Column has missing values', count(*) FILTER (time_limit IS NULL) FROM problems
-UNION ALL SELECT 'warning', 'notes', 'Column has missing values', count(*) FILTER (notes IS NULL) FROM problems""")
+UNION ALL SELECT 'warning', 'difficulty', 'some values are missing', count(*) FILTER (difficulty IS NULL) FROM problems
+UNION ALL SELECT 'warning', 'time_limit', 'some values are missing', count(*) FILTER (time_limit IS NULL) FROM problems
+UNION ALL SELECT 'warning', 'notes', 'some values are missing', count(*) FILTER (notes IS NULL) FROM problems""")
 def val1(spark, folder):
     p = problems(spark, folder).select(*RECORD)
     return validation.validate(p, ["tags_csv", "unified_document"], ["difficulty", "time_limit"], ["description", "notes"])

@@ -49,7 +49,7 @@ def jn5(spark, folder):
 
     d = documents(spark, folder)
     terms = tfidf.tokenised(d, "text", "doc_id").select("doc_id", F.explode(tfidf.terms_of()).alias("term"))
-    looked_up = with_doc_counts(terms, vocab_of(spark, folder).select("term", "idf"), "term", 5000)
+    looked_up = with_doc_counts(terms, vocab_of(spark, folder).select("term", "idf"), "term")
     return looked_up.groupBy("doc_id").agg(rnd(F.sum("idf"), 4).alias("score"))
 
 
@@ -254,7 +254,7 @@ def emb1(spark, folder):
 @query("emb1_random_projection")
 def emb1_projection(spark, folder):
     d = documents(spark, folder)
-    return emb.projected_embeddings(tfidf.transform(d, "text", "doc_id", vocab_of(spark, folder)), "doc_id")
+    return emb.projected_embeddings(tfidf.weights(d, "text", "doc_id", vocab_of(spark, folder)), "doc_id")
 
 
 # Evaluation ----------------------------------------------------------------------------

@@ -77,7 +77,7 @@ def base_columns(df: DataFrame, o: Options) -> DataFrame:
     """Everything that needs no fitted state, in narrow projections."""
     validation_columns = set(df.columns)
     if o.description not in validation_columns:
-        raise ValueError(f"Missing required field '{o.description}' in input data.")
+        raise ValueError(f"the input has no column '{o.description}'")
     suffix = "_translated" if o.translated else ""
 
     def column(name: str | None, cast: str = "string"):
@@ -189,9 +189,8 @@ def features(df: DataFrame, state: FittedState, embedding: str | None = None) ->
 def features_of_base(base: DataFrame, state: FittedState, embedding: str | None = None) -> DataFrame:
     o = state.options
     dense = tfidf.apply_scaler(dense_columns(base, state.symbols, state.fills), state.scaler, state.dense)
-    vectors = tfidf.vectors(base, "unified_document_without_latex", o.key, state.vocabulary, max(1, state.vocabulary_size),
-                            ngrams=o.ngrams, max_features=o.max_features)
-    joined = dense.drop("_text").join(vectors, o.key)
+    joined = tfidf.vectors(dense.drop("_text"), "unified_document_without_latex", state.vocabulary, max(1, state.vocabulary_size),
+                           ngrams=o.ngrams)
     blocks = ["tfidf"]
     if embedding is not None:
         joined = joined.withColumn("_embedding", array_to_vector(embedding))

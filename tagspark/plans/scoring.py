@@ -13,24 +13,30 @@ def decode(df: DataFrame, key: str, labels: list[str], predictions: list[str]) -
 
 
 def sample_key(df: DataFrame, column: str = "src_uid") -> Column:
-    """The record key, or a made-up one where there is none."""
-    made = F.concat(F.lit("sample_"), F.monotonically_increasing_id().cast("string"))
+    """The record key, or one made from the content of the record where there is
+    none: the same in every attempt, equal for equal records."""
+    content = [c for c, kind in df.dtypes if "map<" not in kind]
+    made = F.concat(F.lit("sample_"), F.lower(F.hex(F.xxhash64(*content))))
     return F.coalesce(F.col(column), made) if column in df.columns else made
 
 
-def probabilities(pipeline, df: DataFrame, embedding: str | None = None) -> DataFrame:
-    """Key and one probability column per label, in the trained order."""
+def probabilities(pipeline, df: DataFrame, embedding: str | None = None, check: bool = True) -> DataFrame:
+    """Key and one probability column per label, in the trained order; one row per input row.
+
+    ``check`` raises for an input without text; single blank rows are scored."""
     from . import prepare
 
     o = pipeline.state.options
-    prepare.check_input(df, o)
+    if check:
+        prepare.check_input(df, o)
+    df = df.withColumn(o.key, sample_key(df, o.key))
     scored = pipeline.models.transform(prepare.features(df, pipeline.state, embedding).select(o.key, "features"))
     return scored.select(o.key, *[f"proba_{c}" for c in pipeline.models.labels])
 
 
-def predict(pipeline, df: DataFrame, embedding: str | None = None, tuned: bool = False) -> DataFrame:
+def predict(pipeline, df: DataFrame, embedding: str | None = None, tuned: bool = False, check: bool = True) -> DataFrame:
     """Key and one 0/1 column per label."""
-    p = probabilities(pipeline, df, embedding)
+    p = probabilities(pipeline, df, embedding, check)
     key = pipeline.state.options.key
     out = []
     for c in pipeline.models.labels:
@@ -40,10 +46,10 @@ def predict(pipeline, df: DataFrame, embedding: str | None = None, tuned: bool =
     return p.select(key, *out)
 
 
-def predict_with_labels(pipeline, df: DataFrame, embedding: str | None = None, tuned: bool = False) -> DataFrame:
+def predict_with_labels(pipeline, df: DataFrame, embedding: str | None = None, tuned: bool = False, check: bool = True) -> DataFrame:
     """``(key, predicted_tags, num_tags)``. Names come from the label order
     stored with the models, never from a list given here."""
     o = pipeline.state.options
     names = {f"target_{t.replace(' ', '_')}": t for t in o.labels}
     columns = [f"pred_{c}" for c in pipeline.models.labels]
-    return decode(predict(pipeline, df, embedding, tuned), o.key, [names.get(c, c) for c in pipeline.models.labels], columns)
+    return decode(predict(pipeline, df, embedding, tuned, check), o.key, [names.get(c, c) for c in pipeline.models.labels], columns)

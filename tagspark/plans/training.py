@@ -39,14 +39,15 @@ def prepare_split(df: DataFrame, o: prepare.Options, test_size: float = 0.2, see
 
 
 def train(rows: DataFrame, o: prepare.Options, state_path: str, kind: str = "logistic", embedding: str | None = None,
-          tune: bool = True, **params) -> TrainedPipeline:
-    """``rows`` are training rows with targets."""
+          tune: bool = True, partitions: int | None = None, **params) -> TrainedPipeline:
+    """``rows`` are training rows with targets; ``partitions`` merges those of the feature table."""
     labels = prepare.target_names(o.labels)
     keep = labels + ([embedding] if embedding else [])
     base = prepare.stored_base(rows, o, keep)
     state = prepare.fit(base, o, state_path)
     data = models.cut_lineage(prepare.features_of_base(base, state, embedding).select(o.key, "features", *labels))
-    data = models.pack(data, data.count())
+    if partitions is not None:
+        data = data.coalesce(partitions)
     fitted = models.fit_labels(data, labels, kind, materialise=False, **params)
     fitted.blocks = prepare.feature_blocks(state)
     thresholds = {}

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scan_partitions: int | None = None) -> SparkSession:
     """A local session with the settings tests and the benchmark use."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("tagspark.scanPartitions", str(scan_partitions or shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )

@@ -34,11 +34,11 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD_S
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hadoop):
-        raise ValueError(f"Input path does not exist: {path}")
+        raise ValueError(f"no file or folder at {path}")
     if fs.getFileStatus(hadoop).isDirectory():
         pattern = jvm.org.apache.hadoop.fs.Path(hadoop, "*.json")
         if not fs.globStatus(pattern):
-            raise ValueError(f"No JSON files found in directory: {path}")
+            raise ValueError(f"{path} holds no .json file")
         path = pattern.toString()
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
@@ -65,16 +65,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a table stored in fewer pieces than there are cores.
+#: Session setting: deal scanned tables to this many partitions. For tables that
+#: are stored in fewer row groups than there are cores; unset, scans stay as they are.
+SCAN_PARTITIONS = "tagspark.scanPartitions"
 
-    A table with more splits is left alone, so large tables are never shuffled
-    for this. ``df`` must be a scan: asking a scan for its splits reads no data.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a scan by ``key`` if the session asks for it."""
+    partitions = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(partitions), key) if partitions else df
 
 
 def feature_names(spark: SparkSession, path: str, prefix: str = "has_") -> list[str]:

@@ -27,7 +27,7 @@ def score_stream(rows: DataFrame, pipeline, output: str, checkpoint: str, availa
 
     def write(batch: DataFrame, epoch: int) -> None:
         # One folder per epoch: a batch that is repeated overwrites itself.
-        predict_with_labels(pipeline, batch).write.mode("overwrite").json(f"{output}/epoch={epoch}")
+        predict_with_labels(pipeline, batch, check=False).write.mode("overwrite").json(f"{output}/epoch={epoch}")
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

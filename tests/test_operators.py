@@ -151,13 +151,67 @@ def test_tfidf_equals_its_definition(spark):
     assert got.keys() == want.keys()
     assert all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in got)
     indexed = tfidf.with_index(vocab)
-    vectors = {r["id"]: r["tfidf"] for r in tfidf.vectors(df, "t", "id", indexed, len(keep)).collect()}
+    vectors = {r["id"]: r["tfidf"] for r in tfidf.vectors(df, "t", indexed, len(keep)).collect()}
     assert len(vectors) == 5 and vectors[4].numNonzeros() == 0
     assert math.isclose(vectors[0].norm(2), 1.0)
-    unlimited = tfidf.transform(df, "t", "id", tfidf.fit_vocabulary(df, "t", max_features=None), max_features=None)
+    unlimited = tfidf.transform(df, "t", "id", tfidf.fit_vocabulary(df, "t", max_features=None))
     assert {(r["id"], r["term"]) for r in unlimited.collect()} == got.keys()
 
 
+def test_tfidf_joins_a_vocabulary_too_large_to_send(spark, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, t string")
+    vocab = tfidf.fit_vocabulary(df, "t", (1, 2), 2, 0.95, 100)
+    want = {(r["id"], r["term"]): r["weight"] for r in tfidf.weights(df, "t", "id", vocab).collect()}
+    monkeypatch.setattr(tfidf, "BROADCAST_ROWS", 1)
+    got = {(r["id"], r["term"]): r["weight"] for r in tfidf.weights(df, "t", "id", vocab).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] is want[k] is None or math.isclose(got[k], want[k], rel_tol=1e-12) for k in got)
+
+
+def test_vectors_need_no_key(spark):
+    rows = [(None, TEXTS[0]), (None, TEXTS[2]), (1, TEXTS[0]), (1, TEXTS[1]), (2, None)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    vocab = tfidf.with_index(tfidf.fit_vocabulary(df, "t", (1, 1), 1, 1.0, 100))
+    out = tfidf.vectors(df, "t", vocab, vocab.count()).collect()
+    assert len(out) == 5 and "Exchange" not in tfidf.vectors(df, "t", vocab, 9)._jdf.queryExecution().executedPlan().toString()
+    by_text = {r["t"]: r["tfidf"] for r in out}
+    assert by_text[TEXTS[0]] != by_text[TEXTS[1]] and by_text[None].numNonzeros() == 0
+
+
+def test_keep_first_with_missing_and_repeated_ids(spark):
+    rows = [(None, "a"), (None, "b"), (3, "b"), (4, "c"), (4, "c"), (5, "c"), (None, None), (6, None)]
+    df = spark.createDataFrame(rows, "id int, h string")
+    assert sorted(map(str, duplicates.keep_first(df, "h", "id").collect())) == sorted(
+        map(str, spark.createDataFrame([(None, "a"), (3, "b"), (4, "c"), (6, None)], "id int, h string").collect()))
+
+
+def test_more_labels_than_a_proven_broadcast(spark):
+    labels = [f"l{i}" for i in range(13)]
+    df = spark.range(400).select("id", *[((F.col("id") % (i + 2)) == 0).cast("int").alias(c) for i, c in enumerate(labels)])
+    out = splits.stratified_split(df, labels, "id", 0.25)
+    assert out.count() == 400 and out.where("is_test").count() == 100
+
+
+def test_folds_are_never_dropped(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from tagspark.operators import models
+
+    df = spark.range(303).select("id", array_to_vector(F.array(F.col("id").cast("double"))).alias("features"),
+                                 (F.col("id") % 101).cast("int").alias("fold"), (F.col("id") % 2).cast("int").alias("y"))
+    with pytest.raises(ValueError, match="more than 100"):
+        models.grid_search(df, ["y"], "id", grid=[{"C": 1.0}])
+    out = models.grid_search(df.where("fold < 3"), ["y"], "id", grid=[{"C": 1.0}], max_iter=2)
+    assert sorted(r["fold"] for r in out.collect()) == [0, 1, 2]
+
+
+def test_feature_names_differ_beyond_case():
+    from tagspark.functions import latex
+
+    names = [latex.feature_name(s) for s in ("\\Sigma", "\\sigma", "\\SIGMA", "\\le")]
+    assert len({n.lower() for n in names}) == 4 and names[3] == "has_le"
+
+
 def test_thresholds_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     y, p = rng.integers(0, 2, 500), rng.random(500)
@@ -216,9 +270,9 @@ def test_constant_column_has_no_correlation(spark):
 
 def test_required_text(spark):
     df = spark.createDataFrame([(None,), ("",)], "t string")
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no text"):
         validation.require_text(df, "t")
-    with pytest.raises(ValueError, match="Missing"):
+    with pytest.raises(ValueError, match="no column"):
         validation.require_text(df, "u")
     validation.require_text(df.union(spark.createDataFrame([("x",)], "t string")), "t")
     with pytest.raises(ValueError):

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tagspark.operators import metrics, models, splits
+from tagspark.operators import metrics, models, splits, validation
 from tagspark.plans import prepare, scoring, training
 from tagspark.session import cut_lineage, shared_path
 from tagspark.sources import readers, writers
@@ -33,9 +33,9 @@ def test_read_records(spark, records, tmp_path):
     got = {r["prob_desc_description"][:3]: r for r in df.collect()}
     assert got["Sum"]["tags"] == ["math"] and got["Wal"]["tags"] == ["graphs", "trees"] and got["Not"]["tags"] == []
     assert readers.read_records(spark, records + "/0.json").count() == 1
-    with pytest.raises(ValueError, match="No JSON"):
+    with pytest.raises(ValueError, match="no .json"):
         readers.read_records(spark, str(tmp_path))
-    with pytest.raises(ValueError, match="does not exist"):
+    with pytest.raises(ValueError, match="no file or folder"):
         readers.read_records(spark, str(tmp_path / "absent"))
     assert readers.extract_tags_list(df) is df
 
@@ -58,6 +58,10 @@ def parts(spark, folder):
 @pytest.fixture(scope="module")
 def pipeline(spark, parts):
     o, train, _ = parts
+    # A session that has observed something holds what can't go to executors.
+    flow, seen = validation.observed(spark.range(3), "before training")
+    flow.collect()
+    assert seen.get["rows"] == 3
     return training.train(train, o, shared_path(spark, "state"), max_iter=15)
 
 
@@ -95,6 +99,22 @@ def test_training_and_scoring(spark, parts, pipeline):
     assert {r["block"] for r in models.block_norms(coefficients).collect()} == {"tfidf", "dense"}
 
 
+def test_one_result_per_record(spark, parts, pipeline):
+    o, _, test = parts
+    few = test.orderBy(o.key).limit(20)
+    key = F.when(F.col(o.key) % 3 == 0, F.lit(None)).otherwise(F.col(o.key) % 4)
+    mixed = few.withColumn(o.key, key.cast("string"))
+    p = scoring.probabilities(pipeline, mixed)
+    assert p.count() == 20 and p.where(F.col(o.key).isNull()).count() == 0
+    columns = [c for c in p.columns if c != o.key]
+    want = scoring.probabilities(pipeline, few).select(*columns)
+    assert sorted(map(tuple, p.select(*columns).collect())) == sorted(map(tuple, want.collect()))
+    blank = few.withColumn(o.description, F.lit("")).limit(2)
+    assert scoring.predict_with_labels(pipeline, blank, check=False).count() == 2
+    with pytest.raises(ValueError, match="no text"):
+        scoring.predict(pipeline, blank)
+
+
 def test_balanced_logistic_matches_gradient(spark):
     """At the optimum the gradient of the summed, weighted objective is zero."""
     import numpy as np
