@@ -9,11 +9,12 @@ So words are hashed ``length - PERIOD + 1`` at a time at cover positions only (5
 1. Anchors are counted by hash. A batch of documents sends each hash once and marks
    the others as repeated, so a hash in a third of all documents stays small.
 2. Around repeated anchors the match is extended: every window of ``length`` words
-   that contains one is hashed whole (96 bits), and windows are counted.
+   that contains one is hashed whole, and windows are counted.
 3. A window that contains a repeated anchor and is not unique is repeated. Only the
    few unique ones travel back; the words the others cover are removed.
 
-The texts are dealt by document once, compressed, and all three steps read them there.
+Hashes have 64 bits; anchors and windows use different ones. Texts meet what was found
+about them under a 64-bit hash of id and text, and travel compressed.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 LENGTH = 35
 PERIOD = 21
 #: A perfect difference set: every difference modulo 21 occurs.
@@ -35,7 +38,6 @@ BLOCK = 1 << 20
 #: Distinct words a task remembers at most; then it starts anew.
 MEMO = 1_000_000
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-POS_BITS, DUP_BIT, ROW_BITS = 39, 1 << 39, 23
 
 
 class _Hashes(dict):
@@ -66,12 +68,11 @@ def _windows(rolling: tuple[np.ndarray, np.ndarray], at: np.ndarray, length: int
     return (sums[at + length] - sums[at]) * inverse[at]
 
 
-def _groups(pdf: pd.DataFrame, memo: _Hashes):
+def _groups(texts: list[bytes | None], memo: _Hashes) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """``rows, hashes, sizes``: batches of whole documents of about ``BLOCK`` words."""
-    unpack = zstandard.ZstdDecompressor().decompress
     rows, parts, size = [], [], 0
-    for i, packed in enumerate(pdf["packed"]):
-        hashes = memo.of(unpack(packed).split())
+    for i, text in enumerate(texts):
+        hashes = memo.of(text.split()) if text else np.empty(0, dtype=np.uint64)
         if size and size + len(hashes) > BLOCK:
             yield rows, np.concatenate(parts), np.array([len(p) for p in parts])
             rows, parts, size = [], [], 0
@@ -82,100 +83,120 @@ def _groups(pdf: pd.DataFrame, memo: _Hashes):
         yield rows, np.concatenate(parts), np.array([len(p) for p in parts])
 
 
-def _firsts(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _firsts(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of equal keys: places of the first ones, whether more follow, places of the others."""
-    order = np.lexsort(keys) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    order = np.argsort(key, kind="stable")
     new = np.ones(len(order), dtype=bool)
-    if len(order):
-        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
-    more = np.append(~new[1:], False) if len(order) else new
+    new[1:] = key[order][1:] != key[order][:-1]
+    more = np.append(~new[1:], False)[:len(new)]
     return order[new], more[new], order[~new]
 
 
-def _mark(pdf: pd.DataFrame, rows: list[int], doc: np.ndarray, pos: np.ndarray, dup: np.ndarray) -> dict[str, np.ndarray]:
-    row = np.array(rows)[doc]
-    at = (pdf["rh"].to_numpy()[row] << (POS_BITS + 1)) | np.where(dup, DUP_BIT, 0) | pos
-    return {"dk": pdf["dk"].to_numpy()[row], "at": at.astype(np.int64)}
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Document and position of every word."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    return doc, np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _cover(pos: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Places of the anchors: cover positions with enough words behind them."""
+    return np.flatnonzero(np.isin(np.arange(PERIOD), COVER)[pos % PERIOD] & (pos + length - PERIOD + 1 <= size))
 
 
 def _anchors(length: int):
-    width = length - PERIOD + 1
-    cover = np.isin(np.arange(PERIOD), COVER)
+    """Rows ``key, row, x``. A hash goes out once per batch as its own key, x telling whether it
+    repeats there; its other rows go anywhere, with the hash in x: they are repeated for certain."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = _Hashes()
         for pdf in batches:
-            for rows, hashes, sizes in _groups(pdf, memo):
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                pos = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                at = np.flatnonzero(cover[pos % PERIOD] & (pos + width <= sizes[doc]))
-                h = _windows(_rolling(hashes, BASES[0]), at, width)
+            ids = pdf["row"].to_numpy()
+            for rows, hashes, sizes in _groups(pdf["text"].tolist(), memo):
+                doc, pos = _places(sizes)
+                at = _cover(pos, sizes[doc], length)
+                h = _windows(_rolling(hashes, BASES[0]), at, length - PERIOD + 1)
+                row = ids[np.array(rows)[doc[at]]]
                 first, more, others = _firsts(h)
-                # What repeats one of this batch is repeated for certain and goes anywhere.
-                key = np.concatenate([h[first], h[others] * np.uint64(BASES[1]) + at[others].astype(np.uint64)])
-                where = at[np.concatenate([first, others])]
-                dup = np.concatenate([more, np.ones(len(others), dtype=bool)])
-                yield pd.DataFrame({"h": key.view(np.int64), **_mark(pdf, rows, doc[where], pos[where], dup)})
+                spread = (h[others] ^ row[others].view(np.uint64)) * np.uint64(BASES[1]) + at[others].astype(np.uint64)
+                yield pd.DataFrame({"key": np.concatenate([h[first], spread]).view(np.int64), "row": row[np.concatenate([first, others])],
+                                    "x": np.concatenate([more.astype(np.int64), h[others].view(np.int64)])})
 
     return run
 
 
-def _candidates(anchors, n: int, length: int) -> np.ndarray:
-    """Starts of the windows of a text of n words that contain one of the anchors."""
-    mask = np.zeros(max(n - length + 1, 0) + 1, dtype=np.int64)
-    a = np.asarray(anchors, dtype=np.int64)
-    lo, hi = np.maximum(a - PERIOD + 1, 0), np.minimum(a, n - length) + 1
+def _candidates(hashes: np.ndarray, repeated: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the windows of one text that contain a repeated anchor, and their hashes."""
+    n = len(hashes)
+    pos = np.arange(n)
+    at = _cover(pos, n, length)
+    at = at[np.isin(_windows(_rolling(hashes, BASES[0]), at, length - PERIOD + 1), repeated)]
+    step = np.zeros(max(n - length + 1, 0) + 1, dtype=np.int64)
+    lo, hi = np.maximum(at - PERIOD + 1, 0), np.minimum(at, n - length) + 1
     fit = lo < hi
-    np.add.at(mask, lo[fit], 1)
-    np.add.at(mask, hi[fit], -1)
-    return np.cumsum(mask)[:-1] > 0
+    np.add.at(step, lo[fit], 1)
+    np.add.at(step, hi[fit], -1)
+    starts = np.flatnonzero(np.cumsum(step)[:-1] > 0)
+    return starts, _windows(_rolling(hashes, BASES[1]), starts, length)
+
+
+def _unsigned(values) -> np.ndarray:
+    return np.asarray(values, dtype=np.int64).view(np.uint64)
 
 
 def _extend(length: int):
+    """Rows ``h, row, more``: the window hashes of a batch, each once."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = _Hashes()
+        unpack = zstandard.ZstdDecompressor().decompress
         for pdf in batches:
-            for rows, hashes, sizes in _groups(pdf, memo):
-                starts = np.cumsum(sizes) - sizes
-                found = [np.flatnonzero(_candidates(pdf["anchors"].iat[i], n, length)) for i, n in zip(rows, sizes)]
-                doc = np.repeat(np.arange(len(rows)), [len(f) for f in found])
-                pos = np.concatenate(found)
-                at = pos + starts[doc]
-                h = _windows(_rolling(hashes, BASES[0]), at, length)
-                g = (_windows(_rolling(hashes, BASES[1]), at, length) >> np.uint64(32)).astype(np.int64)
-                first, more, _ = _firsts(g, h)
-                yield pd.DataFrame({"h": h[first].view(np.int64), "g": (g[first] - (1 << 31)).astype(np.int32),
-                                    **_mark(pdf, rows, doc[first], pos[first], more)})
+            parts, sizes = [np.empty(0, dtype=np.uint64)], [0]
+            ids = pdf["row"].to_numpy()
+
+            def flush():
+                h = np.concatenate(parts)
+                first, more, _ = _firsts(h)
+                return pd.DataFrame({"h": h[first].view(np.int64), "row": np.repeat(owners, sizes)[first], "more": more})
+
+            owners = [0]
+            for row, packed, anchors in zip(ids.tolist(), pdf["packed"], pdf["anchors"]):
+                _, found = _candidates(memo.of(unpack(packed).split()), _unsigned(anchors), length)
+                parts.append(found)
+                sizes.append(len(found))
+                owners.append(row)
+                if sum(sizes) > BLOCK:
+                    yield flush()
+                    parts, sizes, owners = [np.empty(0, dtype=np.uint64)], [0], [0]
+            yield flush()
 
     return run
 
 
 def _remove(length: int):
-    unpack = zstandard.ZstdDecompressor
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = _Hashes()
+        unpack = zstandard.ZstdDecompressor().decompress
         for pdf in batches:
-            sizes, removed, kept = [], [], []
+            total, removed, kept = [], [], []
             for packed, anchors, unique in zip(pdf["packed"], pdf["anchors"], pdf["uniques"]):
-                text = unpack().decompress(packed)
+                text = unpack(packed)
                 words = text.split()
                 gone = 0
                 if anchors is not None:
-                    repeated = _candidates(anchors, len(words), length)
+                    at, h = _candidates(memo.of(words), _unsigned(anchors), length)
                     if unique is not None:
-                        repeated[np.asarray(unique, dtype=np.int64)] = False
+                        at = at[~np.isin(h, _unsigned(unique))]
                     step = np.zeros(len(words) + 1, dtype=np.int64)
-                    at = np.flatnonzero(repeated)
                     step[at] += 1
                     step[at + length] -= 1
                     stay = np.cumsum(step)[:-1] == 0
                     gone = len(words) - int(stay.sum())
                     if gone:
                         text = b" ".join([words[i] for i in np.flatnonzero(stay).tolist()])
-                sizes.append(len(words))
+                total.append(len(words))
                 removed.append(gone)
                 kept.append(text.decode("utf-8", "replace"))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": sizes, "n_removed": removed, "kept": kept})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": total, "n_removed": removed, "kept": kept})
 
     return run
 
@@ -198,27 +219,22 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """
     if length < PERIOD:
         raise ValueError(f"length must be at least {PERIOD}")
-    row = F.shiftrightunsigned(F.xxhash64(text, F.col(id_column).isNull()), 64 - ROW_BITS)
     # As text an id survives pandas even where others are NULL.
-    keyed = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("dk"),
-                        row.alias("rh"), F.col(text).cast("binary").alias("text"))
-    dealt = keyed.mapInPandas(_pack, "doc_id string, dk long, rh long, packed binary").repartition("dk", "rh")
-    keys = ["dk", "rh"]
-    dup = F.shiftrightunsigned("at", POS_BITS).bitwiseAND(1)
-    of_row = [F.shiftrightunsigned("at", POS_BITS + 1).alias("rh"), F.col("at").bitwiseAND(DUP_BIT - 1).alias("pos")]
-
-    anchors = dealt.select(*keys, "packed").mapInPandas(_anchors(length), "h long, dk long, at long")
-    times = F.sum(dup + 1).over(Window.partitionBy("h"))
-    repeated = anchors.withColumn("n", times).where("n > 1").select("dk", *of_row)
-    repeated = repeated.groupBy(*keys).agg(F.collect_list("pos").alias("anchors"))
-
-    near = dealt.select(*keys, "packed").join(repeated, keys)
-    windows = near.mapInPandas(_extend(length), "h long, g int, dk long, at long")
-    times = F.sum(dup + 1).over(Window.partitionBy("h", "g"))
-    unique = windows.withColumn("n", times).where("n = 1").select("dk", *of_row)
-    unique = unique.groupBy(*keys).agg(F.collect_list("pos").alias("uniques"))
-
-    rows = dealt.join(repeated, keys, "left").join(unique, keys, "left")
-    found = rows.select("doc_id", "packed", "anchors", "uniques").mapInPandas(
+    rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.xxhash64(id_column, text, F.col(id_column).isNull()).alias("row"),
+                       F.col(text).cast("binary").alias("text"))
+
+    anchors = rows.select("row", "text").mapInPandas(_anchors(length), "key long, row long, x long")
+    times = F.sum(F.when(F.col("x") == 0, 1).otherwise(2)).over(Window.partitionBy("key"))
+    h = F.when(F.col("x").isin(0, 1), F.col("key")).otherwise(F.col("x"))
+    repeated = anchors.withColumn("n", times).where("n > 1").select("row", h.alias("h"))
+    repeated = cut_lineage(repeated.groupBy("row").agg(F.collect_set("h").alias("anchors")))
+
+    packed = rows.mapInPandas(_pack, "doc_id string, row long, packed binary")
+    near = packed.select("row", "packed").join(repeated, "row")
+    windows = near.mapInPandas(_extend(length), "h long, row long, more boolean")
+    times = F.sum(F.when(F.col("more"), 2).otherwise(1)).over(Window.partitionBy("h"))
+    unique = windows.withColumn("n", times).where("n = 1").groupBy("row").agg(F.collect_list("h").alias("uniques"))
+
+    found = packed.join(repeated, "row", "left").join(unique, "row", "left").select("doc_id", "packed", "anchors", "uniques").mapInPandas(
         _remove(length), "doc_id string, n_words long, n_removed long, kept string")
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_column].dataType))
