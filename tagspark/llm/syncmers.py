@@ -29,7 +29,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 def _short(value: Column) -> Column:
