@@ -6,46 +6,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import squeeze
 
-#: A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are
-#: fewer than HOT_SHARE hot keys whatever the data: a proven broadcast bound.
-HOT_SHARE = 64
-
-
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * share > total).select(key)
-
 
 def balanced_join(left: DataFrame, right: DataFrame, key: str, row_id: str, how: str = "left") -> DataFrame:
     """Join ``left`` to ``right``, which has at most one row per key.
 
-    Rows of hot keys get their match from a broadcast table of fewer than
-    ``HOT_SHARE`` rows; in the shuffle join they travel under a key made from
-    the row id, so no task receives a whole hot group. ``how`` is ``left``,
-    ``inner``, ``left_semi`` or ``left_anti``.
+    Both sides are shuffled by key once. A task that would get too many bytes, whatever
+    share of the table a key holds, is split by adaptive execution: its match is one row and is
+    read again by every part. Rows without a key match nothing and are spread by
+    their row id. ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     payload = [c for c in right.columns if c != key]
-    packed = right.select(F.col(key).alias("_key"), F.struct(F.lit(True).alias("_hit"), *payload).alias("_pack"))
-    hot = hot_keys(left, key).select(F.col(key).alias("_hot_key"))
-    found = packed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key")).select("_key", F.col("_pack").alias("_hot_pack"))
-    hot_match = hot.join(F.broadcast(found), F.col("_hot_key") == F.col("_key"), "left").select("_hot_key", "_hot_pack")
-    spread = F.when(
-        F.col("_hot_key").isNotNull() | F.col(key).isNull(), F.concat(F.lit("\x00"), F.col(row_id).cast("string"))
-    ).otherwise(F.col(key).cast("string"))
-    rows = left.join(F.broadcast(hot_match), F.col(key) == F.col("_hot_key"), "left").withColumn("_spread", spread)
-    cold = packed.select(F.col("_key").cast("string").alias("_spread"), "_pack")
-    joined = rows.join(cold, "_spread", "left").withColumn("_match", F.coalesce("_hot_pack", "_pack"))
-    columns = [F.col(c) for c in left.columns]
-    if how == "left_semi":
-        return joined.where("_match._hit").select(*columns)
-    if how == "left_anti":
-        return joined.where("_match IS NULL").select(*columns)
-    if how == "inner":
-        joined = joined.where("_match._hit")
-    return joined.select(*columns, *[F.col(f"_match.{c}").alias(c) for c in payload])
+    packed = right.where(F.col(key).isNotNull()).select(
+        F.col(key).cast("string").alias("_spread"), F.struct(F.lit(True).alias("_hit"), *payload).alias("_match"))
+    spread = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\x00"), F.coalesce(F.col(row_id).cast("string"), F.lit(""))))
+    rows = left.withColumn("_spread", spread)
+    if how in ("left_semi", "left_anti"):
+        return rows.join(packed, "_spread", how).select(*left.columns)
+    joined = rows.join(packed, "_spread", how)
+    return joined.select(*left.columns, *[F.col(f"_match.{c}").alias(c) for c in payload])
 
 
 def apply_translations(

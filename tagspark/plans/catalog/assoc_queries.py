@@ -200,11 +200,11 @@ def agg35(spark, folder):
 
 @query("top2_enriched_symbols", CTE + ENRICH_SQL + """
 SELECT tag, 'enriched' AS kind, rank, symbol, round(lift, 6) AS lift FROM (
-  SELECT *, row_number() OVER (PARTITION BY tag ORDER BY round(lift, 9) DESC, symbol) AS rank FROM lift WHERE round(lift, 9) >= 1.1) WHERE rank <= 10
+  SELECT *, row_number() OVER (PARTITION BY tag ORDER BY round(lift, 9) DESC, symbol) AS rank FROM lift WHERE round(lift, 9) >= 1.5) WHERE rank <= 10
 UNION ALL SELECT tag, 'depleted', rank, symbol, round(lift, 6) FROM (
-  SELECT *, row_number() OVER (PARTITION BY tag ORDER BY round(lift, 9), symbol) AS rank FROM lift WHERE round(lift, 9) <= 0.9) WHERE rank <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY tag ORDER BY round(lift, 9), symbol) AS rank FROM lift WHERE round(lift, 9) <= 0.5) WHERE rank <= 5""")
 def top2(spark, folder):
-    return rounded(sym.enriched_and_depleted(lift_of(spark, folder), threshold=1.1, depleted_below=0.9), "lift")
+    return rounded(sym.enriched_and_depleted(lift_of(spark, folder), threshold=1.5, depleted_below=0.5), "lift")
 
 
 @query("top3_top_symbols_per_tag", CTE + ENRICH_SQL + """
@@ -216,10 +216,10 @@ def top3(spark, folder):
 
 @query("top4_compare_tags", CTE + ENRICH_SQL + """
 , d AS (SELECT a.symbol, a.lift - b.lift AS difference FROM lift a JOIN lift b USING (symbol) WHERE a.tag = 'math' AND b.tag = 'graphs')
-(SELECT 'math' AS side, symbol, round(difference, 6) AS difference FROM d ORDER BY round(d.difference, 9) DESC, symbol LIMIT 3)
-UNION ALL (SELECT 'graphs', symbol, round(difference, 6) FROM d ORDER BY round(d.difference, 9), symbol LIMIT 3)""")
+(SELECT 'math' AS side, symbol, round(difference, 6) AS difference FROM d ORDER BY round(d.difference, 9) DESC, symbol LIMIT 15)
+UNION ALL (SELECT 'graphs', symbol, round(difference, 6) FROM d ORDER BY round(d.difference, 9), symbol LIMIT 15)""")
 def top4(spark, folder):
-    return rounded(sym.compare_tags(lift_of(spark, folder), "math", "graphs", 3), "difference")
+    return rounded(sym.compare_tags(lift_of(spark, folder), "math", "graphs", 15), "difference")
 
 
 @query("ltx7_summed_lift", CTE + ENRICH_SQL + """

@@ -119,24 +119,48 @@ def mod1(spark, folder):
     return met.per_label(training.evaluate(pipeline, test))
 
 
-def small_features(spark, folder):
-    """Embedding and text lengths of the documents with two true labels."""
+NUMBERS = ["chars", "words", "numeric_ratio", "ascii_ratio"]
+TWO_LABELS = ["quality", "toxic"]
+
+
+def labelled_rows(spark, folder):
+    """Every labelled document with its text numbers and embedding. Where there is no
+    embedding the zero vector stands for it and ``no_vector`` is 1."""
     labels = read_table(spark, folder, "labels")
-    e = read_table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), array_to_vector("embedding").alias("e"))
+    e = read_table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    width = e.agg(F.max(F.size("embedding"))).first()[0] or 1
     c = F.col("text")
     dense = documents(spark, folder).select(
         "doc_id", text.char_length(c).cast("double").alias("chars"), text.word_count(c).cast("double").alias("words"),
         text.numeric_ratio(c).alias("numeric_ratio"), text.ascii_ratio(c).alias("ascii_ratio"))
-    numbers = ["chars", "words", "numeric_ratio", "ascii_ratio"]
-    rows = cut_lineage(labels.join(dense, "doc_id").join(e, "doc_id"))
-    rows = tfidf.apply_scaler(rows, tfidf.fit_scaler(rows, numbers), numbers)
-    return models.assemble(rows, ["e", *numbers]).select("doc_id", "features", "quality", "toxic")
+    rows = labels.join(dense, "doc_id", "left").fillna(0.0, NUMBERS).join(e, "doc_id", "left")
+    vector = F.coalesce("embedding", F.array_repeat(F.lit(0.0).cast("float"), width))
+    return cut_lineage(rows.select("doc_id", array_to_vector(vector).alias("e"), F.col("embedding").isNull().cast("double").alias("no_vector"),
+                                   *NUMBERS, *TWO_LABELS))
+
+
+def scaled_by(train):
+    """Feature rows scaled with the means and deviations of ``train``."""
+    scaler = {r["column"]: (r["mean"], r["std"]) for r in tfidf.fit_scaler(train, NUMBERS).collect()}
+    return lambda rows: models.assemble(tfidf.apply_scaler(rows, scaler, NUMBERS), ["e", "no_vector", *NUMBERS])
+
+
+def small_features(spark, folder):
+    rows = labelled_rows(spark, folder)
+    return scaled_by(rows)(rows).select("doc_id", "features", *TWO_LABELS)
 
 
 def _tree_scores(spark, folder, kind, **params):
-    rows = cut_lineage(small_features(spark, folder))
-    fitted = models.fit_labels(rows, ["quality", "toxic"], kind, **params)
-    return met.per_label(met.confusion(models.predictions(fitted, rows, "doc_id")))
+    """Scores per side and label: models see the training side only."""
+    rows = cut_lineage(splits.stratified_split(labelled_rows(spark, folder), TWO_LABELS, "doc_id", fix=True))
+    data = cut_lineage(scaled_by(rows.where("NOT is_test"))(rows))
+    fitted = models.fit_labels(data.where("NOT is_test"), TWO_LABELS, kind, **params)
+    scored = models.predictions(fitted, data, "doc_id", keep=["is_test"])
+    side = F.when(F.col("is_test"), "test").otherwise("train")
+    marked = scored.withColumn("label", F.concat(side, F.lit(":"), F.col("label")))
+    scores = met.per_label(met.confusion(marked))
+    part = F.split(F.col("label"), ":")
+    return scores.select(part[0].alias("side"), part[1].alias("label"), *[c for c in scores.columns if c != "label"])
 
 
 @query("mod2_random_forest")
@@ -151,17 +175,18 @@ def mod3(spark, folder):
 
 @query("mod5_grid_search")
 def mod5(spark, folder):
-    rows = splits.stratified_folds(small_features(spark, folder), ["quality", "toxic"], "doc_id")
+    rows = splits.stratified_folds(labelled_rows(spark, folder), TWO_LABELS, "doc_id")
     grid = [{"C": c, "l1_ratio": l1, "balanced": True} for c in (0.5, 2.0) for l1 in (0.0, 0.5)]
-    results = models.grid_search(rows, ["quality", "toxic"], "doc_id", grid=grid)
+    results = models.grid_search(rows, TWO_LABELS, "doc_id", grid=grid, prepare=scaled_by)
     return models.search_summary(results)
 
 
 def _coefficients(spark, folder):
-    fitted = models.fit_labels(small_features(spark, folder), ["quality", "toxic"])
+    fitted = models.fit_labels(small_features(spark, folder), TWO_LABELS)
     size = fitted.models["quality"].numFeatures
-    fitted.names = [f"e{i}" for i in range(size - 4)] + ["chars", "words", "numeric_ratio", "ascii_ratio"]
-    fitted.blocks = {"embedding": (0, size - 4), "dense": (size - 4, size)}
+    dense = ["no_vector", *NUMBERS]
+    fitted.names = [f"e{i}" for i in range(size - len(dense))] + dense
+    fitted.blocks = {"embedding": (0, size - len(dense)), "dense": (size - len(dense), size)}
     return models.coefficient_table(fitted)
 
 

@@ -245,13 +245,13 @@ def agg26_mean(spark, folder):
 
 @query("agg26_top_features_per_label", CTE + DENSE_SQL + f"""
 , r AS ({_feature_label_sql()})
-SELECT label, feature, r FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY abs(r) DESC, feature) AS k FROM r) WHERE k <= 2""")
+SELECT label, feature, r FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY abs(r) DESC, feature) AS k FROM r) WHERE k <= 5""")
 def agg26_top(spark, folder):
     from pyspark.sql import Window
 
     r = rounded(_feature_label(spark, folder), "r")
     k = F.row_number().over(Window.partitionBy("label").orderBy(F.desc(F.abs("r")), "feature"))
-    return r.withColumn("k", k).where("k <= 2").select("label", "feature", "r")
+    return r.withColumn("k", k).where("k <= 5").select("label", "feature", "r")
 
 
 @query("agg28_histogram", """

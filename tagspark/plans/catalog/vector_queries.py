@@ -251,10 +251,18 @@ def emb1(spark, folder):
     return emb.word2vec_embeddings(documents(spark, folder), "text", "doc_id", size=32)
 
 
-@query("emb1_random_projection")
+@query("emb1_random_projection", VOCAB_SQL + """, signs AS (SELECT term, i AS dim,
+    CASE WHEN ((('0x' || substr(md5('42|' || (i // 32) || '|' || term), 1, 8))::BIGINT >> (i % 32)) & 1) = 1 THEN 1 ELSE -1 END AS s
+  FROM vocab, range(64) AS r(i)),
+sums AS (SELECT doc_id, dim, sum(weight * s) AS x FROM cells JOIN signs USING (term) GROUP BY 1, 2),
+sized AS (SELECT doc_id, dim, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS x FROM sums)
+SELECT d.doc_id, i AS dim, round(coalesce(x, 0), 6) AS value FROM documents d CROSS JOIN range(64) AS r(i)
+LEFT JOIN sized z ON z.doc_id = d.doc_id AND z.dim = i""")
 def emb1_projection(spark, folder):
     d = documents(spark, folder)
-    return emb.projected_embeddings(tfidf.weights(d, "text", "doc_id", vocab_of(spark, folder)), "doc_id")
+    projected = emb.projected_embeddings(tfidf.weights(d, "text", "doc_id", vocab_of(spark, folder)), "doc_id")
+    cells = projected.select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+    return rounded(longs(cells, "dim"), "value")
 
 
 # Evaluation ----------------------------------------------------------------------------
