@@ -2,17 +2,19 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here a
 bounded sketch first brackets each wanted rank; rows outside the brackets are
-folded onto their edges, so that only counts of the few values near the wanted
-ranks reach the final window.
+folded onto their edges. Rows are then counted per slot of a bracket, and only the
+values of the one or two slots that hold a wanted rank reach the final window.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 10000
-#: Sketch error is 1/ACCURACY; brackets are four times as wide.
-MARGIN = 4.0 / ACCURACY
+#: Equal parts a bracket is cut into.
+SLOTS = 4096
 
 
 def exact_quantiles(
@@ -21,12 +23,15 @@ def exact_quantiles(
     probs: list[float],
     by: str | None = None,
     groups: list | None = None,
+    accuracy: int = ACCURACY,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value``: one row per group with
     ``n`` and ``q`` (array in the order of ``probs``).
 
     With ``by``, ``groups`` lists the group values; the per-group bracket table
-    then has at most ``len(groups)`` rows and is safe to broadcast.
+    then has at most ``len(groups)`` rows and is safe to broadcast. Groups of up to
+    ``accuracy`` rows are one bracket each, as a sketch may be off by a rank there.
     """
     if by is not None and groups is None:
         raise ValueError("grouped quantiles need the list of groups")
@@ -39,14 +44,16 @@ def exact_quantiles(
     if by is not None:
         rows = rows.where(F.col("_g").isin(groups))
 
-    wanted = [min(1.0, max(0.0, p + s)) for p in ps for s in (-MARGIN, MARGIN)]
+    # Sketch error is 1/accuracy; brackets are four times as wide.
+    margin = 4.0 / accuracy
+    wanted = [min(1.0, max(0.0, p + s)) for p in ps for s in (-margin, margin)]
     sketch = rows.groupBy("_g").agg(
         F.count("*").alias("_n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-        F.percentile_approx("_v", wanted, ACCURACY).alias("_s"),
+        F.percentile_approx("_v", wanted, accuracy).alias("_s"),
     )
-    small = F.col("_n") <= ACCURACY
+    small = F.col("_n") <= accuracy
 
     def low(i: int) -> Column:
         return F.when(small, F.col("_min")).otherwise(F.col("_s")[2 * i])
@@ -65,22 +72,34 @@ def exact_quantiles(
         inside = F.when(F.col("_v") >= F.col(f"_lo{i}"), F.col("_v")).otherwise(below)
         folded = F.when(F.col("_v") <= F.col(f"_hi{i}"), inside).otherwise(folded)
 
-    counts = (
-        rows.join(F.broadcast(brackets), "_g")
-        .select("_g", "_n", folded.alias("_v"))
-        .groupBy("_g", "_n", "_v")
-        .agg(F.count("*").alias("_c"))
-    )
-    upto = Window.partitionBy("_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_cum", F.sum("_c").over(upto))
-
-    def at_rank(rank: Column) -> Column:
-        return F.min(F.when(F.col("_cum") > rank, F.col("_v")))
-
+    # The first bracket that ends at or above the value, and the slot of the value in it.
+    bracket, width = F.lit(len(ps) - 1), F.col(f"_hi{len(ps) - 1}") - F.col(f"_lo{len(ps) - 1}")
+    start = F.col(f"_lo{len(ps) - 1}")
+    for i in range(len(ps) - 2, -1, -1):
+        here = F.col("_v") <= F.col(f"_hi{i}")
+        bracket = F.when(here, F.lit(i)).otherwise(bracket)
+        start = F.when(here, F.col(f"_lo{i}")).otherwise(start)
+        width = F.when(here, F.col(f"_hi{i}") - F.col(f"_lo{i}")).otherwise(width)
+    slot = F.when(width > 0, F.greatest(F.lit(0), F.least(F.floor((F.col("_v") - start) / width * slots), F.lit(slots - 1)))).otherwise(0)
+    placed = rows.join(F.broadcast(brackets), "_g").withColumn("_v", folded).select(
+        "_g", "_n", "_v", bracket.alias("_b"), slot.cast("int").alias("_s"))
+
+    ranks = [rank(F.lit(p) * (F.col("_n") - 1)) for p in ps for rank in (F.floor, F.ceil)]
+    # At most ``slots`` rows per probability and group; those slots that hold a wanted rank go on.
+    upto = Window.partitionBy("_g").orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = placed.groupBy("_g", "_n", "_b", "_s").agg(F.count("*").alias("_c")).withColumn("_cum", F.sum("_c").over(upto))
+    before = F.col("_cum") - F.col("_c")
+    holds = reduce(lambda a, b: a | b, [(before <= r) & (F.col("_cum") > r) for r in ranks])
+    wanted_slots = sizes.where(holds).select("_g", "_b", "_s", before.alias("_before"))
+
+    counts = placed.join(F.broadcast(wanted_slots), ["_g", "_b", "_s"]).groupBy("_g", "_n", "_b", "_s", "_before", "_v").agg(
+        F.count("*").alias("_c"))
+    upto = Window.partitionBy("_g", "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_cum", F.col("_before") + F.sum("_c").over(upto))
     picks = []
-    for i, p in enumerate(ps):
-        position = F.lit(p) * (F.col("_n") - 1)
-        picks += [at_rank(F.floor(position)).alias(f"_a{i}"), at_rank(F.ceil(position)).alias(f"_b{i}")]
+    for i in range(len(ps)):
+        for name, r in (("_a", ranks[2 * i]), ("_b", ranks[2 * i + 1])):
+            picks.append(F.min(F.when(F.col("_cum") > r, F.col("_v"))).alias(f"{name}{i}"))
     picked = ranked.groupBy("_g", "_n").agg(*picks)
 
     results: list[Column | None] = [None] * len(ps)

@@ -164,6 +164,16 @@ IS_TEST_SQL = "p_id IN (SELECT p_id FROM problems ORDER BY md5('42|' || CAST(p_i
 FEATURE_SYMBOLS = ["\\le", "\\leq", "\\gcd", "\\frac", "\\sum", "\\binom"]
 
 
+@query("ltx6_apply_fitted_list", CTE + COMMANDS_SQL + f""",
+fitted AS (SELECT symbol FROM presence WHERE NOT {IS_TEST_SQL} GROUP BY 1 HAVING count(*) >= 10 ORDER BY count(*) DESC, symbol LIMIT 30)
+SELECT p_id, symbol, CAST(contains(description, symbol) AS INTEGER) AS present FROM problems CROSS JOIN fitted WHERE {IS_TEST_SQL}""")
+def ltx6_fitted(spark, folder):
+    train, test = splits.train_test(splits.grouped_split(problems(spark, folder), "p_id", fix=True))
+    fitted = sym.selected_list(sym.select_symbols(sym.symbol_presence(train, "description", "p_id")))
+    flags = F.array(*[F.struct(F.lit(s).alias("symbol"), latex.has_symbol(F.col("description"), s).alias("present")) for s in fitted])
+    return test.select("p_id", F.explode(flags).alias("f")).select("p_id", "f.symbol", "f.present")
+
+
 @query("ltx6_apply_symbol_list", CTE + "SELECT p_id, " + ", ".join(
     f"CAST(contains(description, '{s}') AS INTEGER) AS {latex.feature_name(s)}" for s in FEATURE_SYMBOLS) + f" FROM problems WHERE {IS_TEST_SQL}")
 def ltx6(spark, folder):

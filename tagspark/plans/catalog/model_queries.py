@@ -39,6 +39,13 @@ def src1(spark, folder):
     return _summary(readers.read_records(spark, path))
 
 
+@query("src2_scan_single_record", RECORD_SQL + " ORDER BY src_uid LIMIT 1")
+def src2_record(spark, folder):
+    path = shared_path(spark, "single-record")
+    _as_records(spark, folder).orderBy("src_uid").limit(1).coalesce(1).write.json(path)
+    return _summary(readers.read_records(spark, spark.read.text(path).inputFiles()[0]))
+
+
 @query("src2_scan_single_file", CTE + "SELECT count(*) AS records, sum(length(description))::BIGINT AS chars FROM problems")
 def src2(spark, folder):
     path = shared_path(spark, "one-record")

@@ -28,6 +28,15 @@ def test_quantiles_beyond_the_sketch_size(spark):
         assert np.allclose(row["q"], np.quantile(pdf.v[pdf.g == row["g"]], probs), rtol=1e-12)
 
 
+def test_quantile_windows_do_not_grow(spark):
+    """With a coarse sketch the last window still gets few of the values."""
+    for n in (4000, 16000):
+        values = np.random.default_rng(n).normal(size=n)
+        df = spark.createDataFrame(pd.DataFrame({"v": values}))
+        out = exact_quantiles(df, "v", [0.1, 0.5, 0.9], accuracy=100, slots=64)
+        assert np.allclose(out.first()["q"], np.quantile(values, [0.1, 0.5, 0.9]), rtol=1e-12)
+
+
 def test_quantiles_skip_missing(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (4.0,)], "v double")
     row = exact_quantiles(df, "v", [0.5]).first()
