@@ -33,7 +33,9 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 #: Words in each round of Viterbi, padding included.
 CELLS = 1 << 18
 #: Distinct words remembered by a task at most; then it starts anew.
-MEMO = 500_000
+MEMO = 200_000
+#: Characters worked on at once (one longer text alone): their words are all in memory.
+PART = 1 << 20
 
 
 def luhn(digits: str) -> bool:
@@ -320,6 +322,22 @@ def find(texts: list[str | None], model: Crf, memo: _Memo | None = None) -> list
     return out
 
 
+def find_in_parts(batch: pd.Series, memo: _Memo) -> Iterator[tuple[list[str | None], list[tuple[list, list]]]]:
+    """Texts and what ``find`` gives for them, some at a time."""
+    texts: list[str | None] = []
+    size = 0
+    for text in batch:
+        if texts and size + len(text or "") > PART:
+            yield texts, find(texts, memo.model, memo)
+            texts, size = [], 0
+            if len(memo) > MEMO:
+                memo.clear()
+        texts.append(text)
+        size += len(text or "")
+    if texts:
+        yield texts, find(texts, memo.model, memo)
+
+
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -346,14 +364,13 @@ def scan(text: Column, model: Crf) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memo = _Memo(model)
         for batch in batches:
-            if len(memo) > MEMO:
-                memo = _Memo(model)
             rows = []
-            for base, spans in find(batch.tolist(), model, memo):
-                counts = [0] * len(KINDS)
-                for _, kind, _ in base:
-                    counts[kind] += 1
-                rows.append((*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(spans)))
+            for _, found in find_in_parts(batch, memo):
+                for base, spans in found:
+                    counts = [0] * len(KINDS)
+                    for _, kind, _ in base:
+                        counts[kind] += 1
+                    rows.append((*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(spans)))
             yield pd.DataFrame(rows, columns=RESULT.names)
 
     return run(text)
@@ -366,10 +383,10 @@ def redact(text: Column, model: Crf) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo = _Memo(model)
         for batch in batches:
-            if len(memo) > MEMO:
-                memo = _Memo(model)
-            texts = batch.tolist()
-            yield pd.Series([t if t is None else redacted(t, spans) for t, (_, spans) in zip(texts, find(texts, model, memo))], dtype=object)
+            out = []
+            for texts, found in find_in_parts(batch, memo):
+                out += [t if t is None else redacted(t, spans) for t, (_, spans) in zip(texts, found)]
+            yield pd.Series(out, dtype=object)
 
     return run(text)
 

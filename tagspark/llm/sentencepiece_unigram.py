@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -27,11 +28,11 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Chunks whose pieces a task remembers before it starts anew.
-MEMO = 200_000
+MEMO = 100_000
 #: Bytes of a chunk that is solved together with others of its length.
 SHORT = 40
 #: Characters or ids worked on at once.
-PART = 1 << 21
+PART = 1 << 19
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: Where no piece has an ASCII sign behind a Latin letter, a word also ends there.
 LETTER, SIGN = r"[A-Za-zÀ-ÖØ-öø-ÿ]", r"[!-/:-@\[-`{-~]"
@@ -297,10 +298,26 @@ def decode(ids: Column, vocabulary: Broadcast) -> Column:
 def tokenize(docs: DataFrame, text: str = "text", path: str = MODEL) -> DataFrame:
     """All columns and ``piece_ids``, ``n_pieces`` (0 for a NULL text).
 
-    Existing columns of these names are replaced.
+    Existing columns of these names are replaced. Rows pass as Arrow batches and leave
+    in small ones, so no task holds the ids of many texts.
     """
-    ids = encode(F.col(text), share(docs.sparkSession, path))
-    return docs.withColumn("piece_ids", ids).withColumn("n_pieces", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long"))
+    shared = share(docs.sparkSession, path)
+    rows = docs.drop("piece_ids", "n_pieces")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            for part in _parts(batch.column(at), lambda t: len(t.as_py() or "")):
+                some = batch.slice(part.start, part.stop - part.start)
+                texts = some.column(at).to_pylist()
+                ids = encoder.encode(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32())),
+                     pa.array([len(x) for x in ids], pa.int64())], [*some.schema.names, "piece_ids", "n_pieces"])
+
+    added = [T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType())]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added]))
 
 
 def round_trip(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str = MODEL) -> DataFrame:
