@@ -133,7 +133,8 @@ def score_against(docs: DataFrame, targets: DataFrame, id_column: str = "doc_id"
     """``score`` of every document, the target model learned from those whose id is in ``targets``.
 
     Ids may repeat in ``targets``; documents with a NULL id belong to the background.
+    Ids and texts meet in a shuffle at any size: nothing says that the targets are few.
     """
-    marks = targets.select(F.col(id_column).alias("__id")).distinct().withColumn("target", F.lit(True))
+    marks = targets.select(F.col(id_column).alias("__id")).distinct().withColumn("target", F.lit(True)).hint("merge")
     marked = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).join(marks, F.col("doc_id") == F.col("__id"), "left")
     return score(docs, fit(marked.select("text", "target")), id_column, text)
