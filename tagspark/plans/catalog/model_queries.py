@@ -106,9 +106,14 @@ def _split(spark, folder):
     return splits.train_test(splits.stratified_split(rows, TARGETS, OPTIONS.key, fix=True))
 
 
+#: Session setting: partitions of the feature table in training; unset, they stay as they are.
+TRAIN_PARTITIONS = "tagspark.trainPartitions"
+
+
 def _trained(spark, folder, kind="logistic", **params):
     train, test = _split(spark, folder)
-    return training.train(train, OPTIONS, shared_path(spark, "state"), kind, **params), test
+    partitions = spark.conf.get(TRAIN_PARTITIONS, None)
+    return training.train(train, OPTIONS, shared_path(spark, "state"), kind, partitions=int(partitions) if partitions else None, **params), test
 
 
 @query("vec4_assembled_features")

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scan_part
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("tagspark.trainPartitions", "2")
         .config("tagspark.scanPartitions", str(scan_partitions or shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .getOrCreate()
