@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embedding_pq, html_blocks, language_cnn, lm_difference, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
+from . import embedding_pq, html_blocks, language_cnn, lm_words, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -86,9 +86,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_lm_scoring")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document by models of the documents labelled as good and of all others."""
+    """Every document by word models of the documents labelled as good and of all others."""
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
-    return lm_difference.score_against(table(spark, folder, "documents"), good)
+    return lm_words.score_against(table(spark, folder, "documents"), good)
 
 
 @query("op10_pii")
