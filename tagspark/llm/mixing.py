@@ -12,7 +12,8 @@ Rates become copies: every document is taken ``floor(rate)`` times, and the rest
 of the target is filled by one more copy of documents in hash order. Where that
 order is cut is found by counting words per hash bucket, twice, so only the
 documents of one small bucket are ever ranked. What is left open there is filled
-with smaller documents.
+with smaller documents, first fit through the whole order: every round over the
+documents that fit halves what is open, by sums over the same buckets.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CAP = 3
 WEIGHTS = (1, 2, 3)
 STEPS = 40
-#: Documents tried to fill what the cut leaves open, per source.
-FILL = 256
+#: When no source has more documents that fit what is open, they are folded in one row.
+FOLD = 256
 #: Hex digits of the order key that name a bucket, at either level.
 DIGITS = 3
 
@@ -131,16 +132,43 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
         (F.col("copies") * F.col("size")).cast("long").alias("taken"), "row_hash")
 
 
-def _fill(marked: DataFrame, keys: list[str]) -> DataFrame:
-    """Documents behind the cut that fit into what it leaves open, first fit in hash order.
+def _fill(marked: DataFrame, keys: list[str], fold: int = FOLD) -> DataFrame:
+    """Documents behind the cut that fit into what it leaves open, first fit in hash order, all of them tried.
 
-    Of each source the first ``FILL`` that are no larger than the gap are tried.
+    While half of the gap is open, a document of at most half of it always fits. So the
+    sums of those before it tell for every document whether the first fit comes to it with half
+    the gap open, and the first that takes more than the rest of that half ends a round.
     """
-    gaps = marked.groupBy(*keys).agg((F.first("extra") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("gap"))
-    fits = marked.where("NOT more AND size > 0").join(gaps, keys).where("size <= gap")
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "size", "row_hash"))
-    tried = fits.withColumn("n", nth).where(F.col("n") <= FILL).groupBy(*keys).agg(
-        F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct("h", "size", "row_hash"))).alias("tried"))
+    order = ["h", "size", "row_hash", "nth"]
+    same = Window.partitionBy(*keys, "h", "size", "row_hash").orderBy("h")
+    gaps = cut_lineage(marked.groupBy(*keys).agg((F.first("extra") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("gap")))
+    # Numbered before the join, whose shuffle by source would bring a source into one window task.
+    rest = marked.where("NOT more AND size > 0").withColumn("nth", F.row_number().over(same)).join(gaps, keys).where("size <= gap")
+    rest = cut_lineage(rest.select(*keys, *order, "gap", F.substring("h", 1, DIGITS).alias("b1"), F.substring("h", 1 + DIGITS, DIGITS).alias("b2")))
+    taken = []
+    while (rest.groupBy(*keys).count().agg(F.max("count").alias("n")).first()["n"] or 0) > fold:
+        minor = F.when(F.col("size") * 2 <= F.col("gap"), F.col("size")).otherwise(0)
+        sized = rest.withColumn("whole", F.col("size")).withColumn("size", minor)
+        first = _buckets(sized, keys, "b1").select(*keys, "b1", F.col("before").alias("before1"))
+        second = _buckets(sized, [*keys, "b1"], "b2").select(*keys, "b1", "b2", F.col("before").alias("before2"))
+        within = Window.partitionBy(*keys, "b1", "b2").orderBy("h", "whole", "row_hash", "nth").rowsBetween(Window.unboundedPreceding, 0)
+        before = second.join(first, [*keys, "b1"])
+        ranked = sized.withColumn("inside", F.sum("size").over(within)).join(before, [*keys, "b1", "b2"])
+        ranked = cut_lineage(ranked.withColumn("sum", F.col("before1") + F.col("before2") + F.col("inside")).select(
+            *keys, "h", F.col("whole").alias("size"), "row_hash", "nth", "gap", "b1", "b2", "sum", (F.col("size") > 0).alias("minor")))
+        ends = F.when(F.col("minor"), F.col("sum") * 2 > F.col("gap")).otherwise(F.col("sum") + F.col("size") <= F.col("gap"))
+        end = ranked.where(ends).groupBy(*keys).agg(F.min(F.struct(*order, "sum", "minor")).alias("end"))
+        # Without an end all minor documents are taken, and no other fits any more.
+        ruled = ranked.join(end, keys, "left")
+        at, here = F.col("end"), F.struct(*order)
+        last = here == F.struct(*[at[c].alias(c) for c in order])
+        ruled = cut_lineage(ruled.withColumn("took", F.when(at.isNull(), F.col("minor")).otherwise(
+            last | (F.col("minor") & (F.col("sum") <= at["sum"])))).withColumn("gap", F.when(at.isNull(), 0).otherwise(
+                F.col("gap") - at["sum"] - F.when(at["minor"], 0).otherwise(at["size"]))).withColumn(
+            "later", ~F.col("took") & at.isNotNull() & (here > F.struct(*[at[c].alias(c) for c in order]))))
+        taken.append(ruled.where("took").select(*keys, "h", "size", "row_hash"))
+        rest = ruled.where("later AND size <= gap").select(*keys, *order, "gap", "b1", "b2")
+    tried = rest.groupBy(*keys).agg(F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct(*order))).alias("tried"))
     start = F.struct(F.col("gap").alias("gap"), F.array().cast("array<int>").alias("taken"))
 
     def step(state: Column, i: Column) -> Column:
@@ -151,9 +179,10 @@ def _fill(marked: DataFrame, keys: list[str]) -> DataFrame:
 
     end = F.aggregate(F.sequence(F.lit(1), F.size("tried")), start, step)
     chosen = tried.select(*keys, "tried", F.explode(end["taken"]).alias("i")).select(
-        *keys, F.element_at("tried", F.col("i")).alias("x"))
-    return chosen.groupBy(*keys, F.col("x.h").alias("h"), F.col("x.size").alias("size"), F.col("x.row_hash").alias("row_hash")).agg(
-        F.count("*").alias("fills"))
+        *keys, F.element_at("tried", F.col("i")).alias("x")).select(*keys, "x.h", "x.size", "x.row_hash")
+    for part in taken:
+        chosen = chosen.union(part)
+    return chosen.groupBy(*keys, "h", "size", "row_hash").agg(F.count("*").alias("fills"))
 
 
 def repeat_rows(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",

@@ -81,6 +81,32 @@ def test_mix_comes_near_its_targets(spark):
     assert len(got) == 4 and all(r["target"] - 60 <= r["taken"] <= r["target"] + 1e-6 for r in got)
 
 
+def test_mix_tries_every_document(spark):
+    """First fit through the whole order: one long text at the cut, more than 256 short ones, some rows twice."""
+    import hashlib
+
+    for seed, lengths, long_at in ((1, [1, 2, 3], 500), (2, [2, 5, 17, 40, 90], 100), (3, [20], 2000)):
+        rng = random.Random(seed)
+        order = sorted(range(1500), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+        # Of source a the third document of the order is long enough to be the one at the cut.
+        sizes = {i: rng.choice(lengths) for i in order}
+        sizes[order[2]] = sum(sizes.values()) + long_at
+        rows = [(i, "w " * sizes[i], "a") for i in order] + [(order[9], "w " * sizes[order[9]], "a")] * 3
+        rows += [(5000 + i, "w " * 30, "b") for i in range(sum(sizes.values()) // 100)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = mixing.mix(df).where("source_size > 0").collect()
+        for total in {r["source_size"] for r in got}:
+            mine = sorted((hashlib.md5(str(r["doc_id"]).encode()).hexdigest(), r["size"], r["taken"]) for r in got if r["source_size"] == total)
+            target = next(r["target"] for r in got if r["source_size"] == total)
+            whole = math.floor(round(target / total, 9))
+            gap, want = target - whole * total, []
+            for h, size, _ in mine:
+                fits = size <= gap
+                gap -= size if fits else 0
+                want.append((h, size, (whole + fits) * size))
+            assert sorted(mine) == sorted(want)
+
+
 # SentencePiece ---------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
