@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embedding_pq, html_blocks, language_cnn, lm_words, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
+from . import embedding_pq, html_blocks, language_cnn, lm_words, merkle_windows, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -97,4 +97,47 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pii_crf.find_personal_data(table(spark, folder, "documents"))
 
 
+MERKLE_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '-') AS tree, text,
+    concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+      list_transform(range(len(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::UBIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda i: 0::UBIGINT)),
+        lambda a, z: xor(a >> 1, 3988292384::UBIGINT * (a & 1::UBIGINT))))) AS crc
+  FROM documents),
+leaves AS (SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 3 = 0 THEN sha256(head || strlen(low) || ':' || low) END AS tampered FROM d),
+placed AS (SELECT *, row_number() OVER w - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  WINDOW w AS (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf)),
+nodes AS (SELECT tree, 0 AS level, place, n, leaf AS h FROM placed
+  UNION ALL SELECT tree, any_value(level) + 1, place // 8 AS place, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY tree, place // 8),
+subroots AS (SELECT tree, h AS subroot FROM nodes WHERE n = 1),
+langs AS (SELECT *, row_number() OVER (ORDER BY tree) - 1 AS lang_place, count(*) OVER () AS langs FROM subroots),
+tops AS (SELECT 0 AS level, lang_place AS place, langs AS n, subroot AS h FROM langs
+  UNION ALL SELECT any_value(level) + 1, place // 8 AS place, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY place))
+  FROM tops WHERE n > 1 GROUP BY place // 8),
+siblings AS (SELECT tree, level, place,
+    coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, place // 8 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, place // 8 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT tree, level, place, n, h FROM nodes UNION ALL SELECT '', level, place, n, h FROM tops) WHERE n > 1),
+climb AS (SELECT doc_id, leaf, tree, place, place AS pos, 0 AS level, coalesce(tampered, leaf) AS h, '' AS proof FROM placed
+  UNION ALL SELECT doc_id, leaf, c.tree, c.place, pos // 8, c.level + 1, sha256(l || h || r), proof || l || r
+  FROM climb c JOIN siblings s ON s.tree = c.tree AND s.level = c.level AND s.place = c.pos),
+inner_end AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree, place ORDER BY level DESC) AS k FROM climb) WHERE k = 1),
+climb2 AS (SELECT doc_id, leaf, c.tree, c.place, lang_place AS pos, 0 AS level, h, proof, subroot FROM inner_end c JOIN langs USING (tree)
+  UNION ALL SELECT doc_id, leaf, c.tree, c.place, pos // 8, c.level + 1, sha256(l || h || r), proof || l || r, subroot
+  FROM climb2 c JOIN siblings s ON s.tree = '' AND s.level = c.level AND s.place = c.pos),
+ended AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree, place ORDER BY level DESC) AS k FROM climb2) WHERE k = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM ended, (SELECT h AS root FROM tops WHERE n = 1)"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The Merkle manifest of the documents, and which leaves still verify after tampering."""
+    return merkle_windows.verify_against_tampering(table(spark, folder, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
