@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embedding_pq, html_blocks, language_cnn, lm_words, merkle_windows, mixing, pii_crf, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
+from . import embedding_pq, html_blocks, language_cnn, lm_words, merkle_windows, mixing, pii_crf, quality_trees, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -140,4 +140,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_windows.verify_against_tampering(table(spark, folder, "documents"))
 
 
+@query("op13_quality_rules")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and the boosted trees' verdict on every document."""
+    judged = quality_trees.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 __all__ = ["ORACLES", "QUERIES"]
