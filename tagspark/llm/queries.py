@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embedding_pq, html_blocks, language_cnn, lm_words, merkle_windows, mixing, pii_crf, quality_trees, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
+from . import embedding_pq, html_blocks, language_cnn, lexical_search, lm_words, merkle_windows, mixing, pii_crf, quality_trees, sentencepiece_unigram, simhash_covering, substring_cover, syncmers
 from .registry import ORACLES, QUERIES, query, table
 
 
@@ -140,6 +140,26 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_windows.verify_against_tampering(table(spark, folder, "documents"))
 
 
+SEARCH_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+counted AS (SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS total FROM d WHERE len(words) > 0),
+tf AS (SELECT r, doc_id, len(words)::BIGINT AS n, term, count(*)::BIGINT AS tf FROM d, unnest(words) AS u(term) GROUP BY ALL),
+asked AS (SELECT q, item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM benchmark), unnest(words) AS u(term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, counted GROUP BY term, n_docs),
+scored AS (SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // total))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term), counted GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 20"""
+
+
+@query("op12_ranked_search", SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op13_quality_rules")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and the boosted trees' verdict on every document."""
