@@ -66,7 +66,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``start, kind number, end`` of the pattern matches, sorted."""
     spans = [(s, 0, e) for s, e in _emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        # Without leading zeros first: a number of thousands of digits is no int in Python.
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
             spans.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -214,12 +215,22 @@ def train(sentences: list[str] | None = None, epochs: int = 250, rate: float = 0
 
 
 class _Memo(dict):
-    """Word to the row of its scores, counted on first sight."""
+    """Word to the row of its scores in ``table``, worked out on first sight."""
 
     def __init__(self, model: Crf):
         super().__init__()
-        self.model, self.rows = model, []
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget words, features and scores."""
+        super().clear()
         self.known: dict[tuple[str, ...], int] = {}
+        self.room = np.zeros((256, 3, K), dtype=np.float32)
+
+    @property
+    def table(self) -> np.ndarray:
+        return self.room[:len(self.known)]
 
     def __missing__(self, word: str) -> int:
         core = word if word.isalpha() else word.lstrip(OPEN).rstrip(CLOSE)
@@ -227,8 +238,10 @@ class _Memo(dict):
         key = PLAIN if plain else tuple(features(word))
         row = self.known.get(key)
         if row is None:
-            row = self.known[key] = len(self.rows)
-            self.rows.append(self.model.scores(word))
+            row = self.known[key] = len(self.known)
+            if row == len(self.room):
+                self.room = np.concatenate((self.room, np.zeros_like(self.room)))
+            self.room[row] = self.model.scores(word)
         self[word] = row
         return row
 
@@ -261,9 +274,7 @@ def decode(texts: list[list[str]], model: Crf, memo: _Memo | None = None) -> lis
     memo = memo if memo is not None else _Memo(model)
     get = memo.__getitem__
     ids = [np.fromiter(map(get, words), dtype=np.int32, count=len(words)) for words in texts]
-    if not memo.rows:
-        return [np.zeros(0, dtype=np.uint8) for _ in texts]
-    table = np.stack(memo.rows)
+    table = memo.table
     moves = model.moves.astype(np.float32)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint8)] * len(texts)
     order = sorted((i for i in range(len(texts)) if len(ids[i])), key=lambda i: -len(ids[i]))

@@ -283,6 +283,22 @@ def test_base_spans_are_the_patterns():
         assert pii_crf.base_spans(text) == brute_base(text), text
     for text in ("a" * 50000, "1" * 50000, "a@" * 20000, "1." * 20000, "+1" * 20000):
         pii_crf.base_spans(text)
+    # Zero-filled numbers of any length are numbers still.
+    zeros = "0" * 5000
+    assert pii_crf.base_spans(zeros + ".1.1.1") == [(0, 1, 5006)]
+    assert pii_crf.base_spans(f"1.{zeros}255.1.1") == [(0, 1, 5009)]
+    assert pii_crf.base_spans(f"1.{zeros}256.1.1") == []
+    assert pii_crf.base_spans("9" * 5000 + ".1.1.1") == []
+
+
+def test_memo_forgets_everything(crf):
+    memo = pii_crf._Memo(crf)
+    words = [f"x{i}-{i * 7919 % 1000}y" for i in range(3000)]
+    first = pii_crf.decode([words], crf, memo)[0]
+    assert len(memo) == len(words) and len(memo.table) > 1
+    memo.clear()
+    assert len(memo) == 0 and len(memo.table) == 0 and len(memo.room) == 256
+    assert (pii_crf.decode([words], crf, memo)[0] == first).all()
 
 
 @pytest.fixture(scope="module")
