@@ -245,7 +245,14 @@ def measure(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
 def train(measured: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> Forest:
     """Trees for ``quality`` of ``labels`` (1 good, 0 bad; the lesser of several), fitted to at most ``most_rows`` rows."""
     named = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = measured.join(named, "doc_id").orderBy(F.xxhash64("doc_id"), *COUNTS).limit(most_rows).toPandas()
+    rows = measured.join(named, "doc_id").withColumn("order", F.xxhash64("doc_id"))
+    n = rows.count()
+    if n > 2 * most_rows:
+        # Each task would hand its own `most_rows` smallest to the driver. Most lie above a bound that leaves enough.
+        bound = rows.agg(F.percentile_approx("order", 1.5 * most_rows / n, 10_000)).first()[0]
+        below = rows.where(F.col("order") <= bound)
+        rows = below if below.count() >= most_rows else rows
+    rows = rows.orderBy("order", *COUNTS).limit(most_rows).toPandas()
     return fit(features(rows), rows["quality"].to_numpy(dtype=np.float64) > 0)
 
 

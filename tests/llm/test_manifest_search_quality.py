@@ -224,6 +224,23 @@ def test_quality_held_out(spark, folder):
     measured.unpersist()
 
 
+def test_bounded_training_rows(spark):
+    """The bound on the hash leaves the same rows as no bound; one id holds a third of the rows."""
+    docs = spark.createDataFrame([(i if i % 3 else 0, f"w{i} a b {i % 9}") for i in range(900)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(900)], "doc_id long, quality int")
+    measured = quality_trees.measure(docs).cache()
+    for most in (5, 40, 500, 5000):
+        seen = []
+        original, quality_trees.fit = quality_trees.fit, lambda x, good: seen.append((x, good))
+        try:
+            quality_trees.train(measured, labels, most)
+        finally:
+            quality_trees.fit = original
+        want = measured.join(labels, "doc_id").orderBy(F.xxhash64("doc_id"), *quality_trees.COUNTS).limit(most).toPandas()
+        assert np.array_equal(seen[0][0], quality_trees.features(want)) and len(want) == min(most, 900)
+    measured.unpersist()
+
+
 def test_judge_odd_and_empty_tables(spark):
     labels = spark.createDataFrame([(1, 1), (5, 0), (7, 1), (None, 0), (8, None)], "doc_id long, quality int")
     rows = quality_trees.judge(odd(spark), labels).collect()
