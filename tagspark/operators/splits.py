@@ -7,6 +7,10 @@ and ranking inside a single bucket. The split itself is then a filter.
 
 from __future__ import annotations
 
+import math
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import bucket, order_key
@@ -106,53 +110,161 @@ def stratified_quotas(keys: DataFrame, take: Column) -> DataFrame:
     return shares.select("stratum", "n", (F.col("base") + (F.row_number().over(order) <= F.col("left")).cast("int")).alias("k"))
 
 
-def stratified_split(df: DataFrame, labels: list[str], row_id: str, test_size: float = 0.2, seed: int = 42,
-                     n_test: int | None = None, fix: bool = False) -> DataFrame:
-    """Add ``is_test`` so that every label combination keeps its share.
-
-    ``fix`` stores the cutoff table (a row per combination that occurs) now; otherwise each
-    later job finds the cutoffs again.
-    """
-    keys = _keys(df, labels, row_id, seed)
-    take = F.lit(n_test) if n_test is not None else F.round(F.col("total") * test_size)
-    take = F.least(take.cast("bigint"), F.col("total"))
-    quotas = stratified_quotas(keys, take).select("stratum", "k")
-    cuts = hash_cutoffs(keys, quotas).select(F.col("stratum").alias("_stratum"), "cutoff")
-    if fix:
-        cuts = cut_lineage(cuts.coalesce(1))
-    rows = df.withColumn("_combo", label_combination(labels))
-    joined = rows.join(_per_combination(cuts, labels), F.col("_combo") == F.col("_stratum"), "left")
-    flag = F.coalesce(order_key(F.col(row_id), seed) <= F.col("cutoff"), F.lit(False))
-    return joined.withColumn("is_test", flag).drop("_combo", "_stratum", "cutoff")
-
-
 def stratified_sample(df: DataFrame, labels: list[str], row_id: str, n: int = 1000, seed: int = 42) -> DataFrame:
     """``n`` rows among those with a label, keeping the combination shares."""
     labelled = df.where(sum((F.col(c) for c in labels[1:]), F.col(labels[0])) > 0)
-    return stratified_split(labelled, labels, row_id, seed=seed, n_test=n).where("is_test").drop("is_test")
+    keys = _keys(labelled, labels, row_id, seed)
+    quotas = stratified_quotas(keys, F.least(F.lit(n).cast("bigint"), F.col("total"))).select("stratum", "k")
+    cuts = hash_cutoffs(keys, quotas).select(F.col("stratum").alias("_stratum"), "cutoff")
+    rows = labelled.withColumn("_combo", label_combination(labels))
+    joined = rows.join(_per_combination(cuts, labels), F.col("_combo") == F.col("_stratum"))
+    return joined.where(order_key(F.col(row_id), seed) <= F.col("cutoff")).drop("_combo", "_stratum", "cutoff")
+
+
+def _whole_parts(n: Column, shares: list[float]) -> list[Column]:
+    """How many of ``n`` rows are certain to go to the first side, the first two, and so on."""
+    whole = [F.floor(F.round(n * s, 9)) for s in shares]
+    return [sum(whole[1:i + 1], whole[0]) for i in range(len(whole))]
+
+
+def _quotas(deficits: list[float], behind: list[float], m: int) -> list[int]:
+    """``m`` rows dealt in proportion to what the sides lack; leftover units to
+    the largest remainders, then to the side that lacks most rows altogether."""
+    lack = [max(d, 0.0) for d in deficits]
+    if sum(lack) == 0:
+        lack = [1.0] * len(lack)
+    exact = [m * d / sum(lack) for d in lack]
+    out = [math.floor(round(x, 9)) for x in exact]
+    order = sorted(range(len(out)), key=lambda j: (-round(exact[j] - out[j], 9), -round(behind[j], 9), j))
+    for j in order[:m - sum(out)]:
+        out[j] += 1
+    return out
+
+
+def _nth_hashes(keys: DataFrame, ranks: list[int]) -> dict[int, str]:
+    """The ``k``-th smallest ``h`` for each ``k``: the driver sees one count per bucket, a bucket alone is ranked."""
+    at = bucket(F.col("h"))
+    edges: dict[tuple[int, int], int] = {}
+    below = 0
+    for b, n in sorted(keys.groupBy(at.alias("b")).agg(F.count("*")).collect()):
+        edges |= {(b, k - below): k for k in ranks if below < k <= below + n}
+        below += n
+    if not edges:
+        return {}
+    nth = F.row_number().over(Window.partitionBy("b").orderBy("h"))
+    near = keys.withColumn("b", at).where(F.col("b").isin([b for b, _ in edges])).withColumn("r", nth)
+    hit = reduce(operator.or_, [(F.col("b") == b) & (F.col("r") == r) for b, r in edges])
+    return {edges[row["b"], row["r"]]: row["h"] for row in near.where(hit).collect()}
+
+
+def _settle(rest: DataFrame, unlabelled: DataFrame, n_labels: int, wanted: list[list[float]], shares: list[float]) -> list[tuple[int, list[str]]]:
+    """Rounds ``(label, cutoffs)`` that give every row of ``rest`` and of ``unlabelled`` a side.
+
+    ``rest`` has ``stratum`` (the flags, one set at least) and ``h``; ``unlabelled``
+    has ``h``. ``wanted[l][j]`` is what label ``l`` still lacks on side ``j``, the
+    last ``l`` standing for all rows. Each round takes the open label with the
+    fewest open rows and cuts those, in hash order, in proportion to what the label
+    lacks; rows without a label come last and settle the total.
+    The driver holds one small table of labels and sides; there are at most as
+    many rounds as labels, and one more.
+    """
+    everything = n_labels
+    wanted = [list(w) for w in wanted]
+    holds = [F.substring("stratum", i + 1, 1) == "1" for i in range(n_labels)] + [F.lit(True)]
+    rounds: list[tuple[int, list[str]]] = []
+    counts = list(rest.agg(*[F.count_if(h) for h in holds]).first())
+    counts[everything] += unlabelled.count()
+    while any(counts):
+        taken = [label for label, _ in rounds]
+        is_open = F.lit(True)
+        for label in taken:
+            is_open = is_open & ~holds[label]
+        left = rest.where(is_open)
+        label = min((i for i in range(n_labels + 1) if counts[i]), key=lambda i: (i == everything, counts[i], i))
+        lacks = wanted[everything] if counts[label] == counts[everything] else wanted[label]
+        quotas = _quotas(lacks, wanted[everything], counts[label])
+        upto = [sum(quotas[:i + 1]) for i in range(len(quotas) - 1)]
+        keys = unlabelled if label == everything else left.where(holds[label]).select("h")
+        found = _nth_hashes(keys, sorted(set(upto)))
+        cutoffs = [found.get(k, "") for k in upto]
+        rounds.append((label, cutoffs))
+        if label == everything:
+            break
+        side = _side_of(F.col("h"), cutoffs)
+        got = left.where(holds[label]).agg(*[F.count_if(h & (side == j)) for h in holds for j in range(len(shares))]).first()
+        for i in range(n_labels + 1):
+            for j in range(len(shares)):
+                wanted[i][j] -= got[i * len(shares) + j]
+                counts[i] -= got[i * len(shares) + j]
+    return rounds
+
+
+def _side_of(h: Column, cutoffs: list[str]) -> Column:
+    return sum(((h > F.lit(c)).cast("int") for c in cutoffs), F.lit(0))
+
+
+def assign_sides(df: DataFrame, labels: list[str], row_id: str, shares: list[float], seed: int = 42, column: str = "side") -> DataFrame:
+    """Add ``column``: the side (0, 1, …) of every row, so that each label has ``shares`` of its rows on each side.
+
+    A combination of labels first gives every side the whole part of its share.
+    The labelled rows left over, few where combinations are frequent and all of them where
+    every row has its own, are settled label by label, the rarest first, against
+    what each label lacks on each side; rows without labels come last and settle the
+    totals, as far as they suffice. A side is the row's hash compared with
+    cutoffs that are found by counting: no table is sorted, and ``df`` is read
+    once more than the counting does. A label whose rows nearly all hold rarer labels
+    is shared out with those and may drift as in a split by hash alone. Flags are 0 or 1; a row with a NULL flag
+    counts as one without labels. Rows with equal ids share a side.
+    """
+    rows = df.withColumn("_combo", F.coalesce(label_combination(labels), F.lit("0" * len(labels))))
+    keys = cut_lineage(rows.select(F.col("_combo").alias("stratum"), order_key(F.col(row_id), seed).alias("h"),
+                                   order_key(F.col(row_id), seed + 1).alias("again")))
+    bare = F.col("stratum") == "0" * len(labels)
+    labelled, unlabelled = keys.where(~bare), keys.where(bare).select(F.col("again").alias("h"))
+    sizes = cut_lineage(labelled.groupBy("stratum").agg(F.count("*").alias("n")))
+    steps = [F.struct(F.lit(j).alias("j"), k.alias("k")) for j, k in enumerate(_whole_parts(F.col("n"), shares))]
+    wanted = sizes.select("stratum", F.inline(F.array(*steps)))
+    cuts = hash_cutoffs(labelled, wanted.select("stratum", "k").distinct())
+    cuts = wanted.join(cuts, ["stratum", "k"], "left").groupBy("stratum").agg(
+        F.sort_array(F.collect_list(F.struct("j", F.coalesce("cutoff", F.lit("")).alias("cutoff"))))["cutoff"].alias("cuts"))
+    cuts = cut_lineage(cuts)
+
+    def first_side(h: Column) -> Column:
+        side = F.size(F.filter("cuts", lambda c: c < h))
+        return F.when(F.col("cuts").isNotNull() & (side < len(shares)), side)
+
+    placed = labelled.join(_per_combination(cuts, labels), "stratum").withColumn("side", first_side(F.col("h")))
+    holds = [F.substring("stratum", i + 1, 1) == "1" for i in range(len(labels))] + [F.lit(True)]
+    sums = placed.agg(*[F.count_if(h) for h in holds], *[F.count_if(h & (F.col("side") == j)) for h in holds for j in range(len(shares))]).first()
+    n, s = len(holds), len(shares)
+    sums = [*sums]
+    sums[n - 1] += unlabelled.count()
+    lacking = [[sums[i] * share - sums[n + i * s + j] for j, share in enumerate(shares)] for i in range(n)]
+    rest = placed.where("side IS NULL").select("stratum", F.col("again").alias("h"))
+    # Fewer rows than sides are left per combination: with few labels they fit one partition for certain.
+    rest = cut_lineage(rest.coalesce(1) if len(labels) <= PROVEN_LABELS else rest)
+    rounds = _settle(rest, unlabelled, len(labels), lacking, shares)
+
+    again = order_key(F.col(row_id), seed + 1)
+    settled = F.lit(0)
+    for label, cutoffs in reversed(rounds):
+        here = F.substring("_combo", label + 1, 1) == "1" if label < len(labels) else F.lit(True)
+        settled = F.when(here, _side_of(again, cutoffs)).otherwise(settled)
+    table = cuts.withColumnRenamed("stratum", "_stratum")
+    joined = rows.join(_per_combination(table, labels), F.col("_combo") == F.col("_stratum"), "left")
+    side = F.coalesce(first_side(order_key(F.col(row_id), seed)), settled)
+    return joined.withColumn(column, side.cast("int")).drop("_combo", "_stratum", "cuts")
+
+
+def stratified_split(df: DataFrame, labels: list[str], row_id: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``is_test`` so that every label keeps its share on both sides."""
+    sides = assign_sides(df, labels, row_id, [test_size, 1 - test_size], seed, "is_test")
+    return sides.withColumn("is_test", F.col("is_test") == 0)
 
 
 def stratified_folds(df: DataFrame, labels: list[str], row_id: str, folds: int = 3, seed: int = 42) -> DataFrame:
-    """Add ``fold``: each combination is cut into equal hash ranges, and the
-    ranges are dealt to the folds with an offset that moves per combination."""
-    keys = _keys(df, labels, row_id, seed)
-    sizes = keys.groupBy("stratum").agg(F.count("*").alias("n"))
-    cut_points = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda f: F.floor(f * F.col("n") / folds))
-    wanted = sizes.select("stratum", F.explode(cut_points).alias("k"))
-    cuts = hash_cutoffs(keys, wanted.distinct())
-    offset = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("stratum")) - 1
-    table = (
-        sizes.withColumn("offset", offset)
-        .join(wanted.join(cuts, ["stratum", "k"], "left").groupBy("stratum").agg(
-            F.sort_array(F.collect_list(F.coalesce("cutoff", F.lit("")))).alias("cuts")), "stratum")
-        .select(F.col("stratum").alias("_stratum"), "offset", "cuts")
-    )
-    h = order_key(F.col(row_id), seed)
-    rows = df.withColumn("_combo", label_combination(labels)).withColumn("_h", h)
-    joined = rows.join(_per_combination(table, labels), F.col("_combo") == F.col("_stratum"))
-    part = F.size(F.filter("cuts", lambda c: c < F.col("_h")))
-    return joined.withColumn("fold", F.pmod(part + F.col("offset"), F.lit(folds)).cast("int")).drop(
-        "_combo", "_h", "_stratum", "offset", "cuts")
+    """Add ``fold`` so that every label is spread evenly over the folds."""
+    return assign_sides(df, labels, row_id, [1 / folds] * folds, seed, "fold")
 
 
 def split_report(df: DataFrame, labels: list[str], flag: str = "is_test") -> DataFrame:

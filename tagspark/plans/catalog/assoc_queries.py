@@ -440,21 +440,50 @@ split AS (SELECT r.p_id, r.combo, r.k <= q.k AS is_test FROM r JOIN q USING (com
 """
 
 
+def sides_sql(shares):
+    """CTEs up to ``sides(p_id, combo, side)``: whole parts per combination, then one round per label and one for all rows."""
+    n_labels, n_sides = len(PRIORITY_TAGS), len(shares)
+    holds = "(l.label = {n} OR substr({t}.combo, l.label + 1, 1) = '1')"
+    upto = [" + ".join(f"floor(round(n * {s!r}::DOUBLE, 9))" for s in shares[:i + 1]) for i in range(n_sides)]
+    first = " ".join(f"WHEN k <= {u} THEN {j}" for j, u in enumerate(upto))
+    sql = f"""{combo_sql()}, labels AS (SELECT unnest(range({n_labels + 1})) AS label),
+shares AS (SELECT * FROM (VALUES {", ".join(f"({j}, {s!r}::DOUBLE)" for j, s in enumerate(shares))}) v(j, share)),
+ranked AS (SELECT p_id, combo, row_number() OVER (PARTITION BY combo ORDER BY h) AS k, count(*) OVER (PARTITION BY combo) AS n FROM combos),
+a0 AS (SELECT p_id, combo, md5('43|' || CAST(p_id AS VARCHAR)) AS h, CASE WHEN combo = '{"0" * n_labels}' THEN NULL {first} END AS side FROM ranked)"""
+    for r in range(n_labels + 1):
+        t = f"a{r}"
+        on = holds.format(n=n_labels, t=t)
+        sql += f""",
+c{r} AS (SELECT label, count(*) FILTER (side IS NULL) AS m FROM labels l JOIN {t} ON {on} GROUP BY label),
+p{r} AS (SELECT label, m, m = (SELECT m FROM c{r} WHERE label = {n_labels}) AS last FROM c{r} WHERE m > 0 ORDER BY label = {n_labels}, m, label LIMIT 1),
+d{r} AS (SELECT label, j, count(*) * share - count(*) FILTER (side = j) AS lack FROM labels l JOIN {t} ON {on}, shares GROUP BY label, j, share),
+e{r} AS (SELECT p.label, p.m, x.j, greatest(x.lack, 0.0) AS lack, y.lack AS behind FROM p{r} p JOIN d{r} x ON x.label = CASE WHEN last THEN {n_labels} ELSE p.label END
+  JOIN d{r} y ON y.label = {n_labels} AND y.j = x.j),
+x{r} AS (SELECT *, CASE WHEN sum(lack) OVER () = 0 THEN m / {n_sides}.0::DOUBLE ELSE m * lack / sum(lack) OVER () END AS exact FROM e{r}),
+f{r} AS (SELECT *, floor(round(exact, 9)) AS base FROM x{r}),
+q{r} AS (SELECT label, j, base + CASE WHEN row_number() OVER (ORDER BY round(exact - base, 9) DESC, round(behind, 9) DESC, j) <= m - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM f{r}),
+u{r} AS (SELECT label, j, sum(quota) OVER (ORDER BY j) AS upto FROM q{r}),
+o{r} AS (SELECT p_id, row_number() OVER (ORDER BY h) AS k FROM {t} JOIN p{r} l ON {on} WHERE side IS NULL),
+a{r + 1} AS (SELECT {t}.p_id, combo, h, coalesce(side, (SELECT count(*) FROM u{r} WHERE upto < o.k) + 0 * o.k)::INTEGER AS side FROM {t} LEFT JOIN o{r} o ON o.p_id = {t}.p_id)"""
+    return sql + f""", sides AS (SELECT p_id, combo, side FROM a{n_labels + 1})
+"""
+
+
 def with_targets(spark, folder):
     p = problems(spark, folder)
     return p.select("p_id", *tag_ops.target_columns("tags")), ["target_" + t.replace(" ", "_") for t in PRIORITY_TAGS]
 
 
-@query("spl2_stratified_split", combo_sql() + quota_sql("round(total * 0.2)") + "SELECT p_id, is_test FROM split")
+@query("spl2_stratified_split", sides_sql([0.2, 0.8]) + "SELECT p_id, side = 0 AS is_test FROM sides")
 def spl2(spark, folder):
     rows, labels = with_targets(spark, folder)
     return splits.stratified_split(rows, labels, "p_id").select("p_id", "is_test")
 
 
-@query("spl2_split_report", combo_sql() + quota_sql("round(total * 0.2)") + " UNION ALL ".join(
-    f"""SELECT 'target_{t.replace(' ', '_')}' AS label, round(avg(x) FILTER (NOT is_test), 6) AS train_pct, round(avg(x) FILTER (is_test), 6) AS test_pct,
-    round(abs(avg(x) FILTER (NOT is_test) - avg(x) FILTER (is_test)), 6) AS diff
-    FROM (SELECT is_test, 100.0::DOUBLE * CAST(substr(combo, {i + 1}, 1) AS INTEGER) AS x FROM split)""" for i, t in enumerate(PRIORITY_TAGS)))
+@query("spl2_split_report", sides_sql([0.2, 0.8]) + " UNION ALL ".join(
+    f"""SELECT 'target_{t.replace(' ', '_')}' AS label, round(avg(x) FILTER (side > 0), 6) AS train_pct, round(avg(x) FILTER (side = 0), 6) AS test_pct,
+    round(abs(avg(x) FILTER (side > 0) - avg(x) FILTER (side = 0)), 6) AS diff
+    FROM (SELECT side, 100.0::DOUBLE * CAST(substr(combo, {i + 1}, 1) AS INTEGER) AS x FROM sides)""" for i, t in enumerate(PRIORITY_TAGS)))
 def spl2_report(spark, folder):
     rows, labels = with_targets(spark, folder)
     return rounded(splits.split_report(splits.stratified_split(rows, labels, "p_id"), labels), "train_pct", "test_pct", "diff")
@@ -467,11 +496,7 @@ def spl3(spark, folder):
     return splits.stratified_sample(rows, labels, "p_id", 200).select("p_id")
 
 
-@query("spl4_stratified_folds", combo_sql() + """
-, o AS (SELECT combo, count(*) AS n, row_number() OVER (ORDER BY combo) - 1 AS o FROM combos GROUP BY 1),
-r AS (SELECT p_id, combo, row_number() OVER (PARTITION BY combo ORDER BY h) AS k FROM combos)
-SELECT p_id, CAST(((CASE WHEN k > floor(n / 3.0) THEN 1 ELSE 0 END + CASE WHEN k > floor(2 * n / 3.0) THEN 1 ELSE 0 END) + o) % 3 AS INTEGER) AS fold
-FROM r JOIN o USING (combo)""")
+@query("spl4_stratified_folds", sides_sql([1 / 3] * 3) + "SELECT p_id, side AS fold FROM sides")
 def spl4(spark, folder):
     rows, labels = with_targets(spark, folder)
     return splits.stratified_folds(rows, labels, "p_id").select("p_id", "fold")

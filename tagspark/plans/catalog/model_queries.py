@@ -103,7 +103,7 @@ TARGETS = prepare.target_names(OPTIONS.labels)
 
 def _split(spark, folder):
     rows = prepare.with_targets(problems(spark, folder), OPTIONS)
-    return splits.train_test(splits.stratified_split(rows, TARGETS, OPTIONS.key, fix=True))
+    return splits.train_test(splits.stratified_split(rows, TARGETS, OPTIONS.key))
 
 
 #: Session setting: partitions of the feature table in training; unset, they stay as they are.
@@ -164,7 +164,7 @@ def small_features(spark, folder):
 
 def _tree_scores(spark, folder, kind, **params):
     """Scores per side and label: models see the training side only."""
-    rows = cut_lineage(splits.stratified_split(labelled_rows(spark, folder), TWO_LABELS, "doc_id", fix=True))
+    rows = cut_lineage(splits.stratified_split(labelled_rows(spark, folder), TWO_LABELS, "doc_id"))
     data = cut_lineage(scaled_by(rows.where("NOT is_test"))(rows))
     fitted = models.fit_labels(data.where("NOT is_test"), TWO_LABELS, kind, **params)
     scored = models.predictions(fitted, data, "doc_id", keep=["is_test"])
