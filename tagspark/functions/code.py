@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 from ..constants import IMPORT_MODULES
 
@@ -34,23 +38,82 @@ def pattern_flags(c: Column) -> dict[str, Column]:
     return {name: F.coalesce(rule, F.lit(False)).cast("int") for name, rule in rules.items()}
 
 
-def structure_counts(c: Column, indent: int = 4) -> dict[str, Column]:
-    """Statement counts by leading keyword and nesting depth by indentation.
+#: Tokens of Python source. A string that does not end shows up as ``bad``.
+TOKEN = re.compile(
+    r"""(?P<string>\b[rbuft]{0,2}(?:\"{3}(?:[^\\]|\\.)*?\"{3}|'{3}(?:[^\\]|\\.)*?'{3})|(?:\"{3}(?:[^\\]|\\.)*?\"{3}|'{3}(?:[^\\]|\\.)*?'{3}))"""
+    r"""|(?P<unended>\"{3}|'{3})"""
+    r"""|(?P<short>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
+    r"""|(?P<comment>\#[^\n]*)|(?P<joined>\\\n)|(?P<newline>\n)|(?P<space>[ \t\f]+)|(?P<name>\w+)"""
+    r"""|(?P<opening>[(\[{])|(?P<closing>[)\]}])|(?P<bad>["'\\$?!`](?!=))|(?P<other>.)""", re.S | re.I)
+CLOSES = {")": "(", "]": "[", "}": "{"}
+#: Leading keyword of a statement to the count it adds to.
+STATEMENTS = {"def": 0, "class": 1, "for": 2, "while": 3, "if": 4, "elif": 4}
+STRUCTURE = ["num_functions", "num_classes", "num_for_loops", "num_while_loops", "num_if_statements", "max_depth"]
+NOTHING = (0,) * len(STRUCTURE)
+
 
-    A line-based reading: one-line compounds and text inside string literals
-    are not told apart from statements.
+def code_structure(source: str | None) -> tuple[int, ...]:
+    """The values of ``STRUCTURE`` for Python source, in one pass over its tokens.
+
+    Statements are counted by the word a logical line starts with, so strings,
+    comments and what stands in brackets or after a line's first word count for
+    nothing. ``max_depth`` is the largest number of open blocks. Source whose
+    strings, brackets or blocks do not close, or whose indentation fits no open
+    block, gives zeros; other syntax errors are not seen.
     """
+    if not source:
+        return NOTHING
+    counts, depth = [0] * (len(STRUCTURE) - 1), 0
+    indents, brackets = [0], []
+    # Of the logical line: is nothing seen yet, how far it is indented, does it end in a colon.
+    fresh, indent, opens, opened = True, 0, False, False
+    for m in TOKEN.finditer(source.replace("\r\n", "\n").replace("\r", "\n") + "\n"):
+        kind = m.lastgroup
+        if kind == "newline":
+            if brackets:
+                continue
+            if not fresh:
+                opened = opens
+            fresh, indent, opens = True, 0, False
+        elif kind == "space":
+            if fresh and not brackets:
+                for c in m[0]:
+                    indent = indent // 8 * 8 + 8 if c == "\t" else 0 if c == "\f" else indent + 1
+        elif kind == "comment" or kind == "joined":
+            continue
+        elif kind == "bad" or kind == "unended":
+            return NOTHING
+        else:
+            if fresh:
+                fresh = False
+                if opened:
+                    if indent <= indents[-1]:
+                        return NOTHING
+                    indents.append(indent)
+                    depth = max(depth, len(indents) - 1)
+                else:
+                    while indents[-1] > indent:
+                        indents.pop()
+                    if indents[-1] != indent:
+                        return NOTHING
+                opened = False
+                if kind == "name" and m[0] in STATEMENTS:
+                    counts[STATEMENTS[m[0]]] += 1
+            opens = m[0] == ":" and not brackets
+            if kind == "opening":
+                brackets.append(m[0])
+            elif kind == "closing":
+                if not brackets or brackets.pop() != CLOSES[m[0]]:
+                    return NOTHING
+    return NOTHING if brackets or opened else (*counts, depth)
 
-    def lines_starting(keyword: str, after: str = r"[^a-zA-Z0-9_]") -> Column:
-        return F.coalesce(F.regexp_count(c, F.lit(rf"(?m)^[ \t]*{keyword}{after}")), F.lit(0))
-
-    indents = F.regexp_extract_all(c, F.lit(r"(?m)^( *)[^ \n]"), F.lit(1))
-    depth = F.floor(F.coalesce(F.array_max(F.transform(indents, F.length)), F.lit(0)) / indent)
-    return {
-        "num_functions": lines_starting("def", " "),
-        "num_classes": lines_starting("class", " "),
-        "num_for_loops": lines_starting("for"),
-        "num_while_loops": lines_starting("while"),
-        "num_if_statements": lines_starting("(?:if|elif)"),
-        "max_depth": depth.cast("int"),
-    }
+
+@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in STRUCTURE]))
+def _structure(sources: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for batch in sources:
+        yield pd.DataFrame([code_structure(s) for s in batch], columns=STRUCTURE)
+
+
+def structure_counts(c: Column) -> Column:
+    """``struct`` of ``STRUCTURE``: statements by kind and the depth of blocks; NULL source gives zeros."""
+    return _structure(c)

@@ -214,11 +214,13 @@ def assign_sides(df: DataFrame, labels: list[str], row_id: str, shares: list[flo
     cutoffs that are found by counting: no table is sorted, and ``df`` is read
     once more than the counting does. A label whose rows nearly all hold rarer labels
     is shared out with those and may drift as in a split by hash alone. Flags are 0 or 1; a row with a NULL flag
-    counts as one without labels. Rows with equal ids share a side.
+    counts as one without labels. Rows
+    alike in id and labels share a side, NULL being an id too.
     """
     rows = df.withColumn("_combo", F.coalesce(label_combination(labels), F.lit("0" * len(labels))))
-    keys = cut_lineage(rows.select(F.col("_combo").alias("stratum"), order_key(F.col(row_id), seed).alias("h"),
-                                   order_key(F.col(row_id), seed + 1).alias("again")))
+    name = F.coalesce(F.col(row_id).cast("string"), F.lit("\x00"))
+    h, again = order_key(name, seed), order_key(name, seed + 1)
+    keys = cut_lineage(rows.select(F.col("_combo").alias("stratum"), h.alias("h"), again.alias("again")))
     bare = F.col("stratum") == "0" * len(labels)
     labelled, unlabelled = keys.where(~bare), keys.where(bare).select(F.col("again").alias("h"))
     sizes = cut_lineage(labelled.groupBy("stratum").agg(F.count("*").alias("n")))
@@ -245,14 +247,13 @@ def assign_sides(df: DataFrame, labels: list[str], row_id: str, shares: list[flo
     rest = cut_lineage(rest.coalesce(1) if len(labels) <= PROVEN_LABELS else rest)
     rounds = _settle(rest, unlabelled, len(labels), lacking, shares)
 
-    again = order_key(F.col(row_id), seed + 1)
     settled = F.lit(0)
     for label, cutoffs in reversed(rounds):
         here = F.substring("_combo", label + 1, 1) == "1" if label < len(labels) else F.lit(True)
         settled = F.when(here, _side_of(again, cutoffs)).otherwise(settled)
     table = cuts.withColumnRenamed("stratum", "_stratum")
     joined = rows.join(_per_combination(table, labels), F.col("_combo") == F.col("_stratum"), "left")
-    side = F.coalesce(first_side(order_key(F.col(row_id), seed)), settled)
+    side = F.coalesce(first_side(h), settled)
     return joined.withColumn(column, side.cast("int")).drop("_combo", "_stratum", "cuts")
 
 

@@ -401,17 +401,29 @@ def cod2(spark, folder):
     return problems(spark, folder).select("p_id", *[c.alias(n) for n, c in flags.items()])
 
 
-@query("cod3_code_structure", CTE + r"""
+STRUCTURE_SQL = CTE + r"""
 SELECT p_id, len(regexp_extract_all(source_code, '(?m)^[ \t]*def ')) AS num_functions,
        len(regexp_extract_all(source_code, '(?m)^[ \t]*class ')) AS num_classes,
        len(regexp_extract_all(source_code, '(?m)^[ \t]*for[^a-zA-Z0-9_]')) AS num_for_loops,
        len(regexp_extract_all(source_code, '(?m)^[ \t]*while[^a-zA-Z0-9_]')) AS num_while_loops,
        len(regexp_extract_all(source_code, '(?m)^[ \t]*(if|elif)[^a-zA-Z0-9_]')) AS num_if_statements,
        CAST(floor(list_max(list_transform(string_split(source_code, chr(10)), lambda l: length(l) - length(ltrim(l)))) / 4) AS BIGINT) AS max_depth
-FROM problems""")
+FROM problems"""
+
+
+@query("cod3_code_structure", STRUCTURE_SQL)
 def cod3(spark, folder):
-    counts = code.structure_counts(F.col("source_code"))
-    return longs(problems(spark, folder).select("p_id", *[c.alias(n) for n, c in counts.items()]), *counts)
+    counts = code.structure_counts(F.col("source_code")).alias("s")
+    return problems(spark, folder).select("p_id", counts).select("p_id", "s.*")
+
+
+@query("cod3_code_around_text", STRUCTURE_SQL)
+def cod3_text(spark, folder):
+    """The same counts with a text in a string above the code and each of its lines in a comment below."""
+    words = F.regexp_replace(F.coalesce("description", F.lit("")), r"[\\\\']", " ")
+    around = F.concat(F.lit("'''for "), words, F.lit("\ndef'''\n"), F.col("source_code"), F.lit("\n# if "), F.regexp_replace(words, r"\r\n?|\n", "\n  # while "))
+    counts = code.structure_counts(around).alias("s")
+    return problems(spark, folder).select("p_id", counts).select("p_id", "s.*")
 
 
 @query("src4_parse_tags", CTE + """

@@ -1,5 +1,13 @@
 """Literal examples and the traps of the text expressions."""
 
+import ast
+import glob
+import io
+import os
+import re
+import time
+import tokenize
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,12 +154,65 @@ def test_code_flags(spark):
 
 def test_code_structure(spark):
     source = "def f():\n    for i in x:\n        if i:\n            pass\nclass A:\n    pass\nwhile 1:\n    format(1)"
-    counts = code.structure_counts(F.col("c"))
-    row = spark.createDataFrame([(source,)], "c string").select(*[c.alias(n) for n, c in counts.items()]).first()
+    rows = spark.createDataFrame([(source,), (None,), ("",), ("def f(:",)], "c string")
+    row, *none = [r["s"] for r in rows.select(code.structure_counts(F.col("c")).alias("s")).collect()]
+    assert all(set(r) == {0} for r in none)
     assert row.asDict() == {"num_functions": 1, "num_classes": 1, "num_for_loops": 1, "num_while_loops": 1,
                             "num_if_statements": 1, "max_depth": 3}
 
 
+def parsed(source):
+    """The same counts from Python's own parser and tokenizer."""
+    nodes = list(ast.walk(ast.parse(source)))
+    depth = most = 0
+    for t in tokenize.generate_tokens(io.StringIO(source).readline):
+        depth += (t.type == tokenize.INDENT) - (t.type == tokenize.DEDENT)
+        most = max(most, depth)
+    return (*[sum(isinstance(n, kind) for n in nodes) for kind in (ast.FunctionDef, ast.ClassDef, ast.For, ast.While, ast.If)], most)
+
+
+def test_code_structure_equals_the_parser():
+    files = sorted(p for folder in ("", "json", "email", "asyncio", "unittest") for p in glob.glob(f"{os.path.dirname(os.__file__)}/{folder}/*.py"))
+    assert len(files) > 150
+    for path in files:
+        with open(path, encoding="utf-8") as f:
+            source = f.read()
+        # Quotes of the same kind inside the braces of an f-string are newer than the rule for strings here.
+        if not re.search(r"""\bf(["']).*\{[^}]*\1[^}]*\}.*\1""", source):
+            assert code.code_structure(source) == parsed(source), path
+
+
+@pytest.mark.parametrize("source", [
+    "x = 'for\\\n if'\nif x:\n\tpass\n",
+    "if x: y = [z for z in\nrange(3) if z]; k = 1\nelif y:\n  pass",
+    "# if\n\n   # while\nfor i in x:\n\n  # class\n  pass",
+    'def f():\n  """def\nclass """\n  return """a\\""" if""" if 1 else 2',
+    "class A:\n  def g(self): pass\n\n  async def h(self):\n    async for i in x: pass\n",
+    "x = (1,\n  2)\nwhile x \\\n  and y:\n        pass\nformat = 1\nif_ = 2",
+    "def f():\r\n    pass\r\nif 1:\r\n    x = 'é'\r\n",
+    "if 1:\n  if 2:\n    x\n  else:\n    y\nz",
+])
+def test_code_structure_of_small_sources(source):
+    assert code.code_structure(source) == parsed(source)
+
+
+@pytest.mark.parametrize("source", [
+    "x = 'a", 'x = """a\nif b:\n  c', "f(", "f)", "f(]", "if x:\npass", "  x", "if x:\n    y\n  z", "x\n  y", "if x:", "a = $b",
+    "if x:\n  # only a comment\n", "x = a ? b", "\\ x",
+])
+def test_code_that_does_not_close_gives_zeros(source):
+    with pytest.raises(SyntaxError):
+        ast.parse(source)
+    assert set(code.code_structure(source)) == {0}
+
+
+def test_code_structure_is_linear():
+    for piece in ('"', "'", '"""', "\\", "(", " ", "\t", "if ", "'\\'", "#", "\n", "r'''", '"""\\'):
+        start = time.time()
+        code.code_structure(piece * 200_000)
+        assert time.time() - start < 3, piece
+
+
 def test_difficulty_bins_are_right_closed(spark):
     rows = spark.createDataFrame([(x,) for x in (0.0, 1200.0, 1200.5, 2000.0, 3500.0, 3501.0, None)], "d double")
     got = [r[0] for r in rows.select(numeric.difficulty_bin(F.col("d"))).collect()]
