@@ -40,6 +40,32 @@ def test_read_records(spark, records, tmp_path):
     assert readers.extract_tags_list(df) is df
 
 
+def test_read_all_keys(spark, tmp_path):
+    files = {
+        "a": {"src_uid": "a", "tags": ["x", "y"], "difficulty": 800, "extra": 1, "we.ird`k\"'": "q", "Note": "N", "only": None},
+        "b": {"src_uid": "b", "tags": "['x']", "difficulty": 1.5, "extra": "s", "nest": {"p": 1}, "note": 2},
+        "c": {"src_uid": 3, "tags": None, "extra": [1, {"k": "v"}], "lst": [1, 2.5], "nest": {"p": 7, "q": "z"}, "empty": {}, "src_UID": "other"},
+        "d": {},
+    }
+    for name, record in files.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(record, indent=1), encoding="utf-8")
+    (tmp_path / "broken.json").write_text('{"src_uid": ', encoding="utf-8")
+    (tmp_path / "other.txt").write_text("not read", encoding="utf-8")
+    df = readers.read_all_keys(spark, str(tmp_path))
+    assert df.columns[:len(readers.RECORD_SCHEMA)] == readers.RECORD_SCHEMA.names
+    assert set(df.columns[len(readers.RECORD_SCHEMA):]) == {"Note", "empty", "extra", "lst", "nest", "note_2", "only", "src_UID_2", "we.ird`k\"'"}
+    rows = {r["src_uid"]: r.asDict(recursive=True) for r in df.collect() if r["src_uid"]}
+    assert df.count() == 5 and set(rows) == {"a", "b", "3"}
+    assert [rows[k]["extra"] for k in ("a", "b", "3")] == ["1", "s", '[1,{"k":"v"}]']
+    assert rows["a"]["we.ird`k\"'"] == "q" and (rows["a"]["Note"], rows["b"]["note_2"]) == ("N", 2)
+    assert rows["3"]["lst"] == [1.0, 2.5] and rows["b"]["nest"] == {"p": 1, "q": None} and rows["3"]["nest"] == {"p": 7, "q": "z"}
+    assert rows["3"]["src_UID_2"] == "other" and rows["a"]["only"] is None and rows["a"]["difficulty"] == 800.0
+    tags = readers.extract_tags_list(df).where("src_uid = 'a'").first()["tags"]
+    assert tags == ["x", "y"]
+    with pytest.raises(ValueError):
+        readers.read_all_keys(spark, str(tmp_path / "absent"))
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(5).withColumn("has_x", F.lit(1))
     writers.write_table(df, str(tmp_path / "t"))
