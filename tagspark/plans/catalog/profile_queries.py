@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from ...constants import IMPORT_MODULES, TAG_KEYWORDS
 from ...functions import code, latex, numeric, text
-from ...operators import profile as ops, splits, tags as tag_ops, validation
+from ...operators import keywords, profile as ops, splits, tags as tag_ops, validation
 from .base import *  # noqa: F403
-from .text_queries import BLOCKS_RE, PATTERN_SQL, SECONDS_SQL
+from .text_queries import BLOCKS_RE, KEYWORD_TABLE, PATTERN_SQL, SECONDS_SQL, keyword_table
 
 RECORD = ["p_id", "src_uid", "lang", "description", "notes", "time_limit", "difficulty", "tags_csv", "source_code", "exec_outcome"]
 WITH_MISSING = ["notes", "time_limit", "difficulty", "tags_csv"]
@@ -347,6 +347,16 @@ def agg32(spark, folder):
     return rounded(out, "desc_coverage", "code_coverage", "either_coverage")
 
 
+@query("agg32_keyword_table_coverage", CTE.replace("WITH ", f"WITH {KEYWORD_TABLE},\n", 1) + """
+, rows AS (SELECT tag, EXISTS (SELECT 1 FROM keywords k WHERE k.tag = p.tag AND contains(lower(description), keyword)) AS d,
+  EXISTS (SELECT 1 FROM keywords k WHERE k.tag = p.tag AND contains(lower(source_code), keyword)) AS c FROM priority p JOIN problems USING (p_id))
+SELECT tag, count(*) AS total, round(avg(coalesce(d, FALSE)::INTEGER), 6) AS desc_coverage, round(avg(coalesce(c, FALSE)::INTEGER), 6) AS code_coverage,
+       round(avg((coalesce(d, FALSE) OR coalesce(c, FALSE))::INTEGER), 6) AS either_coverage FROM rows GROUP BY tag""")
+def agg32_table(spark, folder):
+    out = keywords.keyword_coverage(problems(spark, folder), "description", "source_code", keyword_table(spark, folder))
+    return rounded(out, "desc_coverage", "code_coverage", "either_coverage")
+
+
 SAMPLE_SQL = """, sampled AS (SELECT * FROM problems ORDER BY md5('42|' || CAST(p_id AS VARCHAR)) LIMIT 1000)
 """
 IMPORT_SQL = {f"import_{m}": rf"regexp_matches(source_code, '\b(import\s+{m}|from\s+{m}\s+import)\b')" for m in IMPORT_MODULES}

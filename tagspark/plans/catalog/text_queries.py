@@ -9,6 +9,7 @@ from ...constants import (
 from ...functions import code, latex, numeric, text
 from ...functions.text import squeeze
 from ...operators import tags as tag_ops
+from ...operators.keywords import Keywords
 from .base import *  # noqa: F403
 
 
@@ -180,6 +181,27 @@ def txt4(spark, folder):
         "p_id", F.array_join(text.find_keywords(F.col("description"), KEYWORDS), "|").alias("keywords"))
 
 
+#: The words of the benchmark items as a keyword table, each under a tag.
+KEYWORD_TABLE = f"""words AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[^ \\t\\n\\r.,]+')) AS keyword FROM benchmark),
+keywords AS (SELECT DISTINCT [{PRIORITY_SQL}][item_id % {len(PRIORITY_TAGS)} + 1] AS tag, keyword FROM words WHERE length(keyword) >= 5)"""
+
+
+def keyword_table(spark, folder):
+    tag = F.element_at(F.array(*[F.lit(t) for t in PRIORITY_TAGS]), (F.col("item_id") % len(PRIORITY_TAGS) + 1).cast("int"))
+    words = read_table(spark, folder, "benchmark").select(
+        tag.alias("tag"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[^ \t\n\r.,]+"), F.lit(0))).alias("keyword"))
+    return words.where(F.length("keyword") >= 5).distinct()
+
+
+@query("txt4_keyword_table", f"""WITH {KEYWORD_TABLE}
+SELECT doc_id, count(keyword) AS n_found, coalesce(string_agg(keyword, '|' ORDER BY keyword), '') AS keywords
+FROM documents LEFT JOIN (SELECT DISTINCT keyword FROM keywords) ON contains(lower(text), keyword) GROUP BY doc_id""")
+def txt4_table(spark, folder):
+    found = Keywords.from_table(keyword_table(spark, folder)).found(F.col("text"))
+    rows = documents(spark, folder).select("doc_id", found.alias("found"))
+    return rows.select("doc_id", F.size("found").cast("bigint").alias("n_found"), F.array_join("found", "|").alias("keywords"))
+
+
 def duplicate_form_sql(c: str, inline: bool = True) -> str:
     c = rx(f"coalesce({c}, '')", LINE_BLOCK3, "")
     if inline:
@@ -377,6 +399,16 @@ def cod1(spark, folder):
     return problems(spark, folder).select("p_id", *[c.alias(n) for n, c in flags.items()])
 
 
+@query("cod1_import_table", CTE.replace("WITH ", f"WITH {KEYWORD_TABLE},\n", 1) + rf"""
+, modules AS (SELECT DISTINCT keyword AS module FROM keywords UNION SELECT unnest([{sql_list(IMPORT_MODULES)}]))
+SELECT p_id, coalesce(string_agg(module, '|' ORDER BY module), '') AS modules FROM problems LEFT JOIN modules
+  ON contains(source_code, module) AND regexp_matches(source_code, '\b(import\s+' || module || '|from\s+' || module || '\s+import)\b') GROUP BY p_id""")
+def cod1_table(spark, folder):
+    modules = keyword_table(spark, folder).select("keyword").union(spark.createDataFrame([(m,) for m in IMPORT_MODULES], "keyword string"))
+    found = Keywords.from_table(modules, fold=False).imported(F.col("source_code"))
+    return problems(spark, folder).select("p_id", F.array_join(found, "|").alias("modules"))
+
+
 def _has(s, low=False):
     return f"contains({'lower(source_code)' if low else 'source_code'}, '{s}')"
 
