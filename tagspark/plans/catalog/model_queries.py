@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from ...functions import text
-from ...operators import metrics as met, models, splits, tags as tag_ops, tfidf
+from ...operators import metrics as met, models, splits, symbols as sym, tags as tag_ops, tfidf
 from ...session import cut_lineage, shared_path
-from ...sources import readers, writers
+from ...sources import readers, stored, writers
 from .. import prepare, scoring, training
 from .base import *  # noqa: F403
+from .assoc_queries import COMMANDS_SQL
 from .text_queries import FIX_NOTES_SQL
 
 # Sources and sinks -----------------------------------------------------------------
@@ -105,6 +106,38 @@ def snk1(spark, folder):
     return spark.read.parquet(path)
 
 
+def _stored(spark, df, key, name, buckets=8):
+    path = shared_path(spark, name)
+    stored.write_stored(df, path, key, buckets)
+    return stored.open_stored(spark, path)
+
+
+@query("snk1_stored_by_id", CTE + """
+SELECT p_id, lang, length(description) AS chars, f.n_chars FROM problems LEFT JOIN
+  (SELECT doc_id AS p_id, n_chars FROM documents WHERE doc_id % 3 > 0) f USING (p_id)""")
+def snk1_stored(spark, folder):
+    """Two tables stored by id and joined bucket by bucket."""
+    p = _stored(spark, problems(spark, folder).select("p_id", "lang", F.length("description").cast("bigint").alias("chars")), "p_id", "stored-problems")
+    d = _stored(spark, documents(spark, folder).where("doc_id % 3 > 0").select(F.col("doc_id").alias("p_id"), "n_chars"), "p_id", "stored-documents")
+    return stored.stored_join(p, d, "left")
+
+
+@query("jn4_stored_lookup", CTE + COMMANDS_SQL + "SELECT tag, symbol, count(*) AS count FROM tagged JOIN presence USING (p_id) GROUP BY 1, 2")
+def jn4_stored(spark, folder):
+    """Symbols and tags of a record, both stored by its id."""
+    p = problems(spark, folder)
+    symbols = _stored(spark, sym.symbol_presence(p, "description", "p_id"), "p_id", "stored-symbols")
+    tags = _stored(spark, tag_ops.explode_tags(p, "p_id"), "p_id", "stored-tags")
+    return stored.stored_join(symbols, tags).groupBy("tag", "symbol").agg(F.count("*").alias("count"))
+
+
+@query("jn2_stored_anti", "SELECT page_id AS doc_id FROM pages WHERE page_id NOT IN (SELECT doc_id FROM labels)")
+def jn2_stored(spark, folder):
+    """Pages whose number no label has."""
+    pages = _stored(spark, read_table(spark, folder, "pages").select(F.col("page_id").alias("doc_id")), "doc_id", "stored-pages")
+    return stored.stored_join(pages, _stored(spark, read_table(spark, folder, "labels"), "doc_id", "stored-labels"), "left_anti")
+
+
 @query("snk2_json_predictions", CTE + """
 SELECT p.src_uid, coalesce(string_agg(q.tag, '|' ORDER BY q.tag), '') AS predicted_tags, count(q.tag) AS num_tags
 FROM problems p LEFT JOIN priority q USING (p_id) GROUP BY 1""")

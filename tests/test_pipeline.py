@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagspark.operators import metrics, models, splits, validation
 from tagspark.plans import prepare, scoring, training
 from tagspark.session import cut_lineage, shared_path
-from tagspark.sources import readers, writers
+from tagspark.sources import readers, stored, writers
 from tagspark.sources.problems import problems
 from tagspark.streaming import score_stream
 
@@ -158,6 +158,35 @@ def test_balanced_logistic_matches_gradient(spark):
     assert np.abs(gradient).max() < 1e-2
 
 
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_tables_join_without_an_exchange(spark, tmp_path):
+    left = spark.createDataFrame([(i % 50 if i % 7 else None, f"l{i}") for i in range(200)], "k long, a string")
+    right = spark.createDataFrame([(i if i % 5 else None, f"r{i}") for i in range(20, 80)], "k long, `b.c` string")
+    stored.write_stored(left, str(tmp_path / "l"), "k", 4)
+    stored.write_stored(right, str(tmp_path / "r"), "k", 4)
+    l, r = stored.open_stored(spark, str(tmp_path / "l")), stored.open_stored(spark, str(tmp_path / "r"))
+    assert sorted(map(str, l.rows().collect())) == sorted(map(str, left.collect()))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        out = stored.stored_join(l, r, how)
+        assert "Exchange" not in plan_of(out) and "SortMergeJoin" in plan_of(out), how
+        want = left.join(right, "k", how)
+        names = [f"`{c}`" for c in want.columns]
+        assert sorted(map(str, out.select(names).collect())) == sorted(map(str, want.select(names).collect())), how
+    assert "Exchange" not in plan_of(l.keyed.groupBy("k").count())
+    assert len(list((tmp_path / "l" / "keyed").glob("*.parquet"))) <= 4
+    with pytest.raises(ValueError, match="at most 3"):
+        stored.write_stored(left, str(tmp_path / "x"), "k", 4, most_per_key=3)
+    stored.write_stored(left.limit(0), str(tmp_path / "none"), "k", 4)
+    assert stored.stored_join(stored.open_stored(spark, str(tmp_path / "none")), r, "left").collect() == []
+    with pytest.raises(ValueError, match="different"):
+        stored.write_stored(right, str(tmp_path / "r8"), "k", 8)
+        stored.stored_join(l, stored.open_stored(spark, str(tmp_path / "r8")))
+
+
 def test_stream_gives_batch_features(spark, records, tmp_path):
     o = prepare.Options(**prepare.RECORD_OPTIONS)
     columns = ["prob_desc_description", "prob_desc_notes", "time_limit_seconds", "difficulty", "nb_latex_blocks", "unified_document"]
