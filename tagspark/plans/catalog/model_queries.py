@@ -8,6 +8,7 @@ from ...functions import text
 from ...operators import metrics as met, models, splits, symbols as sym, tags as tag_ops, tfidf
 from ...session import cut_lineage, shared_path
 from ...sources import readers, stored, writers
+from ...streaming import dedup_stream
 from .. import prepare, scoring, training
 from .base import *  # noqa: F403
 from .assoc_queries import COMMANDS_SQL
@@ -138,6 +139,39 @@ def jn2_stored(spark, folder):
     return stored.stored_join(pages, _stored(spark, read_table(spark, folder, "labels"), "doc_id", "stored-labels"), "left_anti")
 
 
+WINDOWS_SQL = """WITH keyed AS (SELECT *, md5(user_id || '|' || event_type) AS hash, to_timestamp(floor(epoch(ts) / 21600) * 21600)::TIMESTAMP AS start FROM events),
+closed AS (SELECT * FROM keyed WHERE start + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events))
+"""
+
+
+def _replayed(spark, folder, apply, name):
+    """The events as a stream in two parts, the query started anew on the second with the state of the first."""
+    # Wall-clock times as instants of UTC, whatever the session's time zone.
+    instant = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
+    hashed = read_table(spark, folder, "events").withColumns({"ts": instant, "hash": F.md5(F.concat_ws("|", "user_id", "event_type"))})
+    source, output, state = (shared_path(spark, f"{name}-{part}") for part in ("source", "output", "state"))
+    halves = hashed.agg(F.percentile_approx("ts", 0.5)).scalar()
+    for side in (F.col("ts") <= halves, F.col("ts") > halves):
+        hashed.where(side).write.mode("append").parquet(source)
+        rows = spark.readStream.schema(hashed.schema).parquet(source)
+        dedup_stream.append_parquet(apply(rows), output, state).awaitTermination()
+    return spark.read.parquet(output)
+
+
+@query("ext1_stream_keep_first", WINDOWS_SQL + """SELECT event_id, user_id, event_type, round(value, 6) AS value FROM closed
+QUALIFY row_number() OVER (PARTITION BY hash, start ORDER BY ts, event_id) = 1""")
+def ext1_keep_first(spark, folder):
+    out = _replayed(spark, folder, lambda rows: dedup_stream.keep_first(rows, "hash", "event_id", "ts", "6 hours", "1 hour"), "keep-first")
+    return out.select("event_id", "user_id", "event_type", rnd("value").alias("value"))
+
+
+@query("ext1_stream_duplicate_groups", WINDOWS_SQL + """SELECT epoch(start)::BIGINT AS start, hash, count(*) AS count, min(event_id) AS first_id FROM closed
+GROUP BY ALL HAVING count(*) >= 2""")
+def ext1_groups(spark, folder):
+    out = _replayed(spark, folder, lambda rows: dedup_stream.duplicate_groups(rows, "hash", "event_id", "ts", "6 hours", "1 hour"), "groups")
+    return out.select(F.unix_seconds("start").alias("start"), "hash", "count", "first_id")
+
+
 @query("snk2_json_predictions", CTE + """
 SELECT p.src_uid, coalesce(string_agg(q.tag, '|' ORDER BY q.tag), '') AS predicted_tags, count(q.tag) AS num_tags
 FROM problems p LEFT JOIN priority q USING (p_id) GROUP BY 1""")

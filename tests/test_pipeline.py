@@ -10,7 +10,7 @@ from tagspark.plans import prepare, scoring, training
 from tagspark.session import cut_lineage, shared_path
 from tagspark.sources import readers, stored, writers
 from tagspark.sources.problems import problems
-from tagspark.streaming import score_stream
+from tagspark.streaming import dedup_stream, score_stream
 
 RECORDS = [
     {"src_uid": "r1", "tags": "['math']", "prob_desc_description": "Sum of $$$n$$$ numbers", "difficulty": 1400,
@@ -187,6 +187,42 @@ def test_stored_tables_join_without_an_exchange(spark, tmp_path):
         stored.stored_join(l, stored.open_stored(spark, str(tmp_path / "r8")))
 
 
+def test_stream_and_batch_deduplicate_alike(spark, tmp_path):
+    rows = [(i, f"h{i % 5 if i % 3 else 0}", f"2024-01-01 {i // 6:02d}:{i % 6}0:00") for i in range(100)]
+    rows += [(None, None, "2024-01-01 03:00:00"), (7, "h9", None), (500, "h0", "2024-01-01 04:00:00"), (500, "h0", "2024-01-01 04:00:00")]
+    df = spark.createDataFrame(rows, "id long, hash string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    for fn, columns in ((dedup_stream.keep_first, ["id", "hash", "t"]), (dedup_stream.duplicate_groups, ["start", "hash", "count", "first_id"])):
+        out, state, source = (str(tmp_path / f"{fn.__name__}-{x}") for x in ("out", "state", "in"))
+        for low, high in ((0, 5), (5, 11), (11, 24)):
+            # Each part is a run of its own that takes up the state of the last; the rows without a time come with the first.
+            hour = F.coalesce(F.hour("t"), F.lit(0))
+            df.where((hour >= low) & (hour < high)).write.mode("append").parquet(source)
+            stream = fn(spark.readStream.schema(df.schema).parquet(source), "hash", "id", "t", "2 hours", "10 minutes")
+            dedup_stream.append_parquet(stream, out, state).awaitTermination()
+        got = spark.read.parquet(out).select(columns)
+        batch = fn(df, "hash", "id", "t", "2 hours", "10 minutes").select(columns)
+        # The watermark stands at 16:20: windows that end at 16:00 or before are closed.
+        start = F.col(columns[2] if fn is dedup_stream.keep_first else "start")
+        closed = batch.where(start < F.lit("2024-01-01 16:00:00").cast("timestamp"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, closed.collect())) and got.count() > 5
+    # A row behind the watermark is late: its window is closed, and it is dropped.
+    before = spark.read.parquet(out).count()
+    spark.createDataFrame([(900, "h1", "2024-01-01 01:00:00"), (901, "h1", "2024-01-01 01:01:00")], "id long, hash string, t string").withColumn(
+        "t", F.col("t").cast("timestamp")).write.mode("append").parquet(source)
+    dedup_stream.append_parquet(dedup_stream.duplicate_groups(
+        spark.readStream.schema(df.schema).parquet(source), "hash", "id", "t", "2 hours", "10 minutes"), out, state).awaitTermination()
+    assert spark.read.parquet(out).count() == before
+
+
+def test_repeats_are_dropped_as_they_arrive(spark, tmp_path):
+    rows = [(i, f"h{i % 10}", f"2024-01-01 00:{i % 60:02d}:00") for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, hash string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = dedup_stream.drop_repeats(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "hash", "t", "1 hour")
+    dedup_stream.append_parquet(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert sorted(r["hash"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(f"h{i}" for i in range(10))
+
+
 def test_stream_gives_batch_features(spark, records, tmp_path):
     o = prepare.Options(**prepare.RECORD_OPTIONS)
     columns = ["prob_desc_description", "prob_desc_notes", "time_limit_seconds", "difficulty", "nb_latex_blocks", "unified_document"]
