@@ -1,20 +1,41 @@
-"""Exact quantiles without collecting a group into one task.
-
-``percentile`` keeps every distinct value of a group in one buffer. Here a
-bounded sketch first brackets each wanted rank; rows outside the brackets are
-folded onto their edges. Rows are then counted per slot of a bracket, and only the
-values of the one or two slots that hold a wanted rank reach the final window.
+"""Exact quantiles by radix selection.
+
+``percentile`` keeps every distinct value of a group in one buffer. Here values
+are counted once, map-side first, and every distinct value gets a 64-bit key that
+sorts like it. The rank wanted is found 16 bits at a time: the values are counted
+by the next 16 bits of their keys, and those that share the bits of a rank so far
+are the candidates for the next count. Four counts end at a single key, whatever
+the distribution; most columns need two. No task ever holds more than 65,536
+counts of a group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from ..session import cut_lineage
 
-ACCURACY = 10000
-#: Equal parts a bracket is cut into.
-SLOTS = 4096
+#: Bits of a key, and how many of them a count tells apart.
+BITS, DIGIT = 64, 16
+
+
+def ordered_key(v: Column) -> Column:
+    """A 64-bit integer that orders doubles as their values do; both zeros share one.
+
+    It is the IEEE pattern put together by exact steps: scaling by a power of two
+    rounds nothing, and the exponent from the logarithm is corrected by comparison.
+    """
+    a = F.abs(v)
+    guess = F.floor(F.log2(a))
+    e = F.when(a < F.pow(F.lit(2.0), guess), guess - 1).when(a >= F.pow(F.lit(2.0), guess + 1), guess + 1).otherwise(guess)
+    one = F.lit(1 << 52)
+    normal = (e + 1023).cast("long") * one + ((a * F.pow(F.lit(2.0), -e) - 1.0) * one.cast("double")).cast("long")
+    tiny = (a * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    infinite = F.lit(2047 << 52)
+    size = F.when(a == 0, F.lit(0)).when(a < F.lit(2.0**-1022), tiny).when(a == F.lit(math.inf), infinite).otherwise(normal)
+    return F.when(v < 0, -size - 1).otherwise(size)
 
 
 def exact_quantiles(
@@ -23,92 +44,62 @@ def exact_quantiles(
     probs: list[float],
     by: str | None = None,
     groups: list | None = None,
-    accuracy: int = ACCURACY,
-    slots: int = SLOTS,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value``: one row per group with
     ``n`` and ``q`` (array in the order of ``probs``).
 
-    With ``by``, ``groups`` lists the group values; the per-group bracket table
-    then has at most ``len(groups)`` rows and is safe to broadcast. Groups of up to
-    ``accuracy`` rows are one bracket each, as a sketch may be off by a rank there.
+    With ``by``, ``groups`` lists the group values; the result has at most a row
+    for each and is worked out at once. NULL and NaN are left out, a group without
+    values has no row.
     """
     if by is not None and groups is None:
         raise ValueError("grouped quantiles need the list of groups")
-    order = sorted(range(len(probs)), key=lambda i: probs[i])
-    ps = [float(probs[i]) for i in order]
-
-    v = F.col(value).cast("double")
-    rows = df.select((F.lit(0) if by is None else F.col(by)).alias("_g"), v.alias("_v"))
+    spark = df.sparkSession
+    rows = df.select((F.lit(0) if by is None else F.col(by)).alias("_g"), F.col(value).cast("double").alias("_v"))
     rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if by is not None:
         rows = rows.where(F.col("_g").isin(groups))
-
-    # Sketch error is 1/accuracy; brackets are four times as wide.
-    margin = 4.0 / accuracy
-    wanted = [min(1.0, max(0.0, p + s)) for p in ps for s in (-margin, margin)]
-    sketch = rows.groupBy("_g").agg(
-        F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", wanted, accuracy).alias("_s"),
-    )
-    small = F.col("_n") <= accuracy
-
-    def low(i: int) -> Column:
-        return F.when(small, F.col("_min")).otherwise(F.col("_s")[2 * i])
-
-    def high(i: int) -> Column:
-        return F.when(small, F.col("_max")).otherwise(F.col("_s")[2 * i + 1])
-
-    brackets = sketch.select(
-        "_g", "_n",
-        *[low(i).alias(f"_lo{i}") for i in range(len(ps))],
-        *[high(i).alias(f"_hi{i}") for i in range(len(ps))],
-    )
-    folded = F.col(f"_hi{len(ps) - 1}")
-    for i in range(len(ps) - 1, -1, -1):
-        below = F.col(f"_hi{i - 1}") if i else F.col("_lo0")
-        inside = F.when(F.col("_v") >= F.col(f"_lo{i}"), F.col("_v")).otherwise(below)
-        folded = F.when(F.col("_v") <= F.col(f"_hi{i}"), inside).otherwise(folded)
-
-    # The first bracket that ends at or above the value, and the slot of the value in it.
-    bracket, width = F.lit(len(ps) - 1), F.col(f"_hi{len(ps) - 1}") - F.col(f"_lo{len(ps) - 1}")
-    start = F.col(f"_lo{len(ps) - 1}")
-    for i in range(len(ps) - 2, -1, -1):
-        here = F.col("_v") <= F.col(f"_hi{i}")
-        bracket = F.when(here, F.lit(i)).otherwise(bracket)
-        start = F.when(here, F.col(f"_lo{i}")).otherwise(start)
-        width = F.when(here, F.col(f"_hi{i}") - F.col(f"_lo{i}")).otherwise(width)
-    slot = F.when(width > 0, F.greatest(F.lit(0), F.least(F.floor((F.col("_v") - start) / width * slots), F.lit(slots - 1)))).otherwise(0)
-    placed = rows.join(F.broadcast(brackets), "_g").withColumn("_v", folded).select(
-        "_g", "_n", "_v", bracket.alias("_b"), slot.cast("int").alias("_s"))
-
-    ranks = [rank(F.lit(p) * (F.col("_n") - 1)) for p in ps for rank in (F.floor, F.ceil)]
-    # At most ``slots`` rows per probability and group; those slots that hold a wanted rank go on.
-    upto = Window.partitionBy("_g").orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = placed.groupBy("_g", "_n", "_b", "_s").agg(F.count("*").alias("_c")).withColumn("_cum", F.sum("_c").over(upto))
-    before = F.col("_cum") - F.col("_c")
-    holds = reduce(lambda a, b: a | b, [(before <= r) & (F.col("_cum") > r) for r in ranks])
-    wanted_slots = sizes.where(holds).select("_g", "_b", "_s", before.alias("_before"))
-
-    counts = placed.join(F.broadcast(wanted_slots), ["_g", "_b", "_s"]).groupBy("_g", "_n", "_b", "_s", "_before", "_v").agg(
-        F.count("*").alias("_c"))
-    upto = Window.partitionBy("_g", "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_cum", F.col("_before") + F.sum("_c").over(upto))
-    picks = []
-    for i in range(len(ps)):
-        for name, r in (("_a", ranks[2 * i]), ("_b", ranks[2 * i + 1])):
-            picks.append(F.min(F.when(F.col("_cum") > r, F.col("_v"))).alias(f"{name}{i}"))
-    picked = ranked.groupBy("_g", "_n").agg(*picks)
-
-    results: list[Column | None] = [None] * len(ps)
-    for i, p in enumerate(ps):
-        position = F.lit(p) * (F.col("_n") - 1)
-        fraction = position - F.floor(position)
-        results[order[i]] = F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * fraction
-    group = [] if by is None else [F.col("_g").alias(by)]
-    return picked.select(*group, F.col("_n").alias("n"), F.array(*results).alias("q"))
+    counted = rows.groupBy("_g", "_v").agg(F.count("*").alias("_c"))
+    values = cut_lineage(counted.withColumn("_k", ordered_key(F.col("_v"))))
+    totals = {r["_g"]: r["n"] for r in values.groupBy("_g").agg(F.sum("_c").alias("n")).collect()}
+
+    picked: dict[tuple[object, int], float] = {}
+    group_type = values.schema["_g"].dataType
+    schema = T.StructType([T.StructField("_g", group_type), T.StructField("_p", T.LongType()), T.StructField("_r", T.ArrayType(T.LongType()))])
+    # What is still open: per group and bits so far, the ranks wanted among the rows that share them.
+    places = {g: sorted({f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)}) for g, n in totals.items()}
+    still = {(g, None): [(r, r) for r in ranks] for g, ranks in places.items()}
+    level = 0
+    while still:
+        prefix = F.shiftright("_k", BITS - DIGIT * (level + 1))
+        parent = F.shiftright("_k", BITS - DIGIT * level) if level else F.lit(0).cast("long")
+        asked = spark.createDataFrame([(g, p or 0, sorted({inside for inside, _ in ranks})) for (g, p), ranks in still.items()], schema)
+        near = values.withColumn("_p", parent).join(F.broadcast(asked), ["_g", "_p"])
+        sums = near.groupBy("_g", "_p", prefix.alias("_b")).agg(
+            F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.first("_r").alias("_r"))
+        upto = Window.partitionBy("_g", "_p").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = sums.withColumn("_end", F.sum("_n").over(upto))
+        found = sums.where(F.exists("_r", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n"))))
+        following: dict[tuple[object, int], list[tuple[int, int]]] = {}
+        for row in found.collect():
+            start = row["_end"] - row["_n"]
+            for inside, rank in still[row["_g"], row["_p"] if level else None]:
+                if start <= inside < row["_end"]:
+                    if row["_lo"] == row["_hi"]:
+                        picked[row["_g"], rank] = row["_lo"]
+                    else:
+                        following.setdefault((row["_g"], row["_b"]), []).append((inside - start, rank))
+        still, level = following, level + 1
+
+    def quantile(g: object, p: float) -> float:
+        place = p * (totals[g] - 1)
+        low, high = picked[g, math.floor(place)], picked[g, math.ceil(place)]
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    name = by or "_g"
+    out = T.StructType([T.StructField(name, group_type), T.StructField("n", T.LongType()), T.StructField("q", T.ArrayType(T.DoubleType()))])
+    result = spark.createDataFrame([(g, n, [quantile(g, float(p)) for p in probs]) for g, n in totals.items()], out)
+    return result if by is not None else result.drop("_g")
 
 
 def exact_median(df: DataFrame, value: str) -> Column:

@@ -274,8 +274,9 @@ def length_summary(df: DataFrame, column: str, short: int = 50) -> DataFrame:
 def code_summary(df: DataFrame, code: str) -> DataFrame:
     c = F.col(code)
     rows = df.select(F.length(c).alias("chars"), text.line_count(c).alias("lines"))
-    chars = exact_quantiles(rows, "chars", [0.5]).select(F.col("q")[0]).scalar()
-    lines = exact_quantiles(rows, "lines", [0.5]).select(F.col("q")[0]).scalar()
+    both = rows.select(F.explode(F.array(*[F.struct(F.lit(n).alias("of"), F.col(n).alias("v")) for n in ("chars", "lines")])).alias("e")).select("e.*")
+    medians = exact_quantiles(both, "v", [0.5], "of", ["chars", "lines"])
+    chars, lines = (medians.where(F.col("of") == n).select(F.col("q")[0]).scalar() for n in ("chars", "lines"))
     return rows.agg(
         F.avg("chars").alias("avg_length_chars"), chars.alias("median_length_chars"),
         F.avg("lines").alias("avg_length_lines"), lines.alias("median_length_lines"))

@@ -268,3 +268,15 @@ def agg6_baskets(spark, folder):
     baskets = items.join(parts, "l_partkey").groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("tags"))
     pairs = ops.lift_pmi(baskets, allowed=None, membership=True)
     return rounded(pairs.select("tag_a", "tag_b", "count", "lift"), "lift")
+
+
+@query("agg6_frequent_pairs", r"""WITH words AS (SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS tag FROM conversations),
+singles AS (SELECT tag, count(*) AS n FROM words GROUP BY tag),
+pairs AS (SELECT a.tag AS tag_a, b.tag AS tag_b, count(*) AS count FROM words a JOIN words b USING (conv_id, turn) WHERE a.tag < b.tag GROUP BY 1, 2 HAVING count(*) >= 10)
+SELECT tag_a, tag_b, count, round(count * t.n / (a.n * b.n)::DOUBLE, 6) AS lift, round(ln(count * t.n / (a.n * b.n)::DOUBLE), 6) AS pmi
+FROM pairs JOIN singles a ON a.tag = tag_a JOIN singles b ON b.tag = tag_b CROSS JOIN (SELECT count(*) AS n FROM conversations) t""")
+def agg6_frequent(spark, folder):
+    """Words of a turn as an open vocabulary of tags."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))
+    pairs = ops.frequent_pairs(read_table(spark, folder, "conversations").select(words.alias("tags")), min_count=10)
+    return rounded(pairs.select("tag_a", "tag_b", "count", "lift", "pmi"), "lift", "pmi")

@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -28,13 +29,42 @@ def test_quantiles_beyond_the_sketch_size(spark):
         assert np.allclose(row["q"], np.quantile(pdf.v[pdf.g == row["g"]], probs), rtol=1e-12)
 
 
-def test_quantile_windows_do_not_grow(spark):
-    """With a coarse sketch the last window still gets few of the values."""
-    for n in (4000, 16000):
-        values = np.random.default_rng(n).normal(size=n)
-        df = spark.createDataFrame(pd.DataFrame({"v": values}))
-        out = exact_quantiles(df, "v", [0.1, 0.5, 0.9], accuracy=100, slots=64)
-        assert np.allclose(out.first()["q"], np.quantile(values, [0.1, 0.5, 0.9]), rtol=1e-12)
+@pytest.mark.parametrize("shape", ["heavy", "ties", "close", "tiny", "wide"])
+def test_quantiles_of_any_distribution(spark, shape):
+    rng = np.random.default_rng(2)
+    n, inf = 5000, float("inf")
+    values = {
+        "heavy": np.append(rng.standard_normal(n), [1e300, -1e308, inf, -inf]),
+        "ties": rng.choice([-0.0, 0.0, 1.5, -2.0], n),
+        # Values that share their first 40 bits and more.
+        "close": 1e15 + rng.integers(0, 1000, n) / 8,
+        "tiny": np.append(rng.integers(-50, 50, n) * 5e-324, rng.random(100) * 2.0**-1022),
+        "wide": rng.choice([-1, 1], n) * 2.0 ** rng.integers(-1074, 1023, n) * (1 + rng.random(n)),
+    }[shape]
+    df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(3)
+    ordered = np.sort(values)
+    m = len(values) - 1
+    probs = [0.0, 1.0] + [i / m for i in (1, 7, m // 3, m // 2, m - 1)]
+    got = exact_quantiles(df, "v", probs).first()
+    want = [ordered[round(p * m)] for p in probs]
+    assert got["n"] == len(values)
+    if shape == "heavy":
+        assert [x for x in got["q"] if abs(x) != inf] == pytest.approx([x for x in want if abs(x) != inf], rel=1e-9)
+    else:
+        assert np.allclose(got["q"], want, rtol=1e-9, atol=0)
+
+
+def test_ordered_keys_order(spark):
+    from tagspark.functions.quantiles import ordered_key
+
+    rng = np.random.default_rng(6)
+    bits = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) | (rng.integers(0, 2, 3000, dtype=np.uint64) << np.uint64(63))
+    values = np.concatenate((bits.view(np.float64), 2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1020, 1023), 0), [0.0, np.inf, -np.inf]))
+    values = np.unique(values[~np.isnan(values)])
+    keys = [r["k"] for r in spark.createDataFrame(pd.DataFrame({"v": values})).select("v", ordered_key(F.col("v")).alias("k")).orderBy("v").collect()]
+    assert all(a < b for a, b in zip(keys, keys[1:]))
+    patterns = values.view(np.int64)
+    assert keys == [int(p) if p >= 0 else -int(p & 0x7FFFFFFFFFFFFFFF) - 1 for p in patterns]
 
 
 def test_quantiles_skip_missing(spark):
@@ -227,6 +257,25 @@ def test_sides_of_odd_rows(spark):
     assert per_id.where("id IS NOT NULL AND n > 1").count() == 0
 
 
+def test_frequent_pairs_of_an_open_vocabulary(spark):
+    """A vocabulary of 100,000 tags: only pairs that occur often enough are ever put together."""
+    rng = np.random.default_rng(8)
+    baskets = [[f"t{min(int(x), 99_999)}" for x in rng.zipf(1.3, 12)] for _ in range(3000)] + [[f"t{i}", f"t{i + 1}"] for i in range(0, 100_000, 2)]
+    baskets += [None, [], ["t1"], ["t1", "t1"], ["t2", None, "t1"]]
+    df = spark.createDataFrame([(b,) for b in baskets], "tags array<string>")
+    singles, pairs = Counter(), Counter()
+    for b in baskets:
+        own = sorted({t for t in b or [] if t is not None})
+        singles.update(own)
+        pairs.update(combinations(own, 2))
+    got = {(r["tag_a"], r["tag_b"]): r for r in tags.frequent_pairs(df, min_count=5).collect()}
+    assert {k: r["count"] for k, r in got.items()} == {k: n for k, n in pairs.items() if n >= 5} and len(got) > 20
+    for (a, b), r in got.items():
+        lift = pairs[a, b] * len(baskets) / (singles[a] * singles[b])
+        assert math.isclose(r["lift"], lift) and math.isclose(r["pmi"], math.log(lift)) and math.isclose(r["p_b_given_a"], pairs[a, b] / singles[a])
+    assert tags.frequent_pairs(df.limit(0)).collect() == []
+
+
 def test_folds_are_never_dropped(spark):
     from pyspark.ml.functions import array_to_vector
 
