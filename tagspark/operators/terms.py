@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..constants import CONTEXT_STOP_WORDS, ENGLISH_STOP_WORDS, NUMBER_TOKENS, PRIORITY_TAGS
+from ..constants import CONTEXT_STOP_WORDS, ENGLISH_STOP_WORDS, NUMBER_TOKENS, PRIORITY_TAGS, SPARK_STOP_WORDS
 from ..functions import latex, text
 from ..session import cut_lineage
 from .joins import broadcast_if_small
@@ -23,13 +23,6 @@ def stop_words(*extra: list[str]) -> list[str]:
     return sorted(out)
 
 
-def spark_stop_words() -> list[str]:
-    """Spark's own English list, to be passed as a further list."""
-    from pyspark.ml.feature import StopWordsRemover
-
-    return StopWordsRemover.loadDefaultStopWords("english")
-
-
 def stop_word_table(spark: SparkSession, words: list[str]) -> DataFrame:
     return spark.createDataFrame([(w,) for w in words], "word string")
 
@@ -70,11 +63,13 @@ def top_words_by_tag(df: DataFrame, column: str, top_n: int = 15, pool: int = 50
     return top_per(kept, "tag", [F.desc("count"), "word"], top_n).select("tag", "rank", "word", "count")
 
 
-def top_vector_words_by_tag(df: DataFrame, column: str, top_n: int = 10, words: list[str] = ENGLISH_STOP_WORDS,
+def top_vector_words_by_tag(df: DataFrame, column: str, top_n: int = 10, words: list[str] | None = None,
                             tags: str = "tags", allowed: list[str] = PRIORITY_TAGS) -> DataFrame:
-    """Most frequent vectoriser tokens (two or more characters) per tag."""
+    """Most frequent vectoriser tokens (two or more characters) per tag, by default without the
+    vectoriser's English stop words and Spark's own."""
     items = text.word_tokens(text.letters_only(F.col(column)), 2)
-    counts = without_stop_words(counts_by_tag(df, items, "word", tags, allowed).where("tag <> ''"), list(words))
+    stop = sorted({*ENGLISH_STOP_WORDS, *SPARK_STOP_WORDS}) if words is None else list(words)
+    counts = without_stop_words(counts_by_tag(df, items, "word", tags, allowed).where("tag <> ''"), stop)
     return top_per(counts, "tag", [F.desc("count"), "word"], top_n).select("tag", "rank", "word", "count")
 
 
@@ -131,6 +126,42 @@ def top_tokens(df: DataFrame, clean: str, top_n: int = 30) -> DataFrame:
     return counts.select("token", "count").orderBy(F.desc("count"), "token").limit(top_n)
 
 
+#: Items a sketch follows at first and at most.
+TRACKED = 1 << 14
+MOST_TRACKED = 1 << 20
+
+
+def top_items(items: DataFrame, column: str, top_n: int, tracked: int = TRACKED) -> DataFrame:
+    """The ``top_n`` most frequent values with exact counts, ties by value, without shuffling every value.
+
+    A frequent-items sketch per task, merged into one, follows the heavy values of
+    an open vocabulary. Its candidates are counted exactly in a second pass. What it
+    does not follow occurs at most ``3.5 / tracked`` of all times; while the last
+    of the top values is not above that, the sketch grows fourfold, and beyond
+    ``MOST_TRACKED`` everything is counted. NULLs are no values.
+    """
+    values = items.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull())
+    exact = None
+    while exact is None and tracked <= MOST_TRACKED:
+        sketch = cut_lineage(values.agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(_v, {tracked})").alias("s")))
+        n = sketch.first()["n"]
+        # Up to ``tracked`` rows, so they may be broadcast.
+        near = cut_lineage(sketch.select(F.explode(F.expr(f"approx_top_k_estimate(s, {tracked})")).alias("e")).select("e.item", "e.count"))
+        followed, least = near.agg(F.count("*"), F.min("count")).first()
+        counts = values.join(F.broadcast(near.select(F.col("item").alias("_v"))), "_v").groupBy("_v").agg(F.count("*").alias("count"))
+        top = counts.orderBy(F.desc("count"), "_v").limit(top_n)
+        best = cut_lineage(top)
+        last, found = best.agg(F.min("count"), F.count("*")).first()
+        bound = 3.5 * n / tracked
+        # Complete when nothing was ever forgotten, or when the last one stands above all that may have been.
+        if n == 0 or bound < 1 or (found == top_n and last > bound and (followed < tracked or least < last)):
+            exact = best
+        tracked *= 4
+    if exact is None:
+        exact = values.groupBy("_v").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "_v").limit(top_n)
+    return exact.select(F.col("_v").alias(column), "count")
+
+
 def number_token_counts(df: DataFrame, clean: str) -> DataFrame:
     tokens = F.filter(text.word_tokens(F.lower(F.col(clean)), 1), lambda t: t.isin(NUMBER_TOKENS))
     return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("count"))
@@ -162,17 +193,19 @@ def language_profile(df: DataFrame, column: str, lang: str, languages: list[str]
 
 
 def identify_language(df: DataFrame, column: str, row_id: str, profile: DataFrame, n: int = 3) -> DataFrame:
-    """``(row_id, language)``; texts under ten characters are ``unknown``.
+    """``(row_id, language)``, one result per row; texts under ten characters are ``unknown``.
 
-    Scores of one text are summed inside its task before the shuffle, which
-    carries one row per text and language.
+    Every row gets a key of its own before its n-grams are unfolded, so rows
+    without an id or with the same one stay apart. Scores of one text are summed
+    inside its task before the shuffle, which carries one row per text and language.
     """
     long_enough = F.length(text.squeeze(F.col(column))) >= 10
-    rows = df.select(row_id, F.when(long_enough, F.col(column)).alias("_t"))
-    grams = rows.select(row_id, F.explode_outer(text.char_ngrams(F.col("_t"), n)).alias("gram"))
+    rows = cut_lineage(df.select(F.col(row_id), F.when(long_enough, F.col(column)).alias("_t")).withColumn("_row", F.monotonically_increasing_id()))
+    grams = rows.select("_row", F.explode(text.char_ngrams(F.col("_t"), n)).alias("gram"))
     default = profile.where("gram IS NULL").select("scores").scalar()
     found = grams.join(broadcast_if_small(profile.where("gram IS NOT NULL")), "gram", "left")
-    hits = found.select(row_id, F.explode_outer(F.when(F.col("gram").isNotNull(), F.coalesce("scores", default))).alias("s"))
-    scores = hits.groupBy(row_id, F.col("s.language").alias("language")).agg(F.sum("s.logp").alias("score"))
-    best = scores.groupBy(row_id).agg(F.max_by("language", F.when(F.col("language").isNotNull(), F.round("score", 6))).alias("language"))
-    return best.select(row_id, F.coalesce("language", F.lit("unknown")).alias("language"))
+    hits = found.select("_row", F.explode(F.coalesce("scores", default)).alias("s"))
+    scores = hits.groupBy("_row", F.col("s.language").alias("language")).agg(F.sum("s.logp").alias("score"))
+    best = scores.groupBy("_row").agg(F.max_by("language", F.round("score", 6)).alias("language"))
+    joined = rows.select(row_id, "_row").join(best, "_row", "left")
+    return joined.select(row_id, F.coalesce("language", F.lit("unknown")).alias("language"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ...constants import CONTEXT_STOP_WORDS, ENGLISH_STOP_WORDS, NUMBER_TOKENS
+from ...constants import CONTEXT_STOP_WORDS, ENGLISH_STOP_WORDS, NUMBER_TOKENS, SPARK_STOP_WORDS
 from ...functions import latex, text
 from ...operators import duplicates as dups, joins, splits, symbols as sym, tags as tag_ops, terms
 from .base import *  # noqa: F403
@@ -258,7 +258,8 @@ def top1(spark, folder):
 
 @query("top7_vector_words_by_tag", CTE + f"""
 , w AS (SELECT p_id, unnest(regexp_extract_all({LETTERS_SQL}, '[{WORD}]{{2,}}')) AS word FROM problems),
-c AS (SELECT tag, word, count(*) AS count FROM w JOIN priority USING (p_id) WHERE word NOT IN ({sql_list(ENGLISH_STOP_WORDS)}) GROUP BY 1, 2)
+c AS (SELECT tag, word, count(*) AS count FROM w JOIN priority USING (p_id)
+  WHERE word NOT IN ({sql_list(sorted({*ENGLISH_STOP_WORDS, *SPARK_STOP_WORDS}))}) GROUP BY 1, 2)
 SELECT tag, rank, word, count FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY count DESC, word) AS rank FROM c) WHERE rank <= 10""")
 def top7(spark, folder):
     return terms.top_vector_words_by_tag(problems(spark, folder), "description")
@@ -329,6 +330,14 @@ def top9_bigrams(spark, folder):
     return terms.bigram_counts(cleaned(spark, folder), "t").orderBy(F.desc("count"), "bigram").limit(30).select("bigram", "count")
 
 
+@query("top9_followed_tokens", CTE + CLEAN_SQL + f"""
+, k AS (SELECT unnest(regexp_extract_all(lower(t), '[{WORD}]+')) AS token FROM clean)
+SELECT token, count(*) AS count FROM k GROUP BY 1 ORDER BY count DESC, token LIMIT 30""")
+def top9_followed(spark, folder):
+    tokens = cleaned(spark, folder).select(F.explode(text.word_tokens(F.lower("t"), 1)).alias("token"))
+    return terms.top_items(tokens, "token", 30)
+
+
 @query("set2_stop_words", f"""
 WITH s AS (SELECT unnest([{sql_list(ENGLISH_STOP_WORDS)}]) AS word UNION SELECT unnest([{sql_list(CONTEXT_STOP_WORDS)}])),
 w AS (SELECT unnest(regexp_extract_all(lower(text), '[{WORD}]+')) AS word FROM documents)

@@ -276,6 +276,28 @@ def test_frequent_pairs_of_an_open_vocabulary(spark):
     assert tags.frequent_pairs(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("tracked", [64, 1 << 14])
+def test_top_items_are_exact(spark, tracked):
+    """Also where the sketch is far smaller than the vocabulary, and where the last place is tied."""
+    rng = np.random.default_rng(9)
+    for values in (rng.zipf(1.2, 20_000) % 10**6, rng.integers(0, 5000, 20_000), np.repeat(np.arange(40), 3)):
+        words = [f"w{v}" for v in values]
+        df = spark.createDataFrame([(w,) for w in words] + [(None,)], "t string").repartition(5)
+        got = [tuple(r) for r in terms.top_items(df, "t", 25, tracked).collect()]
+        assert sorted(got, key=lambda r: (-r[1], r[0])) == sorted(Counter(words).items(), key=lambda r: (-r[1], r[0]))[:25]
+    assert terms.top_items(df.limit(0), "t", 5).collect() == []
+
+
+def test_every_row_gets_its_language(spark):
+    """Rows without an id and rows with the same one are rows of their own."""
+    known = [("the cat sat on the mat with the other cats", "en"), ("der hund lag auf der matte mit den anderen hunden", "de")]
+    profile = terms.language_profile(spark.createDataFrame(known, "t string, l string"), "t", "l", ["de", "en"])
+    rows = [(None, "the other cat sat there"), (None, "der andere hund lag da"), (1, "the mat and the cat"), (1, "kurz"), (1, None), (2, "die matte der hunde"), (2, "die matte der hunde")]
+    got = terms.identify_language(spark.createDataFrame(rows, "id int, t string"), "t", "id", profile).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
+        (None, "en"), (None, "de"), (1, "en"), (1, "unknown"), (1, "unknown"), (2, "de"), (2, "de")]))
+
+
 def test_folds_are_never_dropped(spark):
     from pyspark.ml.functions import array_to_vector
 
