@@ -369,7 +369,11 @@ def set3(spark, folder):
     return words.where("NOT is_test").select("word").subtract(words.where("is_test").select("word"))
 
 
-@query("val4_train_test_columns")
+@query("val4_train_test_columns", CTE + COMMANDS_SQL + f""", counted AS (SELECT {IS_TEST_SQL} AS is_test, symbol, count(*) AS n FROM presence
+  GROUP BY ALL HAVING count(*) >= 10 AND length(symbol) > 1),
+top AS (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY is_test ORDER BY n DESC, symbol) <= 30),
+names AS (SELECT * FROM (VALUES {", ".join(f"('{s}', '{latex.feature_name(s)}')" for s in FEATURE_SYMBOLS)}) v(symbol, feature))
+SELECT feature, bool_or(NOT is_test) AS in_train, bool_or(is_test) AS in_test FROM top JOIN names USING (symbol) GROUP BY feature""")
 def val4(spark, folder):
     from ...operators.validation import compare_columns
 
@@ -449,13 +453,16 @@ split AS (SELECT r.p_id, r.combo, r.k <= q.k AS is_test FROM r JOIN q USING (com
 """
 
 
-def sides_sql(shares):
-    """CTEs up to ``sides(p_id, combo, side)``: whole parts per combination, then one round per label and one for all rows."""
-    n_labels, n_sides = len(PRIORITY_TAGS), len(shares)
+def sides_sql(shares, combos=None, n_labels=len(PRIORITY_TAGS)):
+    """CTEs up to ``sides(p_id, combo, side)``: whole parts per combination, then one round per label and one for all rows.
+
+    ``combos`` are CTEs up to ``combos(p_id, combo, h)``, by default of the priority tags.
+    """
+    n_sides = len(shares)
     holds = "(l.label = {n} OR substr({t}.combo, l.label + 1, 1) = '1')"
     upto = [" + ".join(f"floor(round(n * {s!r}::DOUBLE, 9))" for s in shares[:i + 1]) for i in range(n_sides)]
     first = " ".join(f"WHEN k <= {u} THEN {j}" for j, u in enumerate(upto))
-    sql = f"""{combo_sql()}, labels AS (SELECT unnest(range({n_labels + 1})) AS label),
+    sql = f"""{combos or combo_sql()}, labels AS (SELECT unnest(range({n_labels + 1})) AS label),
 shares AS (SELECT * FROM (VALUES {", ".join(f"({j}, {s!r}::DOUBLE)" for j, s in enumerate(shares))}) v(j, share)),
 ranked AS (SELECT p_id, combo, row_number() OVER (PARTITION BY combo ORDER BY h) AS k, count(*) OVER (PARTITION BY combo) AS n FROM combos),
 a0 AS (SELECT p_id, combo, md5('43|' || CAST(p_id AS VARCHAR)) AS h, CASE WHEN combo = '{"0" * n_labels}' THEN NULL {first} END AS side FROM ranked)"""

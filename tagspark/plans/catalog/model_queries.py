@@ -11,7 +11,7 @@ from ...sources import readers, stored, writers
 from ...streaming import dedup_stream
 from .. import prepare, scoring, training
 from .base import *  # noqa: F403
-from .assoc_queries import COMMANDS_SQL
+from .assoc_queries import COMMANDS_SQL, sides_sql
 from .text_queries import FIX_NOTES_SQL
 
 # Sources and sinks -----------------------------------------------------------------
@@ -219,6 +219,34 @@ def mod1(spark, folder):
     return met.per_label(training.evaluate(pipeline, test))
 
 
+TEST_SQL = sides_sql([0.2, 0.8])
+TARGET_SQL = " UNION ALL ".join(f"SELECT '{t}' AS label, {i} AS i" for i, t in enumerate(TARGETS))
+
+
+@query("vec4_vector_sizes", TEST_SQL + "SELECT p_id, TRUE AS whole, TRUE AS some FROM sides WHERE side = 0")
+def vec4_sizes(spark, folder):
+    """Every held-out record has a vector with a place for each term and each number that was fitted."""
+    train, test = _split(spark, folder)
+    state = prepare.fit(prepare.stored_base(train, OPTIONS), OPTIONS, shared_path(spark, "state"))
+    v = vector_to_array("features")
+    return prepare.features(test, state).select(
+        "p_id", (F.size(v) == state.vocabulary_size + len(state.dense)).alias("whole"), F.exists(v, lambda x: x != 0).alias("some"))
+
+
+@query("mod1_label_counts", TEST_SQL + f"""
+SELECT label, sum(CAST(substr(combo, i + 1, 1) AS INTEGER))::BIGINT AS support, count(*) AS rows FROM sides, ({TARGET_SQL}) t WHERE side = 0 GROUP BY label""")
+def mod1_counts(spark, folder):
+    """Of every label, the held-out rows that have it and all that were judged."""
+    train, test = _split(spark, folder)
+    pipeline = training.train(train, OPTIONS, shared_path(spark, "state"), "logistic", tune=False, partitions=2, max_iter=3)
+    return _label_counts(training.evaluate(pipeline, test), "label")
+
+
+def _label_counts(confusion, *keys):
+    return confusion.select(*keys, (F.col("tp") + F.col("fn")).cast("bigint").alias("support"),
+                            sum((F.col(c) for c in ("fp", "fn", "tn")), F.col("tp")).cast("bigint").alias("rows"))
+
+
 NUMBERS = ["chars", "words", "numeric_ratio", "ascii_ratio"]
 TWO_LABELS = ["quality", "toxic"]
 
@@ -250,7 +278,7 @@ def small_features(spark, folder):
     return scaled_by(rows)(rows).select("doc_id", "features", *TWO_LABELS)
 
 
-def _tree_scores(spark, folder, kind, **params):
+def _tree_scores(spark, folder, kind, score=met.per_label, **params):
     """Scores per side and label: models see the training side only."""
     rows = cut_lineage(splits.stratified_split(labelled_rows(spark, folder), TWO_LABELS, "doc_id"))
     data = cut_lineage(scaled_by(rows.where("NOT is_test"))(rows))
@@ -258,19 +286,38 @@ def _tree_scores(spark, folder, kind, **params):
     scored = models.predictions(fitted, data, "doc_id", keep=["is_test"])
     side = F.when(F.col("is_test"), "test").otherwise("train")
     marked = scored.withColumn("label", F.concat(side, F.lit(":"), F.col("label")))
-    scores = met.per_label(met.confusion(marked))
+    return score(met.confusion(marked))
+
+
+def _per_side(scores):
     part = F.split(F.col("label"), ":")
     return scores.select(part[0].alias("side"), part[1].alias("label"), *[c for c in scores.columns if c != "label"])
 
 
 @query("mod2_random_forest")
 def mod2(spark, folder):
-    return _tree_scores(spark, folder, "forest")
+    return _per_side(_tree_scores(spark, folder, "forest"))
 
 
 @query("mod3_boosted_trees")
 def mod3(spark, folder):
-    return _tree_scores(spark, folder, "boosted")
+    return _per_side(_tree_scores(spark, folder, "boosted"))
+
+
+TWO_SIDES_SQL = sides_sql([0.2, 0.8], "WITH combos AS (SELECT doc_id AS p_id, CAST(quality AS VARCHAR) || CAST(toxic AS VARCHAR) AS combo,"
+                          " md5('42|' || CAST(doc_id AS VARCHAR)) AS h FROM labels)\n", 2) + """
+SELECT CASE WHEN side = 0 THEN 'test' ELSE 'train' END AS side, label, sum(CAST(substr(combo, i, 1) AS INTEGER))::BIGINT AS support, count(*) AS rows
+FROM sides, (VALUES ('quality', 1), ('toxic', 2)) t(label, i) GROUP BY ALL"""
+
+
+@query("mod2_label_counts", TWO_SIDES_SQL)
+def mod2_counts(spark, folder):
+    return _per_side(_tree_scores(spark, folder, "forest", lambda c: _label_counts(c, "label"), num_trees=2))
+
+
+@query("mod3_label_counts", TWO_SIDES_SQL)
+def mod3_counts(spark, folder):
+    return _per_side(_tree_scores(spark, folder, "boosted", lambda c: _label_counts(c, "label"), max_iter=2))
 
 
 @query("mod5_grid_search")
@@ -281,6 +328,17 @@ def mod5(spark, folder):
     return models.search_summary(results)
 
 
+@query("mod5_search_points", """SELECT c, l1_ratio, TRUE AS balanced, 3::BIGINT AS folds, TRUE AS scored
+FROM (VALUES (0.5::DOUBLE), (2.0::DOUBLE)) a(c), (VALUES (0.0::DOUBLE), (0.5::DOUBLE)) b(l1_ratio)""")
+def mod5_points(spark, folder):
+    """Every point of the grid is scored on every fold."""
+    rows = splits.stratified_folds(labelled_rows(spark, folder), TWO_LABELS, "doc_id")
+    grid = [{"C": c, "l1_ratio": l1, "balanced": True} for c in (0.5, 2.0) for l1 in (0.0, 0.5)]
+    results = models.grid_search(rows, TWO_LABELS, "doc_id", grid=grid, prepare=scaled_by, max_iter=2)
+    return results.groupBy("c", "l1_ratio", "balanced").agg(
+        F.count_distinct("fold").alias("folds"), F.bool_and(F.col("test_macro_f1").between(0, 1)).alias("scored"))
+
+
 def _coefficients(spark, folder):
     fitted = models.fit_labels(small_features(spark, folder), TWO_LABELS)
     size = fitted.models["quality"].numFeatures
@@ -295,6 +353,23 @@ def mod7(spark, folder):
     return models.block_norms(_coefficients(spark, folder))
 
 
+@query("mod7_blocks", f"""SELECT 'dense' AS block, {1 + len(NUMBERS)}::BIGINT AS features, TRUE AS positive
+UNION ALL SELECT 'embedding', max(len(embedding)), TRUE FROM embeddings""")
+def mod7_blocks(spark, folder):
+    return mod7(spark, folder).select("block", F.col("features").cast("bigint").alias("features"), (F.col("mean_norm") > 0).alias("positive"))
+
+
+@query("top12_ranked_features", "SELECT label, feature, TRUE AS falling FROM (VALUES ('quality'), ('toxic')) l(label), (VALUES "
+       + ", ".join(f"('{n}')" for n in ["no_vector", *NUMBERS]) + ") f(feature)")
+def top12_features(spark, folder):
+    """Every dense feature has its rank, and sizes fall with the rank."""
+    from pyspark.sql import Window
+
+    top = models.top_coefficients(_coefficients(spark, folder), per_label=10)
+    before = F.lag(F.abs("coefficient")).over(Window.partitionBy("label").orderBy("rank"))
+    return top.select("label", "feature", F.coalesce(F.abs("coefficient") <= before, F.lit(True)).alias("falling"))
+
+
 @query("top12_top_coefficients")
 def top12(spark, folder):
     return models.top_coefficients(_coefficients(spark, folder), per_label=10)
@@ -327,3 +402,21 @@ def sco3(spark, folder):
     loaded = training.TrainedPipeline.load(spark, path)
     out = scoring.predict_with_labels(loaded, test, tuned=True)
     return out.withColumn("predicted_tags", F.array_join("predicted_tags", "|"))
+
+
+@query("sco1_scored_records", TEST_SQL + "SELECT p_id, TRUE AS filled FROM sides WHERE side = 0")
+def sco1_records(spark, folder):
+    """Every held-out record comes back once, with no number left open."""
+    rows = sco1(spark, folder)
+    numbers = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in rows.columns if c not in ("p_id", "clean_description", "unified_document_without_latex")]
+    return rows.select("p_id", F.forall(F.array(*numbers), lambda x: x).alias("filled"))
+
+
+@query("sco2_probability_ranges", TEST_SQL + f"SELECT p_id, {len(TARGETS)}::BIGINT AS labels, TRUE AS in_range FROM sides WHERE side = 0")
+def sco2_ranges(spark, folder):
+    train, test = _split(spark, folder)
+    pipeline = training.train(train, OPTIONS, shared_path(spark, "state"), "logistic", tune=False, partitions=2, max_iter=3)
+    p = scoring.probabilities(pipeline, test)
+    columns = [c for c in p.columns if c != "p_id"]
+    inside = [F.col(f"`{c}`").between(0, 1) for c in columns]
+    return p.select("p_id", F.lit(len(columns)).cast("bigint").alias("labels"), F.forall(F.array(*inside), lambda x: x).alias("in_range"))

@@ -251,6 +251,14 @@ def emb1(spark, folder):
     return emb.word2vec_embeddings(documents(spark, folder), "text", "doc_id", size=32)
 
 
+@query("emb1_word2vec_shape", "SELECT doc_id, 32::BIGINT AS size, TRUE AS unit FROM documents")
+def emb1_shape(spark, folder):
+    """Every document has one vector, of length 1 or, without a known word, 0."""
+    vectors = emb1(spark, folder)
+    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    return vectors.select("doc_id", F.size("embedding").cast("bigint").alias("size"), ((norm == 0) | (F.abs(norm - 1) < 1e-6)).alias("unit"))
+
+
 @query("emb1_random_projection", VOCAB_SQL + """, signs AS (SELECT term, i AS dim,
     CASE WHEN ((('0x' || substr(md5('42|' || (i // 32) || '|' || term), 1, 8))::BIGINT >> (i % 32)) & 1) = 1 THEN 1 ELSE -1 END AS s
   FROM vocab, range(64) AS r(i)),
