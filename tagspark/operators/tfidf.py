@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text
 from ..functions.vectors import sparse_vector
+from ..session import cut_lineage
 from .joins import BROADCAST_ROWS
 from .tags import row_total
 from .terms import token_counts
@@ -74,8 +75,8 @@ def weights(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, ngra
     for a document without a known term.
 
     A vocabulary of at most ``BROADCAST_ROWS`` terms is counted inside each row, so
-    nothing is shuffled and equal or missing ids do not matter. A larger one is joined
-    with the counts of each document, never with texts; then ids must be unique.
+    nothing is shuffled. A larger one is joined with the counts of each row, never with
+    texts. Either way equal or missing ids do not matter.
     """
     known = vocabulary.select("term", "idf").limit(BROADCAST_ROWS + 1).collect()
     if 0 < len(known) <= BROADCAST_ROWS:
@@ -86,17 +87,21 @@ def weights(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, ngra
         names = F.split(F.lit("\n".join(r["term"] for r in known)), "\n")
         cells = rows.select(doc_id, F.explode_outer(F.arrays_zip(F.col("_i").alias("i"), F.col("_w").alias("w"))).alias("c"))
         return cells.select(doc_id, F.get(names, F.col("c.i")).alias("term"), F.col("c.w").alias("weight"))
-    tokens = tokenised(df, column, doc_id, lowercase=lowercase)
-    unfolded = tokens.select(doc_id, F.explode_outer(terms_of("_k", ngrams)).alias("term"))
-    raw = unfolded.groupBy(doc_id, "term").agg(F.count("*").alias("tf"))
-    counts = raw.join(vocabulary.select("term", "idf"), "term", "left")
+    rows = cut_lineage(tokenised(df, column, doc_id, lowercase=lowercase).withColumn("_row", F.monotonically_increasing_id()))
+    cells = _joined(rows, vocabulary, "term", ngrams, sublinear)
+    return rows.select(doc_id, "_row").join(cells, "_row", "left").select(doc_id, "term", F.col("w").alias("weight"))
+
+
+def _joined(rows: DataFrame, vocabulary: DataFrame, name: str, ngrams: tuple[int, int], sublinear: bool) -> DataFrame:
+    """``(_row, name, w)``: weights of the known terms of each row by a join with the vocabulary, for any size of it.
+
+    ``rows`` have a stored key ``_row`` and the tokens ``_k``, so rows without an id or with the same one stay apart.
+    """
+    raw = rows.select("_row", F.explode(terms_of("_k", ngrams)).alias("term")).groupBy("_row", "term").agg(F.count("*").alias("tf"))
     tf = (F.ln(F.col("tf").cast("double")) + 1) if sublinear else F.col("tf").cast("double")
-    found = F.col("idf").isNotNull()
-    counts = counts.select(doc_id, F.when(found, F.col("term")).alias("term"), (tf * F.col("idf")).alias("w"))
-    # Of a document's unknown terms one row stays, and only where no term is known.
-    counts = counts.groupBy(doc_id, "term").agg(F.max("w").alias("w"))
-    counts = counts.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id))))
-    return counts.where("term IS NOT NULL OR norm IS NULL").select(doc_id, "term", F.try_divide("w", "norm").alias("weight"))
+    counts = raw.join(vocabulary, "term").select("_row", name, (tf * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
+    return counts.select("_row", name, F.try_divide("w", norm).alias("w"))
 
 
 def transform(df: DataFrame, column: str, doc_id: str, vocabulary: DataFrame, **options) -> DataFrame:
@@ -108,12 +113,21 @@ def vectors(df: DataFrame, column: str, indexed: DataFrame, size: int, output: s
             sublinear: bool = True, lowercase: bool = False) -> DataFrame:
     """``df`` with one sparse vector per row, empty without a known term.
 
-    The vector is made inside the row: no key, join or exchange. ``indexed`` is sent to
-    every task, so it may have at most ``BROADCAST_ROWS`` terms.
+    Up to ``BROADCAST_ROWS`` terms the vector is made inside the row: no key, join or
+    exchange. A larger ``indexed`` is joined with the counts of each row, and a row's
+    cells come back to it by a key of its own.
     """
     known = sorted(indexed.select("index", "term", "idf").limit(BROADCAST_ROWS + 1).collect())
     if len(known) > BROADCAST_ROWS:
-        raise ValueError(f"vectors take at most {BROADCAST_ROWS} terms; use weights()")
+        c = F.col(column)
+        keyed = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+        tokens = keyed.select("_row", text.word_tokens(F.lower(c) if lowercase else c, 2).alias("_k"))
+        cells = _joined(tokens, indexed.select("term", "index", "idf"), "index", ngrams, sublinear)
+        packed = cells.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("index", "w"))).alias("_cells"))
+        rows = keyed.join(packed, "_row", "left")
+        indices = F.coalesce(F.col("_cells.index"), F.array().cast("array<int>"))
+        values = F.coalesce(F.col("_cells.w"), F.array().cast("array<double>"))
+        return rows.withColumn(output, sparse_vector(F.lit(size), indices, values)).drop("_row", "_cells")
     if not known:
         return df.withColumn(output, sparse_vector(F.lit(size), F.array().cast("array<int>"), F.array().cast("array<double>")))
     rows = _weighted(_counted(df, column, [r["term"] for r in known], ngrams, lowercase), [r["idf"] for r in known], sublinear)

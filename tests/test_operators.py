@@ -206,6 +206,23 @@ def test_tfidf_joins_a_vocabulary_too_large_to_send(spark, monkeypatch):
     assert all(got[k] is want[k] is None or math.isclose(got[k], want[k], rel_tol=1e-12) for k in got)
 
 
+def test_both_vocabulary_sizes_give_one_result_per_row(spark, monkeypatch):
+    rows = [(None, TEXTS[0]), (None, TEXTS[2]), (None, TEXTS[0]), (1, TEXTS[0]), (1, TEXTS[1]), (1, TEXTS[1]), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    vocab = tfidf.with_index(tfidf.fit_vocabulary(df, "t", (1, 2), 1, 1.0, 100)).cache()
+
+    def both():
+        weights = tfidf.weights(df, "t", "id", vocab).select("id", "term", F.round("weight", 12)).collect()
+        vectors = tfidf.vectors(df, "t", vocab, vocab.count()).collect()
+        return sorted(map(str, weights)), sorted((str(r["id"]), str(r["t"]), str(list(r["tfidf"].indices)), str([round(x, 12) for x in r["tfidf"].values])) for r in vectors)
+
+    small = both()
+    monkeypatch.setattr(tfidf, "BROADCAST_ROWS", 1)
+    large = both()
+    assert small == large and len(small[1]) == len(rows)
+    vocab.unpersist()
+
+
 def test_vectors_need_no_key(spark):
     rows = [(None, TEXTS[0]), (None, TEXTS[2]), (1, TEXTS[0]), (1, TEXTS[1]), (2, None)]
     df = spark.createDataFrame(rows, "id int, t string")
