@@ -3,8 +3,10 @@
 Equal vectors are one class from the start. Coarse centroids and, per subspace,
 codewords of the residuals are fitted on a bounded sample; every class is then put
 into the list of its nearest centroid as a code of one byte per subspace. Each
-class searches the ``PROBES`` nearest lists: a table of distances to the
-codewords gives the distance to a code by look-ups. How far a code lies from its vector is
+class searches the nearest lists: a table of distances to the
+codewords gives the distance to a code by look-ups. ``PROBES`` grows with the
+lists, whose number grows with the input: beyond ``MOST_LISTS`` coarse cells, all that
+the bounded sample can fit, every cell is cut by one shared set of residual centres. How far a code lies from its vector is
 stored, so by the triangle inequality a code that is too far rules its vector out for
 certain; the others are compared by exact cosine in double precision. Only a pair
 whose lists do not probe each other can be missed.
@@ -16,6 +18,7 @@ counted per vector and a spanning forest of its links, never the pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,23 +30,57 @@ from ..session import cut_lineage
 from .components import connected_components
 
 THRESHOLD = 0.9
+#: Lists searched up to 64 lists, and how many more for every doubling.
 PROBES = 8
-#: Vectors per list aimed at, lists at most, vectors fitted on at most.
-PER_LIST, MOST_LISTS, SAMPLE = 200, 4096, 65536
+#: Vectors per list aimed at, coarse cells at most, parts of a cell at most, vectors fitted on at most.
+PER_LIST, MOST_LISTS, MOST_PARTS, SAMPLE = 200, 4096, 256, 65536
 SUBSPACES, CODEWORDS = 8, 256
 #: Vectors of a block.
 BLOCK = 1024
-#: Candidate pairs compared at once.
+#: Candidate pairs compared at once, and distances to parts of cells worked out at once.
 PAIRS = 1 << 16
+DISTANCES = 1 << 22
+
+
+def probes_for(lists: int, probes: int = PROBES) -> int:
+    """How many of ``lists`` are searched: the share of a neighbourhood that one list holds shrinks as lists get smaller."""
+    return min(lists, probes + probes * max(0, math.ceil(math.log2(max(1, lists) / 64))))
 
 
 @dataclass
 class Index:
-    """``centroids`` (lists, dimension), ``codebooks`` one (codewords, width) per subspace."""
+    """``cells`` (cells, dimension), ``shifts`` (parts, dimension) that cut every cell, ``codebooks`` one (codewords, width) per subspace.
+
+    List ``cell * parts + part`` has its centre at the cell's plus the part's shift.
+    """
 
-    centroids: np.ndarray
+    cells: np.ndarray
+    shifts: np.ndarray
     codebooks: list[np.ndarray]
 
+    @property
+    def lists(self) -> int:
+        return len(self.cells) * len(self.shifts)
+
+    def centre(self, i):
+        return self.cells[i // len(self.shifts)] + self.shifts[i % len(self.shifts)]
+
+    def nearest(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """The ``probes`` nearest lists of every row, the nearest first, among the parts of its ``probes`` nearest cells."""
+        parts = len(self.shifts)
+        step = max(1, DISTANCES // (min(probes, len(self.cells)) * parts))
+        return np.concatenate([self._nearest(x[i:i + step], probes) for i in range(0, len(x), step)])
+
+    def _nearest(self, x: np.ndarray, probes: int) -> np.ndarray:
+        parts = len(self.shifts)
+        cells = _smallest(_distances(x, self.cells), min(probes, len(self.cells)))
+        if parts == 1:
+            return cells
+        residual = (x[:, None, :] - self.cells[cells]).reshape(-1, x.shape[1])
+        far = _distances(residual, self.shifts).reshape(len(x), -1)
+        best = _smallest(far, min(probes, far.shape[1]))
+        return np.take_along_axis(cells, best // parts, axis=1) * parts + best % parts
+
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return np.split(x, np.cumsum([c.shape[1] for c in self.codebooks])[:-1], axis=1)
 
@@ -52,6 +89,12 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * (x @ y.T) + (y * y).sum(1), 0)
 
 
+def _smallest(far: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the ``n`` smallest values of every row, in their order."""
+    near = np.argpartition(far, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1)
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
     """Lloyd's algorithm; an emptied cluster keeps its centre."""
     rng = np.random.default_rng(seed)
@@ -66,13 +109,16 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
     return centres
 
 
-def fit(sample: np.ndarray, lists: int, subspaces: int = SUBSPACES, codewords: int = CODEWORDS) -> Index:
-    """Index from unit vectors (sample, dimension)."""
+def fit(sample: np.ndarray, lists: int, subspaces: int = SUBSPACES, codewords: int = CODEWORDS, most_cells: int = MOST_LISTS) -> Index:
+    """Index of about ``lists`` lists from unit vectors (sample, dimension)."""
     x = sample.astype(np.float32)
-    centroids = kmeans(x, lists)
-    residual = x - centroids[np.concatenate([_distances(x[i:i + 4096], centroids).argmin(1) for i in range(0, len(x), 4096)])]
+    cells = kmeans(x, min(lists, most_cells))
+    residual = x - cells[np.concatenate([_distances(x[i:i + 4096], cells).argmin(1) for i in range(0, len(x), 4096)])]
+    parts = min(MOST_PARTS, -(-lists // most_cells))
+    shifts = kmeans(residual, parts) if parts > 1 else np.zeros((1, x.shape[1]), dtype=np.float32)
     few = residual[:16384]
-    return Index(centroids, [kmeans(p, codewords) for p in np.array_split(few, min(subspaces, x.shape[1]), axis=1)])
+    few = few - shifts[_distances(few, shifts).argmin(1)]
+    return Index(cells, shifts, [kmeans(p, codewords) for p in np.array_split(few, min(subspaces, x.shape[1]), axis=1)])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -91,11 +137,8 @@ def _encode(index: Index, probes: int):
             if not len(pdf):
                 continue
             x = _unit(_matrix(pdf["v"])).astype(np.float32)
-            far = _distances(x, index.centroids)
-            p = min(probes, far.shape[1])
-            near = np.argpartition(far, p - 1, axis=1)[:, :p]
-            near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1)
-            residual = x - index.centroids[near[:, 0]]
+            near = index.nearest(x, probes)
+            residual = x - index.centre(near[:, 0])
             codes = [_distances(r, c).argmin(1) for r, c in zip(index.parts(residual), index.codebooks)]
             quantised = np.concatenate([c[i] for c, i in zip(index.codebooks, codes)], axis=1)
             off = np.sqrt(((residual - quantised).astype(np.float64) ** 2).sum(1))
@@ -118,7 +161,7 @@ def _search(index_of, threshold: float):
                 codes = np.stack([np.frombuffer(b["code"], dtype=np.uint8) for b in base])
                 limit = (reach + np.array([b["off"] for b in base])) ** 2
                 total = np.zeros((len(x), len(y)), dtype=np.float32)
-                for k, (r, c) in enumerate(zip(index.parts((x - index.centroids[p]).astype(np.float32)), index.codebooks)):
+                for k, (r, c) in enumerate(zip(index.parts((x - index.centre(p)).astype(np.float32)), index.codebooks)):
                     total += _distances(r, c)[:, codes[:, k]]
                 i, j = np.nonzero(total <= limit[None, :].astype(np.float32) + 1e-4)
                 keep = np.concatenate([np.zeros(0, dtype=bool), *(
@@ -155,13 +198,14 @@ def _search(index_of, threshold: float):
 def _links(classes: DataFrame, threshold: float, probes: int, per_list: int, block: int) -> DataFrame:
     """``node, label, n``: links counted at a node by some work item, and a node of the same component."""
     spark = classes.sparkSession
-    lists = int(min(MOST_LISTS, max(1, classes.count() // per_list)))
+    lists = int(max(1, classes.count() // per_list))
     sample = classes.select("v").orderBy(F.xxhash64("v"), "v").limit(min(SAMPLE, 64 * max(lists, CODEWORDS))).toPandas()
     index = fit(_unit(_matrix(sample["v"])), lists)
+    probes = probes_for(index.lists, probes)
     kind = dict(classes.dtypes)["v"]
     coded = cut_lineage(classes.select("node", "weight", "v").mapInPandas(
         _encode(index, probes), f"node long, weight long, v {kind}, list int, probes array<int>, code binary, off double"))
-    # One row per list: at most MOST_LISTS.
+    # One row per list: at most MOST_LISTS * MOST_PARTS, about a million.
     sizes = F.broadcast(coded.groupBy("list").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
     base = coded.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     base = base.groupBy("list", "block").agg(F.collect_list(F.struct("node", "weight", "v", "probes", "code", "off")).alias("base"))
