@@ -29,8 +29,8 @@ ranked AS (SELECT doc_id, s.source, h, size, source_size, target, whole, target
     sum(size) OVER (PARTITION BY s.source ORDER BY h, size ROWS UNBOUNDED PRECEDING) <= target - whole * source_size AS more
   FROM sizes s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
 gaps AS (SELECT source, any_value(extra) - sum(CASE WHEN more THEN size ELSE 0 END) AS gap FROM ranked GROUP BY source),
-fits AS (SELECT * FROM (SELECT r.source, doc_id, size, gap, row_number() OVER (PARTITION BY r.source ORDER BY h, size) AS n
-  FROM ranked r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source WHERE NOT more AND size > 0 AND size <= gap) WHERE n <= 256),
+fits AS (SELECT r.source, doc_id, size, gap, row_number() OVER (PARTITION BY r.source ORDER BY h, size) AS n
+  FROM ranked r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source WHERE NOT more AND size > 0 AND size <= gap),
 fill AS (SELECT source, doc_id, n, CASE WHEN size <= gap THEN gap - size ELSE gap END AS gap, size <= gap AS took FROM fits WHERE n = 1
   UNION ALL SELECT f.source, f.doc_id, f.n, CASE WHEN f.size <= p.gap THEN p.gap - f.size ELSE p.gap END, f.size <= p.gap
   FROM fill p JOIN fits f ON f.source IS NOT DISTINCT FROM p.source AND f.n = p.n + 1)

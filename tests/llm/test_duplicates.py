@@ -194,13 +194,19 @@ def test_probes_find_close_pairs_at_any_number_of_lists(lists, cells):
     assert met.mean() > 0.97
 
 
-def test_embedding_query(spark, folder):
-    rows = {r["vec_id"]: r for r in queries.QUERIES["op4_embedding_near_dedup"](spark, folder).collect()}
-    table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+def test_embedding_query(spark, folder, tmp_path):
+    """The given vectors, which hold no links, and for half of them one or two shifted copies around the threshold."""
+    rng = np.random.default_rng(11)
+    given = spark.read.parquet(f"{folder.replace('sf0.001', 'sf0.1')}/embeddings.parquet").select("vec_id", "embedding").collect()
+    table, size = list(map(tuple, given)), np.mean([np.linalg.norm(r["embedding"]) for r in given])
+    for n, (i, v) in enumerate(map(tuple, given[::2])):
+        for k in range(1 + n % 2):
+            noise = rng.standard_normal(len(v))
+            table.append((10**6 + 2 * i + k, [float(x) for x in np.array(v) + noise / np.linalg.norm(noise) * size * rng.uniform(0.1, 0.5)]))
+    spark.createDataFrame(table, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    rows = {r["vec_id"]: r for r in queries.QUERIES["op4_embedding_near_dedup"](spark, str(tmp_path)).collect()}
     assert len(rows) == len(table)
-    good = [(r["vec_id"], np.array(r["embedding"], dtype=float)) for r in table if r["embedding"] and None not in r["embedding"]]
-    good = [(i, v) for i, v in good if np.isfinite(v).all() and v.any()]
-    ids, x = [i for i, _ in good], embedding_pq._unit(np.stack([v for _, v in good]))
+    ids, x = [i for i, _ in table], embedding_pq._unit(np.array([v for _, v in table], dtype=float))
     near = x @ x.T >= 0.9
     np.fill_diagonal(near, False)
     want = dict(zip(ids, near.sum(1).tolist()))
