@@ -28,11 +28,13 @@ TOKEN = re.compile(
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PART = re.compile(r"[a-z]+")
 
-#: Elements whose content is no text of the page.
-UNREAD = frozenset("script style noscript template svg iframe object select textarea title math canvas audio video".split())
+#: Elements whose content is no text of the page. Those of the second set end with what is around them if they are not closed.
+UNREAD = frozenset("script style noscript template iframe textarea title svg object select canvas audio video".split())
+BROKEN_OFF = frozenset("svg object select canvas audio video".split())
 #: Elements that go with the text around them.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+    """a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr
+    math mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup mover munder munderover mstyle mpadded semantics""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements and names around a block that tell what it is.
 OTHER_ELEMENTS = frozenset("nav footer aside form button menu dialog head".split())
@@ -43,6 +45,13 @@ OTHER_NAMES = frozenset(
 MAIN_ELEMENTS = frozenset("article main".split())
 MAIN_NAMES = frozenset("article content main post entry story maincontent".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What an opening tag ends when it is innermost; every other block tag ends the last set.
+ENDS = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"},
+    "option": {"option"}}
+ENDED = BROKEN_OFF | {"p"}
+#: First parts of class names that say what a page has elsewhere.
+BESIDE = frozenset("has with without no".split())
 
 
 @dataclass
@@ -62,28 +71,44 @@ def _kind(name: str, rest: str, inside_main: bool) -> tuple[bool, bool]:
     main = name in MAIN_ELEMENTS
     if rest and name not in ("body", "html"):
         for value in NAMED.findall(rest):
-            parts = PART.findall(value.lower())
-            other = other or not OTHER_NAMES.isdisjoint(parts)
-            main = main or not MAIN_NAMES.isdisjoint(parts)
+            for word in value.lower().split():
+                parts = PART.findall(word)
+                if parts and parts[0] not in BESIDE:
+                    other = other or not OTHER_NAMES.isdisjoint(parts)
+                    main = main or not MAIN_NAMES.isdisjoint(parts)
     return other, main and not other
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order: references decoded, white space as one space, empty ones left out."""
+    """Text blocks in page order: references decoded, white space as one space, empty ones left out.
+
+    One pass whose work is linear in the page, however deep it is nested: an open
+    element carries what it and all around it stand for.
+    """
     out: list[Block] = []
     text: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, bool]] = []
+    open_names: dict[str, int] = {}
+    # Where the search for an end tag came to the end of the page: later ones need no search.
+    unclosed: set[str] = set()
     begun, heading, in_link, at = 0, False, 0, 0
 
+    def push(name: str, other: bool, main: bool) -> None:
+        above = stack[-1] if stack else ("", False, False)
+        stack.append((name, above[1] or other, above[2] or main))
+        open_names[name] = open_names.get(name, 0) + 1
+
+    def pop() -> None:
+        open_names[stack.pop()[0]] -= 1
+
     def finish(to: int) -> None:
         nonlocal text, linked, begun
         if text:
             words = entities.unescape("".join(text)).split()
             if words:
-                other = any(o for _, o, _ in stack)
-                main = not other and any(m for _, _, m in stack)
-                out.append(Block(begun, " ".join(words), len(words), len(entities.unescape("".join(linked)).split()), other, main, heading))
+                _, other, main = stack[-1] if stack else ("", False, False)
+                out.append(Block(begun, " ".join(words), len(words), len(entities.unescape("".join(linked)).split()), other, main and not other, heading))
             text, linked = [], []
         begun = to
 
@@ -102,9 +127,18 @@ def blocks(page: str) -> list[Block]:
             continue
         closing, rest = bool(m["end"] or m["end2"]), m["rest"] or m["rest2"] or ""
         if not closing and name in UNREAD:
+            end = None
             if not rest.endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if name not in unclosed:
+                    end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                elif name not in BROKEN_OFF:
+                    at = len(page)
+                else:
+                    unclosed.add(name)
+                    finish(m.start())
+                    push(name, True, False)
             text.append(" ")
             continue
         if name in INLINE:
@@ -118,12 +152,14 @@ def blocks(page: str) -> list[Block]:
         heading = not closing and name in HEADINGS
         in_link = 0 if name in HEADINGS or name in ("p", "li", "div", "td") else in_link
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        elif name not in VOID and name not in ("p", "li", "td", "tr", "th", "dt", "dd", "option") and not rest.endswith("/"):
-            stack.append((name, *_kind(name, rest, any(x[2] for x in stack))))
+            if open_names.get(name):
+                while stack[-1][0] != name:
+                    pop()
+                pop()
+        elif name not in VOID and not rest.endswith("/"):
+            while stack and (stack[-1][0] in ENDED or stack[-1][0] in ENDS.get(name, ())):
+                pop()
+            push(name, *_kind(name, rest, bool(stack) and stack[-1][2]))
     finish(len(page))
     return out
 
@@ -217,8 +253,9 @@ def extract(html: Column, tree: Node | None = None) -> Column:
 def extract_pages(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` columns, ``text`` and ``n_chars`` of every page.
 
-    The whole page is read. NULL and empty pages give the empty text; repeated rows
-    give repeated results; other columns are not read.
+    The whole page is read, at a cost linear in it also where elements nest deeply or do
+    not close. NULL and empty pages give the empty text; repeated rows give repeated
+    results; other columns are not read.
     """
     found = pages.select(*keep, extract(F.col(html)).alias("text"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagspark.llm import lexical_search, merkle_windows, quality_trees
-from tests.llm.helpers import CLASHING, ROWS, SCHEMA, empty, odd
+from helpers import CLASHING, ROWS, SCHEMA, empty, odd
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
