@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .rows import whole
+
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -200,7 +202,8 @@ def identify(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lan
 
 def keep_identified(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang",
                     min_score: float = 0.34) -> DataFrame:
-    """Rows whose language is known with at least ``min_score``; all columns kept."""
+    """Rows whose language is known with at least ``min_score``; all columns kept, whatever their names and types."""
     net = fit(docs.where(remainder(id_column) != 1), text, lang)
     r = predict(F.col(text), net)
-    return docs.withColumn("__r", r).where((F.col("__r.lang_pred") != UNKNOWN) & (F.col("__r.score") >= min_score)).select(*docs.columns)
+    rows = docs.select(whole(docs), r.alias("r"))
+    return rows.where((F.col("r.lang_pred") != UNKNOWN) & (F.col("r.score") >= min_score)).select("row.*")

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
+from .rows import content_hash, whole
 
 WORD = r"[^\x20\x09-\x0D]+"
 CAP = 3
@@ -189,16 +190,14 @@ def repeat_rows(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                 cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Each row as often as the mix takes it, all columns kept.
 
-    Identical rows share what they are taken together. Extra columns and their
-    names do not matter, but a column may not start with ``__``.
+    Identical rows share what they are taken together. Extra columns, their names and
+    their types do not matter.
     """
     taken = mix(docs, id_column, text, source, cap, weights).groupBy("doc_id", "row_hash").agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).where("__copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"), "__copies", "__rows")
-    tagged = docs.withColumn("__row", _row_hash(text, source))
-    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__hash"))
-    nth = F.row_number().over(Window.partitionBy(id_column, "__row").orderBy(F.xxhash64(*docs.columns)))
-    rows = tagged.join(taken, same).withColumn("__n", nth)
-    copies = F.floor(F.col("__copies") / F.col("__rows")) + (F.col("__n") <= F.col("__copies") % F.col("__rows")).cast("long")
-    return rows.withColumn("__take", copies).where("__take > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__take")))).select(*docs.columns)
+        F.sum("copies").alias("copies"), F.count("*").alias("alike")).where("copies > 0").withColumnsRenamed({"doc_id": "taken_id", "row_hash": "taken_hash"})
+    rows = docs.select(F.col(id_column).alias("id"), _row_hash(text, source).alias("hash"), content_hash(docs).alias("content"), whole(docs))
+    rows = rows.join(taken, F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("hash") == F.col("taken_hash")))
+    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("content"))
+    each = F.floor(F.col("copies") / F.col("alike")) + (nth <= F.col("copies") % F.col("alike")).cast("long")
+    rows = rows.withColumn("take", each).where("take > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("take")))).select("row.*")

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from .rows import whole
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -302,22 +304,21 @@ def tokenize(docs: DataFrame, text: str = "text", path: str = MODEL) -> DataFram
     in small ones, so no task holds the ids of many texts.
     """
     shared = share(docs.sparkSession, path)
-    rows = docs.drop("piece_ids", "n_pieces")
+    rows = docs.select(whole(docs, "piece_ids", "n_pieces"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            at = batch.schema.get_field_index(text)
-            for part in _parts(batch.column(at), lambda t: len(t.as_py() or "")):
+            for part in _parts(batch.column("text"), lambda t: len(t.as_py() or "")):
                 some = batch.slice(part.start, part.stop - part.start)
-                texts = some.column(at).to_pylist()
+                texts = some.column("text").to_pylist()
                 ids = encoder.encode(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32())),
-                     pa.array([len(x) for x in ids], pa.int64())], [*some.schema.names, "piece_ids", "n_pieces"])
+                    [some.column("row"), pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32())),
+                     pa.array([len(x) for x in ids], pa.int64())], ["row", "piece_ids", "n_pieces"])
 
     added = [T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType())]
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added]))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *added])).select("row.*", "piece_ids", "n_pieces")
 
 
 def round_trip(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str = MODEL) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import cut_lineage
 from .components import connected_components
+from .rows import content_hash, whole
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SHINGLE = 3
@@ -190,15 +191,15 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One row of every near-duplicate group, all columns kept.
+    """One row of every near-duplicate group, all columns kept, whatever their names and types.
 
     The row with the smallest id stays (NULL ids last, then the smaller text
     hash); of identical rows one stays.
     """
     groups = near_duplicates(docs, id_column, text, radius)
     kept = groups.groupBy("representative").agg(F.lit(1).alias("one")).select(
-        F.col("representative.doc_id").alias("__id"), F.col("representative.row_hash").alias("__hash"))
-    tagged = docs.withColumn("__row", F.xxhash64(F.col(text)))
-    rows = tagged.join(kept, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__hash")), "left_semi")
-    order = Window.partitionBy(id_column, "__row").orderBy(F.xxhash64(*docs.columns))
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
+        F.col("representative.doc_id").alias("kept_id"), F.col("representative.row_hash").alias("kept_hash"))
+    rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("hash"), content_hash(docs).alias("content"), whole(docs))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
+    order = Window.partitionBy("id", "hash").orderBy("content")
+    return rows.withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")

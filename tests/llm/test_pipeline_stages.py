@@ -30,10 +30,15 @@ def test_stages_in_turn(spark, folder, tmp_path):
 
 
 def test_stages_take_odd_rows(spark, tmp_path):
-    docs = odd(spark).select(*DOCUMENTS, "row", "key")
+    # Names the stages use inside, a dot, a quote, and a column that has no hash.
+    names = ["row", "key", "id", "hash", "content", "n", "take", "__r", "__row", "__n", "__id", "a.b", "tick`s"]
+    docs = odd(spark).select(*DOCUMENTS).withColumns({n: F.lit(f"kept {n}") for n in names}).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
         for rows, name in ((docs, "all"), (docs.limit(0), "none")):
             stage(spark, rows, "").write.parquet(str(tmp_path / f"{name}{i}"))
         assert spark.read.parquet(str(tmp_path / f"none{i}")).count() == 0
         docs = spark.read.parquet(str(tmp_path / f"all{i}"))
+        assert docs.columns[:19] == [*DOCUMENTS, *names, "m"]
+        for r in docs.collect():
+            assert all(r[n] == f"kept {n}" for n in names) and r["m"] == {"k": r["doc_id"]}
     assert 0 < docs.count() and len(ROWS) > docs.select("doc_id").distinct().count()
