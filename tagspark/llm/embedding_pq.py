@@ -31,7 +31,7 @@ from .components import connected_components
 
 THRESHOLD = 0.9
 #: Lists searched up to 64 lists, and how many more for every doubling.
-PROBES = 8
+PROBES, MORE_PROBES = 16, 4
 #: Vectors per list aimed at, coarse cells at most, parts of a cell at most, vectors fitted on at most.
 PER_LIST, MOST_LISTS, MOST_PARTS, SAMPLE = 200, 4096, 256, 65536
 SUBSPACES, CODEWORDS = 8, 256
@@ -44,7 +44,7 @@ DISTANCES = 1 << 22
 
 def probes_for(lists: int, probes: int = PROBES) -> int:
     """How many of ``lists`` are searched: the share of a neighbourhood that one list holds shrinks as lists get smaller."""
-    return min(lists, probes + probes * max(0, math.ceil(math.log2(max(1, lists) / 64))))
+    return min(lists, probes + MORE_PROBES * max(0, math.ceil(math.log2(max(1, lists) / 64))))
 
 
 @dataclass
