@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import latex
 from ..session import cut_lineage
-from .joins import balanced_join
-from .tags import explode_tags, row_total
+from .joins import balanced_join, broadcast_if_small
+from .tags import beside_every, explode_tags, row_total
 
 
 def symbol_presence(df: DataFrame, column: str, doc_id: str, exact: bool = False) -> DataFrame:
@@ -65,9 +65,8 @@ def enrichment(df: DataFrame, presence: DataFrame, doc_id: str, tags: str = "tag
     tag_sizes = membership.groupBy("tag").agg(F.count("*").alias("n_tag"))
     valid = symbol_counts(presence).where(F.col("n_docs") >= min_docs)
     joint = presence.join(membership, doc_id).groupBy("symbol", "tag").agg(F.count("*").alias("n"))
-    tag_array = tag_sizes.agg(F.collect_list(F.struct("tag", "n_tag"))).scalar()
     total = row_total(df)
-    grid = valid.select("symbol", "n_docs", F.explode(tag_array).alias("t")).select("symbol", "n_docs", "t.tag", "t.n_tag")
+    grid = beside_every(valid.select("symbol", "n_docs"), tag_sizes)
     cells = grid.join(joint, ["symbol", "tag"], "left").select(
         "symbol", "tag", "n_docs", "n_tag", F.coalesce("n", F.lit(0)).alias("n"), total.alias("total"))
     return cells.select(
@@ -111,8 +110,10 @@ def compare_tags(lift: DataFrame, tag_a: str, tag_b: str, top_n: int = 15) -> Da
 
 
 def summed_lift(df: DataFrame, presence: DataFrame, lift: DataFrame, doc_id: str) -> DataFrame:
-    """Per document and tag the summed lift of the document's symbols."""
-    per_symbol = lift.groupBy("symbol").agg(F.collect_list(F.struct("tag", "lift")).alias("lifts"))
-    joined = balanced_join(presence, per_symbol, "symbol", doc_id, "inner")
-    return joined.select(doc_id, F.explode("lifts").alias("l")).groupBy(doc_id, F.col("l.tag").alias("tag")).agg(
-        F.sum("l.lift").alias("score"))
+    """Per document and tag the summed lift of the document's symbols.
+
+    A table of lifts that is too large to send is joined by a shuffle, in which
+    adaptive execution splits the symbols that many documents hold.
+    """
+    lifts = broadcast_if_small(cut_lineage(lift.select("symbol", "tag", "lift")))
+    return presence.join(lifts, "symbol").groupBy(doc_id, "tag").agg(F.sum("lift").alias("score"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..constants import PRIORITY_TAGS
 from ..functions.quantiles import describe
 from ..session import cut_lineage
-from .joins import broadcast_if_small
+from .joins import BROADCAST_ROWS, broadcast_if_small
 
 
 def _list(column: str | Column) -> Column:
@@ -153,15 +153,33 @@ def pair_grid(df: DataFrame, tags: str, allowed: list[str] | None) -> DataFrame:
     """Every pair ``tag_a < tag_b``, occurring or not.
 
     With a list the grid is literal. Without one it is spread from the tag
-    vocabulary: each tag row unfolds the sorted vocabulary behind it.
+    vocabulary, pack by pack; ``frequent_pairs`` needs no grid.
     """
     if allowed is not None:
         pairs = [F.struct(F.lit(a).alias("tag_a"), F.lit(b).alias("tag_b"))
                  for a, b in combinations(sorted(set(allowed)), 2)]
         return df.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    vocabulary = explode_tags(df, tags=tags).distinct()
-    everything = vocabulary.agg(F.sort_array(F.collect_list("tag"))).scalar()
-    return vocabulary.select(F.col("tag").alias("tag_a"), F.explode(everything).alias("tag_b")).where("tag_a < tag_b")
+    vocabulary = cut_lineage(explode_tags(df, tags=tags).distinct())
+    return beside_every(vocabulary.withColumnRenamed("tag", "tag_a"), vocabulary.withColumnRenamed("tag", "tag_b")).where("tag_a < tag_b")
+
+
+#: Items a row meets at once.
+PACK = 512
+
+
+def beside_every(rows: DataFrame, items: DataFrame, pack: int = PACK) -> DataFrame:
+    """Every row beside every row of ``items``, for tables whose product is the result.
+
+    Items come in packs of about ``pack``, each found by its number, so no array
+    grows with the table; packs are sent to every executor up to ``BROADCAST_ROWS`` items.
+    """
+    items = cut_lineage(items)
+    packs = max(1, -(-items.count() // pack))
+    number = F.pmod(F.xxhash64(*items.columns), F.lit(packs)).cast("int").alias("_pack")
+    packed = items.select(number, F.struct(*items.columns).alias("_item")).groupBy("_pack").agg(F.collect_list("_item").alias("_items"))
+    spread = rows.withColumn("_pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
+    joined = spread.join(F.broadcast(packed) if packs * pack <= BROADCAST_ROWS else packed, "_pack")
+    return joined.select(*rows.columns, F.explode("_items").alias("_item")).select(*rows.columns, "_item.*")
 
 
 def lift_pmi(df: DataFrame, tags: str = "tags", allowed: list[str] | None = PRIORITY_TAGS,
@@ -292,8 +310,15 @@ def tag_combinations(df: DataFrame, tags: str = "tags") -> DataFrame:
     return df.groupBy(combo.alias("combination")).agg(F.count("*").alias("count"))
 
 
+def raw_forms(df: DataFrame, tags: str = "tags") -> DataFrame:
+    """``(normal_form, raw_form, occurrences)``, one row per raw form, however many a normal form has."""
+    raw = explode_tags(df, tags=tags, distinct=False).groupBy(F.col("tag").alias("raw_form")).agg(F.count("*").alias("occurrences"))
+    return raw.select(F.lower(F.trim("raw_form")).alias("normal_form"), "raw_form", "occurrences")
+
+
 def normalisation_audit(df: DataFrame, tags: str = "tags") -> DataFrame:
-    """Normal form, raw variants and occurrences of every tag."""
+    """Normal form, raw variants and occurrences of every tag, the variants in one text for
+    display; ``raw_forms`` gives them as rows."""
     raw = explode_tags(df, tags=tags, distinct=False).groupBy("tag").agg(F.count("*").alias("n"))
     return raw.groupBy(F.lower(F.trim("tag")).alias("normal_form")).agg(
         F.count("*").alias("variants"),

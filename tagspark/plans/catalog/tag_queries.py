@@ -226,19 +226,31 @@ def agg13(spark, folder):
     return rounded(ops.means_by_tag(problems(spark, folder), values), *values)
 
 
-@query("agg20_normalisation_audit", CTE + """
+RAW_SQL = CTE + """
 , raw AS (
   SELECT CASE WHEN p_id % 3 = 0 THEN upper(tag) WHEN p_id % 3 = 1 THEN ' ' || tag ELSE tag END AS tag FROM tagged),
 variants AS (SELECT tag, count(*) AS n FROM raw GROUP BY tag)
+"""
+
+
+def dirty(spark, folder):
+    i = F.col("p_id")
+    return problems(spark, folder).withColumn(
+        "tags",
+        F.transform("tags", lambda t: F.when(i % 3 == 0, F.upper(t)).when(i % 3 == 1, F.concat(F.lit(" "), t)).otherwise(t)))
+
+
+@query("agg20_normalisation_audit", RAW_SQL + """
 SELECT lower(trim(tag)) AS normal_form, count(*) AS variants, string_agg(tag, '|' ORDER BY tag) AS raw_forms,
        sum(n)::BIGINT AS occurrences
 FROM variants GROUP BY 1 HAVING count(*) > 1""")
 def agg20(spark, folder):
-    i = F.col("p_id")
-    dirty = problems(spark, folder).withColumn(
-        "tags",
-        F.transform("tags", lambda t: F.when(i % 3 == 0, F.upper(t)).when(i % 3 == 1, F.concat(F.lit(" "), t)).otherwise(t)))
-    return ops.normalisation_audit(dirty).where("variants > 1")
+    return ops.normalisation_audit(dirty(spark, folder)).where("variants > 1")
+
+
+@query("agg20_raw_forms", RAW_SQL + "SELECT lower(trim(tag)) AS normal_form, tag AS raw_form, n AS occurrences FROM variants")
+def agg20_rows(spark, folder):
+    return ops.raw_forms(dirty(spark, folder))
 
 
 @query("agg30_tags_per_sample", CTE + """

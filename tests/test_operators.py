@@ -315,6 +315,15 @@ def test_every_row_gets_its_language(spark):
         (None, "en"), (None, "de"), (1, "en"), (1, "unknown"), (1, "unknown"), (2, "de"), (2, "de")]))
 
 
+@pytest.mark.parametrize("pack, send", [(512, 200_000), (7, 200_000), (7, 1)])
+def test_every_row_beside_every_item(spark, monkeypatch, pack, send):
+    monkeypatch.setattr(tags, "BROADCAST_ROWS", send)
+    rows, items = spark.range(5).withColumnRenamed("id", "a"), spark.range(60).select((F.col("id") % 40).alias("b"), F.lit("x").alias("c"))
+    got = tags.beside_every(rows, items, pack).collect()
+    assert sorted(map(tuple, got)) == sorted((a, b % 40, "x") for a in range(5) for b in range(60))
+    assert tags.beside_every(rows, items.limit(0), pack).collect() == []
+
+
 def test_folds_are_never_dropped(spark):
     from pyspark.ml.functions import array_to_vector
 
