@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..operators.joins import broadcast_if_small
+from ..session import cut_lineage
 from .rows import whole
 
 WINDOW = 128
@@ -119,14 +121,22 @@ def training_sample(docs: DataFrame, text: str = "text", lang: str = "lang", per
                     pieces: int = 4) -> DataFrame:
     """``lang, piece``: windows from anywhere in at most ``per_language`` documents a language.
 
-    Documents are chosen by the hash of their text; the window limit is applied
-    in every task before anything is shuffled, and only pieces are carried.
+    Documents are chosen by the hash of their text. How many a language has per
+    range of hashes is counted first, so only those up to the range that holds the last
+    one wanted are ever dealt out by language, and of them only pieces.
     """
     h = F.xxhash64(text)
     last = F.greatest(F.length(text) - F.lit(WINDOW), F.lit(0)) + 1
     cut = [F.substring(F.col(text), (F.pmod(F.xxhash64(F.col(text), F.lit(i)), last) + 1).cast("int"), F.lit(WINDOW)) for i in range(pieces)]
     rows = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
         F.col(lang).alias("lang"), h.alias("h"), F.array(*cut).alias("pieces"))
+    known = rows.select("lang", F.shiftright("h", 48).alias("range"))
+    upto = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # At most 65,536 counts a language, one bound each.
+    ranges = known.groupBy("lang", "range").agg(F.count("*").alias("held"))
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("held").over(upto), F.lit(0))).where(F.col("before") < per_language)
+    bounds = cut_lineage(ranges.groupBy("lang").agg(F.max("range").alias("bound")))
+    rows = rows.join(broadcast_if_small(bounds), "lang").where(F.shiftright("h", 48) <= F.col("bound")).drop("bound")
     first = Window.partitionBy("lang").orderBy("h", "pieces")
     rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     return rows.select("lang", "h", F.explode("pieces").alias("piece"))

@@ -44,6 +44,17 @@ def test_language_odd_rows(spark):
     assert kept.columns == odd(spark).columns and kept.where("text IS NULL OR trim(text) = ''").count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 7, 100])
+def test_training_sample_is_the_smallest_hashes(spark, most):
+    rows = [(f"text number {i // 2 if i < 40 else i}", ["de", "en", None, "x"][i % 4 if i % 5 else 1]) for i in range(600)] + [("", "en"), (None, "en")]
+    df = spark.createDataFrame(rows, "text string, lang string").withColumn("h", F.xxhash64("text"))
+    got = language_cnn.training_sample(df, per_language=most, pieces=1).collect()
+    assert len(got) == sum(min(most, n) for lang, n in Counter(l for t, l in rows if t).items() if lang)
+    for lang in ("de", "en", "x"):
+        hashes = sorted(r["h"] for r in df.collect() if r["lang"] == lang and r["text"])
+        assert sorted(r["h"] for r in got if r["lang"] == lang) == hashes[:most]
+
+
 def test_windows_tile_texts():
     text = bytes(range(1, 200)) * 3
     rows, counts = language_cnn.windows([b"ab", text])
