@@ -337,6 +337,50 @@ def test_folds_are_never_dropped(spark):
     assert sorted(r["fold"] for r in out.collect()) == [0, 1, 2]
 
 
+def test_parts_of_a_search_follow_its_rows(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+
+    from tagspark.operators import models
+
+    df = spark.range(0, 300, 1, 7).select("id", array_to_vector(F.array((F.col("id") % 11).cast("double"))).alias("features"),
+                                          (F.col("id") % 3).cast("int").alias("fold"), (F.col("id") % 11 > 6).cast("int").alias("y"))
+    seen, fit = [], models.fit_labels
+    monkeypatch.setattr(models, "fit_labels", lambda rows, *a, **k: seen.append(rows.rdd.glom().map(len).collect()) or fit(rows, *a, **k))
+
+    def scores(**options):
+        seen.clear()
+        rows = models.grid_search(df, ["y"], "id", grid=[{"C": 1.0}], **options).collect()
+        return {r["fold"]: (round(r["train_macro_f1"], 9), round(r["test_macro_f1"], 9)) for r in rows}
+
+    whole = scores()
+    assert seen == [[200]] * 3
+    monkeypatch.setattr(models, "ROWS_A_PART", 100)
+    assert scores() == whole and sorted(whole) == [0, 1, 2]
+    assert [len(parts) for parts in seen] == [3] * 3 and all(sum(parts) == 200 and min(parts) > 0 for parts in seen)
+    assert scores(partitions=2) == whole and [len(parts) for parts in seen] == [2] * 3
+
+
+def test_only_labelled_texts_are_counted(spark, monkeypatch, tmp_path):
+    from pyspark.ml.functions import vector_to_array
+
+    from tagspark.functions import text
+    from tagspark.plans.catalog import model_queries
+
+    tables = {"documents": ([(1, "one two"), (2, None), (3, "none asks"), (3, "none asks"), (None, "none asks"), (4, "7"), (4, "a b c")], "doc_id long, text string"),
+              "labels": ([(1, 1, 0), (2, 0, 1), (4, 1, 1), (4, 0, 0), (5, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int"),
+              "embeddings": ([(1, [0.5, 2.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<float>")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    count = text.word_count
+    monkeypatch.setattr(text, "word_count", lambda c: F.when(c == "none asks", F.raise_error(F.lit("counted"))).otherwise(count(c)))
+    got = model_queries.labelled_rows(spark, str(tmp_path)).select(
+        "doc_id", vector_to_array("e").alias("e"), "no_vector", "words", "numeric_ratio", "quality", "toxic").collect()
+    zero = [0.0, 0.0]
+    expected = [(1, [0.5, 2.0], 0.0, 2.0, 0.0, 1, 0), (2, zero, 1.0, 0.0, 0.0, 0, 1), (5, zero, 1.0, 0.0, 0.0, 0, 0), (None, zero, 1.0, 0.0, 0.0, 1, 1)]
+    expected += [(4, zero, 1.0, words, numeric, *y) for words, numeric in ((1.0, 1.0), (3.0, 0.0)) for y in ((1, 1), (0, 0))]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
 def test_feature_names_differ_beyond_case():
     from tagspark.functions import latex
 
