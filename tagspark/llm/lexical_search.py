@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from ..session import cut_lineage, shared_path
 
@@ -62,6 +62,15 @@ def _one(schema: pa.Schema, values: dict[str, object]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([values[f.name]], type=f.type) for f in schema], schema=schema)
 
 
+def _stored(blocks: DataFrame, name: str, schema: pa.Schema) -> DataFrame:
+    """Blocks written one to a file and read again. A file's rows are decoded together, up to thousands
+    at once, so a task over many blocks in one file would hold all of them in memory."""
+    spark = blocks.sparkSession
+    path = shared_path(spark, name)
+    blocks.write.option("maxRecordsPerFile", 1).parquet(path)
+    return spark.read.schema(_ddl(schema)).parquet(path)
+
+
 def _blocks(batches: Batches) -> Iterator[dict[str, np.ndarray]]:
     """The rows of stored blocks, all but the ids as numpy arrays."""
     for batch in batches:
@@ -267,15 +276,13 @@ def _statistics(blocks: DataFrame, n_terms: int) -> Statistics:
     return Statistics(n_docs, total, weights)
 
 
-def _answer(spark: SparkSession, rows: DataFrame, texts: list[Row], k: int, block_docs: int) -> DataFrame | None:
+def _answer(rows: DataFrame, texts: list[Row], k: int, block_docs: int) -> DataFrame | None:
     """``key, doc_id, score`` for a batch of queries ``key, text``, at least the best ``k`` of each."""
     terms = {key: Counter(terms_of(bytes(text))) for key, text in texts}
     vocabulary = {t: i for i, t in enumerate(sorted(set().union(*terms.values())))}
     if not vocabulary:
         return None
-    path = shared_path(spark, "search-blocks")
-    rows.mapInArrow(_invert(vocabulary, block_docs), _ddl(BLOCK)).write.parquet(path)
-    blocks = spark.read.schema(_ddl(BLOCK)).parquet(path)
+    blocks = _stored(rows.mapInArrow(_invert(vocabulary, block_docs), _ddl(BLOCK)), "search-blocks", BLOCK)
     known = _statistics(blocks, len(vocabulary))
 
     numbers: dict[Pair, int] = {}
@@ -286,9 +293,7 @@ def _answer(spark: SparkSession, rows: DataFrame, texts: list[Row], k: int, bloc
         named = [(numbers.setdefault((a, b, times[a], times[b]), len(numbers)), a, b) for a, b in pairs]
         items.append(Item(key, times, named, single))
 
-    path = shared_path(spark, "search-index")
-    blocks.mapInArrow(_intersect(list(numbers), known), _ddl(PAIRED)).write.parquet(path)
-    index = spark.read.schema(_ddl(PAIRED)).parquet(path)
+    index = _stored(blocks.mapInArrow(_intersect(list(numbers), known), _ddl(PAIRED)), "search-index", PAIRED)
     # Joint maxima of different blocks are scores of different documents: the k-th largest is a score to beat.
     joint = index.select(F.inline(F.arrays_zip("pairs", "joint")))
     ranked = joint.withColumn("nth", F.row_number().over(Window.partitionBy("pairs").orderBy(F.desc("joint")))).where(F.col("nth") == k)
@@ -318,7 +323,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K, id_column: str = "do
     found = None
     for i in range(n_batches):
         texts = different.where(F.pmod(F.xxhash64("key"), F.lit(n_batches)) == i).collect()
-        part = _answer(spark, rows, texts, k, block_docs) if texts else None
+        part = _answer(rows, texts, k, block_docs) if texts else None
         if part is not None:
             found = part if found is None else found.union(part)
     if found is None:

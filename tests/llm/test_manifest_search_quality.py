@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -116,6 +117,20 @@ def found(spark, docs, items, k, block):
     return sorted(str(tuple(r)) for r in rows)
 
 
+def test_search_stores_one_block_to_a_file(spark, monkeypatch):
+    """A file's rows are decoded together, so memory must not follow the blocks of a task."""
+    import pyarrow.parquet as pq
+
+    paths, at = [], lexical_search.shared_path
+    monkeypatch.setattr(lexical_search, "shared_path", lambda s, name: paths.append(at(s, name)) or paths[-1])
+    docs = [(i, f"word{i % 5} and word{i % 3}") for i in range(60)]
+    items = [(1, "word1 word2")]
+    assert found(spark, docs, items, 3, 4) == plain_search(docs, items, 3)
+    for path in paths:
+        files = [f"{path.removeprefix('file:')}/{f}" for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet")]
+        assert sum(pq.read_metadata(f).num_rows for f in files) >= 15 and max(pq.read_metadata(f).num_rows for f in files) == 1
+
+
 @pytest.mark.parametrize("block", [4, 37, 4096])
 def test_search_equals_brute_force(spark, block):
     rng = np.random.default_rng(5)
