@@ -241,3 +241,50 @@ def test_score_stream(spark, pipeline, parts, tmp_path):
     q = score_stream.score_stream(rows, pipeline, str(tmp_path / "out"), str(tmp_path / "state"))
     assert q.awaitTermination(240)
     assert spark.read.json(str(tmp_path / "out")).count() == test.count()
+
+
+def _sparse_rows(spark, n=400):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(n):
+        at = np.unique(rng.zipf(1.4, 12) % 60)
+        x = rng.normal(size=2)
+        y, z = int(x[0] + (5 in at) + rng.normal() > 0.6), int(rng.random() < 0.1 + 0.4 * (7 in at))
+        values = [*(1.0 / (1 + at)).tolist(), *x.tolist(), 3.3]
+        # Column 62 is the same everywhere, 63 is never set; one vector is dense.
+        v = Vectors.sparse(64, [*at.tolist(), 60, 61, 62], values)
+        rows.append((Vectors.dense(v.toArray()) if i == 5 else v, y, z, 0))
+    return spark.createDataFrame(rows, ["features", "y", "z", "none"]).repartition(3)
+
+
+@pytest.mark.parametrize("options", [{}, {"balanced": False}, {"max_iter": 4}, {"C": 0.2, "max_iter": 12}])
+def test_labels_fitted_together_get_the_same_models(spark, options):
+    """Coefficients of Spark ML's own estimator, label by label, and from one pass for all labels."""
+    import numpy as np
+
+    df, labels = _sparse_rows(spark), ["y", "z", "none"]
+    alone, together = models.fit_labels(df, labels, **options), models.fit_labels(df, labels, together=True, **options)
+    for c in labels:
+        a, b = alone.models[c], together.models[c]
+        assert np.allclose(a.coefficients.toArray(), b.coefficients.toArray(), atol=1e-6)
+        assert a.intercept == pytest.approx(b.intercept, abs=1e-6)
+
+
+def test_an_iteration_passes_the_table_once_for_all_labels(spark, monkeypatch):
+    from tagspark.operators import logistic
+
+    passes, losses = [], logistic._losses
+    monkeypatch.setattr(logistic, "_losses", lambda blocks, at, *a: passes.append(len(at)) or losses(blocks, at, *a))
+    models.fit_labels(_sparse_rows(spark), ["y", "z"], together=True, max_iter=5)
+    assert passes[:6] == [2] * 6 and len(passes) < 10
+
+
+def test_training_fits_its_labels_together(spark, parts, monkeypatch):
+    o, train, _ = parts
+    asked, fit = [], models.fit_labels
+    monkeypatch.setattr(models, "fit_labels", lambda *a, **k: asked.append(k.get("together")) or fit(*a, **k))
+    training.train(train, o, shared_path(spark, "state"), tune=False, max_iter=2)
+    assert asked == [True]
